@@ -48,9 +48,9 @@ VIEWS = {
     "v_software_by_sap_id": """
         SELECT concat('S', CAST(o_custkey AS VARCHAR(20))) AS ts_customer_id,
                CAST(year(l_shipdate) AS BIGINT) AS ts_year,
-               concat(p_type, ' ', p_brand) AS ts_generation, l_extendedprice * (1 - l_discount) AS ts_revenue
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-        WHERE p_brand = 'Brand#1' OR p_type = 'STANDARD'""",
+               concat(p_type, ' ', p_brand, ' ', CAST(p_size AS VARCHAR(10))) AS ts_generation,
+               l_extendedprice * (1 - l_discount) AS ts_revenue
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "v_cases": """
         SELECT l_orderkey * 10 + l_linenumber AS sc_case_number, o_custkey AS sc_customer_number,
                CAST(year(l_shipdate) AS BIGINT) AS case_year,
@@ -154,14 +154,19 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._known:
+            self._known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._known[name]
 
     def view(self, name: str) -> DataFrame:
-        sql = VIEWS[name]
-        inputs = {t: self.table(t) for t in BASE_TABLES if _uses(sql, t)}
-        inputs |= {v: self.view(v) for v in VIEWS if v != name and _uses(sql, v)}
-        for source in inputs:
-            sql = re.sub(rf"(FROM|JOIN) {source}\b", rf"\1 {{{source}}}", sql)
-        return self.spark.sql(sql, **inputs)
+        if name not in self._known:
+            sql = VIEWS[name]
+            inputs = {t: self.table(t) for t in BASE_TABLES if _uses(sql, t)}
+            inputs |= {v: self.view(v) for v in VIEWS if v != name and _uses(sql, v)}
+            for source in inputs:
+                sql = re.sub(rf"(FROM|JOIN) {source}\b", rf"\1 {{{source}}}", sql)
+            self._known[name] = self.spark.sql(sql, **inputs)
+        return self._known[name]

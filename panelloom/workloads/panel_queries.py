@@ -17,6 +17,7 @@ from panelloom.workloads.registry import cte, query
 LO, HI = 1995, 2001
 DAILY = PanelKeys("account_id", "day", "day")
 EXPLORE, EXPLOIT = "promo|economy|small", "standard"
+RARE_EXPLORE = "promo brand#1 1[0-9]$"  # leaves many customers untreated
 BASE_YEAR = 1998
 
 # --------------------------------------------------------------------------
@@ -150,13 +151,13 @@ SW_SHAPE = (
 )
 _SW_SQL = """SELECT ts_customer_id AS customer_id, ts_year AS year, count(*) AS ts_sales_sw_num_total,
               sum(ts_revenue) AS ts_sales_total_sw,
-              count(*) FILTER (regexp_matches(ts_generation, '(?i)promo|economy|small')) AS ts_sales_num_sw_explore,
-              coalesce(sum(ts_revenue) FILTER (regexp_matches(ts_generation, '(?i)promo|economy|small')), 0) AS ts_sales_total_exploration,
+              count(*) FILTER (regexp_matches(ts_generation, '(?i){explore}')) AS ts_sales_num_sw_explore,
+              coalesce(sum(ts_revenue) FILTER (regexp_matches(ts_generation, '(?i){explore}')), 0) AS ts_sales_total_exploration,
               count(*) FILTER (regexp_matches(ts_generation, '(?i)standard')) AS ts_sales_num_sw_exploit,
               coalesce(sum(ts_revenue) FILTER (regexp_matches(ts_generation, '(?i)standard')), 0) AS ts_sales_total_exploitation
        FROM {view} GROUP BY 1, 2"""
-cte("sw", _SW_SQL.format(view="v_software_sales"))
-cte("sw_by_sap", _SW_SQL.format(view="v_software_by_sap_id"))
+cte("sw", _SW_SQL.format(view="v_software_sales", explore=EXPLORE))
+cte("sw_by_sap", _SW_SQL.format(view="v_software_by_sap_id", explore=RARE_EXPLORE))
 
 
 @query("software_yearly", SW_SHAPE, "SELECT * FROM sw")
@@ -544,7 +545,7 @@ def share_of_purchase(t):
 def attach_measures(t):
     ids = t.view("v_customers").select("customer_id", "customer_sap_id")
     panel = P.base_panel(P.add_attributes(firsts(t), ids), LO, HI)
-    table = M.software_measures(t.view("v_software_by_sap_id"), EXPLORE, EXPLOIT)
+    table = M.software_measures(t.view("v_software_by_sap_id"), RARE_EXPLORE, EXPLOIT)
     return P.attach_measures(panel, table, on="customer_sap_id")
 
 
@@ -687,7 +688,7 @@ SPEC = PanelSpec(
     last_period=2001,
     lead_in=1,
     country="NATION_3",
-    exploration_pattern=EXPLORE,
+    exploration_pattern=RARE_EXPLORE,
     exploitation_pattern=EXPLOIT,
     test_account_pattern="Customer#0+[0-9]*13$",
     base_year=BASE_YEAR,
@@ -857,7 +858,7 @@ def recency(t):
 
 
 def treated(t: Tables) -> DataFrame:
-    sales = M.software_measures(t.view("v_software_by_sap_id"), EXPLORE, EXPLOIT)
+    sales = M.software_measures(t.view("v_software_by_sap_id"), RARE_EXPLORE, EXPLOIT)
     table = P.rekey_measures(sales, t.view("v_customers"), "customer_sap_id")
     panel = P.mask_inactive(P.align_measures(grid(t), [table]), panels.SOFTWARE_COLUMNS)
     panel = H.tenure_features(panels.software_features(panel, PanelKeys()))

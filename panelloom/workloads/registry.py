@@ -38,11 +38,15 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        columns = ", ".join(f"{_SHAPES[kind][1].format(c=c)} AS {c}" for c, kind in _fields(self.shape))
+        columns = ", ".join(f'{_SHAPES[kind][1].format(c=_quoted(c))} AS {_quoted(c)}' for c, kind in _fields(self.shape))
         ctes = _needed(self.sql) | {"_result": self.sql}
         return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes.items()) + f"\nSELECT {columns} FROM _result"
 
 
+def _quoted(name: str) -> str:
+    return f'"{name}"'
+
+
 def _fields(shape: str) -> list[tuple[str, str]]:
     return [tuple(f.split(":")) for f in shape.split()]
 
