@@ -22,11 +22,10 @@ def number(column: Column) -> Column:
     Currency signs, blanks and other characters go; ``12,34`` is a decimal comma,
     ``1,234`` a thousands comma; a percentage is divided by 100.
     """
-    bare = strip(F.regexp_replace(column, "[%$€£¥]", ""))
-    bare = F.regexp_replace(bare, ",([0-9]{1,2})$", ".$1")
+    bare = F.translate(column, "%$€£¥", "")
+    bare = F.regexp_replace(bare, r",([0-9]{1,2})\s*$", ".$1")
     bare = F.regexp_replace(bare, "[^0-9.-]", "")
-    value = bare.try_cast("double")
-    return F.when(column.contains("%"), value / 100).otherwise(value)
+    return bare.try_cast("double") / F.when(column.contains("%"), 100.0).otherwise(1.0)
 
 
 def percent_points(column: Column) -> Column:
@@ -35,8 +34,9 @@ def percent_points(column: Column) -> Column:
 
 
 def boolean(column: Column) -> Column:
-    word = F.lower(strip(column))
-    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+    meaning = [(word, True) for word in TRUE_WORDS] + [(word, False) for word in FALSE_WORDS]
+    lookup = F.create_map(*[F.lit(x) for pair in meaning for x in pair])
+    return F.try_element_at(lookup, F.lower(strip(column)))
 
 
 def _serial(column: Column) -> Column:
@@ -68,75 +68,103 @@ def calendar_week(column: Column) -> dict[str, Column]:
     }
 
 
-def date_text(column: Column) -> Column:
-    """Keep digits and separators only and write every separator as ``-``."""
-    kept = F.regexp_replace(column, "[^0-9./: -]", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(kept, "[./]", "-"), r"\s+", " "))
+_DIGITS = "0123456789"
+
+
+def date_fields(column: Column) -> Column:
+    """The parts of a date text, and the separators between the first three.
+
+    Characters other than digits and separators are dropped. Splitting once per value
+    keeps the candidate layouts cheap: they only rearrange the parts.
+    """
+    text = F.trim(F.regexp_replace(column, "[^0-9./: -]", ""))
+    return _fields(text)
+
+
+def timestamp_fields(column: Column) -> Column:
+    return _fields(F.trim(column))
+
+
+def _fields(text: Column) -> Column:
+    return F.struct(
+        F.split(text, "[-./]| +").alias("parts"),
+        F.translate(F.substring_index(text, " ", 1), _DIGITS, "").alias("marks"),
+    )
 
 
 @dataclass(frozen=True)
 class Layout:
-    """A way of writing a date or timestamp, as text patterns and their ISO rewrite.
+    """A way of writing a date or timestamp: order of the parts and what must be present.
 
-    Rewriting to ISO and casting needs no session time zone and no format parser.
+    Parts are put into ISO order and cast, which needs no session time zone and no format
+    parser. ``clock`` is the punctuation of the time of day (``::``, ``:`` or nothing) and
+    ``marks`` the separators of the date, if they matter.
     """
 
     name: str
-    patterns: tuple[str, ...]
-    rewrite: str
-    century_pivot: bool = False
-
-    def matches(self, text: Column) -> Column:
-        found = F.lit(False)
-        for pattern in self.patterns:
-            found = found | text.rlike(pattern)
-        return found
-
-    def iso(self, text: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for pattern in reversed(self.patterns):
-            out = F.when(text.rlike(pattern), F.regexp_replace(text, pattern, self.rewrite)).otherwise(out)
-        if self.century_pivot:
+    order: str
+    clock: str = ""
+    marks: str | None = None
+    short_year: bool = False
+
+    def _iso(self, fields: Column) -> Column:
+        parts = fields["parts"]
+        year, month, day = (F.get(parts, self.order.index(part)) for part in "ymd")
+        fits = (F.size(parts) == (4 if self.clock else 3)) & (F.length(year) == (2 if self.short_year else 4))
+        if self.marks is not None:
+            fits = fits & (fields["marks"] == self.marks)
+        if self.short_year:
             # Two-digit years: 00-68 belong to 20xx, 69-99 to 19xx.
-            year = F.regexp_extract(out, "^([0-9]{2})", 1)
-            out = F.when(out.isNotNull(), F.concat(F.when(year <= "68", "20").otherwise("19"), out))
-        return out
-
-    def date(self, text: Column) -> Column:
-        return F.substring_index(self.iso(text), " ", 1).try_cast("date")
-
-    def timestamp(self, text: Column) -> Column:
-        return self.iso(text).try_cast("timestamp_ntz")
-
+            year = F.concat(F.when(year <= "68", "20").otherwise("19"), year)
+        iso = F.concat_ws("-", year, month, day)
+        if self.clock:
+            time = F.get(parts, 3)
+            fits = fits & (F.translate(time, _DIGITS, "") == self.clock)
+            iso = F.concat_ws(" ", iso, time)
+        return F.when(fits, iso)
+
+    def _compact(self, fields: Column) -> Column:
+        """Eight digits without separators."""
+        text = F.get(fields["parts"], 0)
+        widths = [4 if part == "y" else 2 for part in self.order]
+        cuts = {part: F.substring(text, 1 + sum(widths[:i]), widths[i]) for i, part in enumerate(self.order)}
+        whole = (F.size(fields["parts"]) == 1) & (F.length(text) == 8)
+        return F.when(whole, F.concat_ws("-", cuts["y"], cuts["m"], cuts["d"]))
+
+    def date(self, fields: Column) -> Column:
+        if self.clock:
+            return self.timestamp(fields).cast("date")
+        return F.coalesce(self._iso(fields), self._compact(fields)).try_cast("date")
+
+    def timestamp(self, fields: Column) -> Column:
+        return self._iso(fields).try_cast("timestamp_ntz")
 
-_HMS = r" (\d{1,2}:\d{1,2}:\d{1,2})$"
-_HM = r" (\d{1,2}:\d{1,2})$"
 
 # Candidate layouts in the order in which they are tried.
 DATE_LAYOUTS = (
-    Layout("ymd", (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", r"^(\d{4})(\d{2})(\d{2})$"), "$1-$2-$3"),
-    Layout("dmy", (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", r"^(\d{2})(\d{2})(\d{4})$"), "$3-$2-$1"),
-    Layout("mdy", (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", r"^(\d{2})(\d{2})(\d{4})$"), "$3-$1-$2"),
-    Layout("ydm", (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", r"^(\d{4})(\d{2})(\d{2})$"), "$1-$3-$2"),
-    Layout("ymd_hms", (r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _HMS,), "$1-$2-$3 $4"),
-    Layout("dmy_hms", (r"^(\d{1,2})-(\d{1,2})-(\d{4})" + _HMS,), "$3-$2-$1 $4"),
-    Layout("mdy_hms", (r"^(\d{1,2})-(\d{1,2})-(\d{4})" + _HMS,), "$3-$1-$2 $4"),
-    Layout("mdy2_hms", (r"^(\d{1,2})-(\d{1,2})-(\d{2})" + _HMS,), "$3-$1-$2 $4", century_pivot=True),
-    Layout("dmy2_hms", (r"^(\d{1,2})-(\d{1,2})-(\d{2})" + _HMS,), "$3-$2-$1 $4", century_pivot=True),
+    Layout("ymd", "ymd"),
+    Layout("dmy", "dmy"),
+    Layout("mdy", "mdy"),
+    Layout("ydm", "ydm"),
+    Layout("ymd_hms", "ymd", "::"),
+    Layout("dmy_hms", "dmy", "::"),
+    Layout("mdy_hms", "mdy", "::"),
+    Layout("mdy2_hms", "mdy", "::", short_year=True),
+    Layout("dmy2_hms", "dmy", "::", short_year=True),
 )
 
 TIMESTAMP_LAYOUTS = (
-    Layout("ymd_hms_dash", (r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _HMS,), "$1-$2-$3 $4"),
-    Layout("dmy_hms_dash", (r"^(\d{1,2})-(\d{1,2})-(\d{4})" + _HMS,), "$3-$2-$1 $4"),
-    Layout("mdy_hms_dash", (r"^(\d{1,2})-(\d{1,2})-(\d{4})" + _HMS,), "$3-$1-$2 $4"),
-    Layout("ymd_hms_slash", (r"^(\d{4})/(\d{1,2})/(\d{1,2})" + _HMS,), "$1-$2-$3 $4"),
-    Layout("dmy_hms_slash", (r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _HMS,), "$3-$2-$1 $4"),
-    Layout("mdy_hms_slash", (r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _HMS,), "$3-$1-$2 $4"),
+    Layout("ymd_hms_dash", "ymd", "::", "--"),
+    Layout("dmy_hms_dash", "dmy", "::", "--"),
+    Layout("mdy_hms_dash", "mdy", "::", "--"),
+    Layout("ymd_hms_slash", "ymd", "::", "//"),
+    Layout("dmy_hms_slash", "dmy", "::", "//"),
+    Layout("mdy_hms_slash", "mdy", "::", "//"),
     # Looser reading: any separator, seconds optional.
-    Layout("ymd_hms_any", (r"^(\d{4})[-./](\d{1,2})[-./](\d{1,2})" + _HMS,), "$1-$2-$3 $4"),
-    Layout("dmy_hms_any", (r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4})" + _HMS,), "$3-$2-$1 $4"),
-    Layout("mdy_hms_any", (r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4})" + _HMS,), "$3-$1-$2 $4"),
-    Layout("ymd_hm", (r"^(\d{4})[-./](\d{1,2})[-./](\d{1,2})" + _HM,), "$1-$2-$3 $4"),
-    Layout("dmy_hm", (r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4})" + _HM,), "$3-$2-$1 $4"),
-    Layout("mdy_hm", (r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4})" + _HM,), "$3-$1-$2 $4"),
+    Layout("ymd_hms_any", "ymd", "::"),
+    Layout("dmy_hms_any", "dmy", "::"),
+    Layout("mdy_hms_any", "mdy", "::"),
+    Layout("ymd_hm", "ymd", ":"),
+    Layout("dmy_hm", "dmy", ":"),
+    Layout("mdy_hm", "mdy", ":"),
 )

@@ -20,8 +20,7 @@ def strip(column: Column) -> Column:
 
 
 def blank_to_null(column: Column) -> Column:
-    stripped = strip(column)
-    return F.when(stripped != "", stripped)
+    return F.nullif(strip(column), F.lit(""))
 
 
 def subject_features(column: Column) -> dict[str, Column]:

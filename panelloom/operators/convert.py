@@ -50,26 +50,41 @@ class ConversionPlan:
     non_null: Mapping[str, int] = field(default_factory=dict)
     successes: Mapping[tuple[str, str], int] = field(default_factory=dict)
 
-    def expression(self, column: str) -> Column:
-        return _reading(column, self.chosen[column])
-
     def apply(self, df: DataFrame) -> DataFrame:
-        changed = {c: self.expression(c) for c, reading in self.chosen.items() if reading != "text"}
-        return df.withColumns(changed) if changed else df
+        """Lazy projection with the winning readings."""
+        changed = {c: reading for c, reading in self.chosen.items() if reading != "text"}
+        if not changed:
+            return df
+        split = _split(df, changed)
+        typed = split.withColumns({c: _reading(c, reading) for c, reading in changed.items()})
+        return typed.select(*df.columns)
 
 
 _BY_NAME = {f"date:{x.name}": x for x in P.DATE_LAYOUTS} | {f"timestamp:{x.name}": x for x in P.TIMESTAMP_LAYOUTS}
 
 
+def _split(df: DataFrame, readings: Mapping[str, str]) -> DataFrame:
+    """Add the parts of date and timestamp texts as columns of their own, so that each text
+    is taken apart once however many layouts look at it."""
+    fields = {}
+    for c, reading in readings.items():
+        if reading.startswith("date:") or reading == "mixed_dates":
+            fields[f"_fields_{c}"] = P.date_fields(F.col(c))
+        elif reading.startswith("timestamp:"):
+            fields[f"_fields_{c}"] = P.timestamp_fields(F.col(c))
+    return df.withColumns(fields) if fields else df
+
+
 def _reading(column: str, reading: str) -> Column:
-    text = F.col(column)
+    """The typed value; layouts read the column's parts added by ``_split``."""
+    text, fields = F.col(column), F.col(f"_fields_{column}")
     if reading.startswith("date:"):
-        return _BY_NAME[reading].date(P.date_text(text))
+        return _BY_NAME[reading].date(fields)
     if reading.startswith("timestamp:"):
-        return _BY_NAME[reading].timestamp(F.trim(text))
+        return _BY_NAME[reading].timestamp(fields)
     return {
         "text": lambda: text,
-        "mixed_dates": lambda: F.coalesce(*[x.date(P.date_text(text)) for x in P.DATE_LAYOUTS]),
+        "mixed_dates": lambda: F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS]),
         "serial_date": lambda: P.serial_date(text),
         "number": lambda: P.number(text),
         "boolean": lambda: P.boolean(text),
@@ -109,7 +124,8 @@ def plan_conversion(df: DataFrame, spec: ConversionSpec) -> ConversionPlan:
         return ConversionPlan(spec, {})
 
     pairs = [(c, reading) for c, kind in kinds.items() for reading in _candidates(kind)]
-    measured = df.agg(
+    split = _split(df.select(*kinds), {c: _candidates(kind)[0] for c, kind in kinds.items()})
+    measured = split.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(kinds)],
         *[F.count_if(_success(c, reading, spec)).alias(f"s{i}") for i, (c, reading) in enumerate(pairs)],
@@ -203,8 +219,11 @@ def conversion_report(df: DataFrame, plan: ConversionPlan, examples: int = 5) ->
         ],
         "column string, reading string, non_null bigint, valid bigint",
     )
-    readings = [F.struct(F.lit(c).alias("column"), F.col(c).alias("text"), plan.expression(c).isNull().alias("failed"))
-                for c, reading in plan.chosen.items() if reading != "text"]
+    changed = {c: reading for c, reading in plan.chosen.items() if reading != "text"}
+    readings = [
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("text"), _reading(c, reading).isNull().alias("failed"))
+        for c, reading in changed.items()
+    ]
     summary = header.select(
         "*",
         F.when(F.col("reading") == "text", 0).otherwise(F.col("non_null") - F.col("valid")).cast("long").alias("nulls_introduced"),
@@ -213,7 +232,8 @@ def conversion_report(df: DataFrame, plan: ConversionPlan, examples: int = 5) ->
     if not readings:
         return summary.withColumn("examples", F.lit(None).cast("string"))
     failed = (
-        df.select(F.explode(F.array(*readings)).alias("r"))
+        _split(df.select(*changed), changed)
+        .select(F.explode(F.array(*readings)).alias("r"))
         .select("r.*")
         .filter(F.col("failed") & F.col("text").isNotNull())
         .groupBy("column", "text")
