@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 from panelloom import config as C
 from panelloom.config import PanelKeys
 from panelloom.functions.logic import flag, matches, yes
-from panelloom.operators.windows import fill, first_period_where, lag_value, periods_since
+from panelloom.operators.windows import fill, first_period_columns, periods_since
 
 YEARLY = PanelKeys()
 
@@ -40,65 +40,72 @@ EVENT_TIME_COLUMNS = (
 )
 
 
-def tenure_features(panel: DataFrame, keys: PanelKeys = YEARLY) -> DataFrame:
-    """First active period, tenure (first active period counts as 1) and time as a prospect."""
+def first_active_column(keys: PanelKeys = YEARLY) -> dict[str, Column]:
+    return first_period_columns({"first_purchase_year": F.col("relationship_status") == C.ACTIVE}, keys)
+
+
+def tenure_columns(keys: PanelKeys = YEARLY) -> dict[str, Column]:
+    """Needs ``first_purchase_year``."""
     status, first = F.col("relationship_status"), F.col("first_purchase_year")
-    panel = first_period_where(panel, {"first_purchase_year": status == C.ACTIVE}, keys)
     since = keys.distance(first)
-    return panel.withColumns(
-        {
-            "customer_tenure": F.when(yes(status == C.ACTIVE) & first.isNotNull(), since + 1).otherwise(0),
-            "prospect_tenure": F.when(yes(status == C.PRE) & first.isNotNull(), -since).otherwise(0),
-            "years_since_first_purchase": since,
-        }
-    )
+    return {
+        "customer_tenure": F.when(yes(status == C.ACTIVE) & first.isNotNull(), since + 1).otherwise(0),
+        "prospect_tenure": F.when(yes(status == C.PRE) & first.isNotNull(), -since).otherwise(0),
+        "years_since_first_purchase": since,
+    }
+
+
+def tenure_features(panel: DataFrame, keys: PanelKeys = YEARLY) -> DataFrame:
+    """First active period, tenure (first active period counts as 1) and time as a prospect."""
+    return panel.withColumns(first_active_column(keys)).withColumns(tenure_columns(keys))
+
+
+def purchase_start_column(
+    series: Sequence[str] = DEFAULT_PURCHASE_SERIES, keys: PanelKeys = YEARLY
+) -> dict[str, Column]:
+    starts = [
+        F.when((F.lag(c, 1, 0).over(keys.ordered()) == 0) & (F.col(c) > 0), F.col(keys.period)) for c in series
+    ]
+    return {"ft_purchase_at_t_date": F.coalesce(*starts)}
 
 
 def first_purchase_date(
     panel: DataFrame, series: Sequence[str] = DEFAULT_PURCHASE_SERIES, keys: PanelKeys = YEARLY
 ) -> DataFrame:
     """Period in which a running total first leaves 0 (first such series wins), carried down."""
-    starts = [
-        F.when((F.lag(c, 1, 0).over(keys.ordered()) == 0) & (F.col(c) > 0), F.col(keys.period)) for c in series
-    ]
-    panel = panel.withColumn("ft_purchase_at_t_date", F.coalesce(*starts))
-    return fill(panel, ["ft_purchase_at_t_date"], "down", keys)
+    return fill(panel.withColumns(purchase_start_column(series, keys)), ["ft_purchase_at_t_date"], "down", keys)
+
+
+def last_purchase_column(purchases: str = "to_sum_opps_won", keys: PanelKeys = YEARLY) -> dict[str, Column]:
+    bought = F.when(F.col(purchases) > 0, F.col(keys.period))
+    return {"lt_purchase_at_T_date": F.last(bought, ignorenulls=True).over(keys.history())}
+
+
+def since_last_purchase_column(keys: PanelKeys = YEARLY) -> dict[str, Column]:
+    """Needs ``lt_purchase_at_T_date``; looks at the purchase known one period before."""
+    before = F.lag("lt_purchase_at_T_date", 1).over(keys.ordered())
+    return {"duration_since_last_purchase": keys.distance(before)}
+
+
+DURATIONS = {
+    "ts_first_exploit_year": "exploit_duration_ft_purchase",
+    "ts_first_explore_year": "explore_duration_ft_purchase",
+    "ft_purchase_at_t_date": "customer_duration_ft_purchase",
+}
 
 
 def recency(panel: DataFrame, purchases: str = "to_sum_opps_won", keys: PanelKeys = YEARLY) -> DataFrame:
     """Last purchase so far, time since the one before, and durations since first purchases."""
-    bought = F.when(F.col(purchases) > 0, F.col(keys.period))
-    panel = panel.withColumn("lt_purchase_at_T_date", F.last(bought, ignorenulls=True).over(keys.history()))
-    panel = lag_value(panel, "lt_purchase_at_T_date", "_previous", keys=keys)
-    panel = panel.withColumn("duration_since_last_purchase", keys.distance(F.col("_previous"))).drop("_previous")
-    durations = {
-        "ts_first_exploit_year": "exploit_duration_ft_purchase",
-        "ts_first_explore_year": "explore_duration_ft_purchase",
-        "ft_purchase_at_t_date": "customer_duration_ft_purchase",
-    }
-    present = {first: out for first, out in durations.items() if first in panel.columns}
+    panel = panel.withColumns(last_purchase_column(purchases, keys)).withColumns(since_last_purchase_column(keys))
+    present = {first: out for first, out in DURATIONS.items() if first in panel.columns}
     return periods_since(panel, present, default=0, keys=keys)
 
 
-def treatment_features(
-    panel: DataFrame,
-    first: str = "ts_first_explore_year",
-    base_year: int = C.DEFAULT_BASE_YEAR,
-    keys: PanelKeys = YEARLY,
-) -> DataFrame:
-    """Treatment flag, event time and lead/lag dummies.
-
-    Entities that are never treated count time from ``base_year``.
-    """
+def treatment_columns(
+    first: str = "ts_first_explore_year", base_year: int = C.DEFAULT_BASE_YEAR, keys: PanelKeys = YEARLY
+) -> dict[str, Column]:
     treated_at = F.col(first)
-    t = F.col("time_to_treat")
-    panel = panel.withColumns(
-        {
-            "treatment": flag(yes(F.col(keys.period) >= treated_at)),
-            "ever_treated": flag(treated_at.isNotNull()),
-            "time_to_treat": keys.distance(F.coalesce(treated_at, F.lit(base_year))),
-        }
-    )
+    t = keys.distance(F.coalesce(treated_at, F.lit(base_year)))
     dummies: dict[str, Column] = {
         "post_period": t >= 0,
         "pre_treatment_3plus": t <= -3,
@@ -109,15 +116,38 @@ def treatment_features(
         "post_treatment_2": t == 2,
         "post_treatment_3plus": t >= 3,
     }
-    return panel.withColumns({name: flag(c) for name, c in dummies.items()})
+    return {
+        "treatment": flag(yes(F.col(keys.period) >= treated_at)),
+        "ever_treated": flag(treated_at.isNotNull()),
+        "time_to_treat": t,
+        **{name: flag(c) for name, c in dummies.items()},
+    }
+
+
+def treatment_features(
+    panel: DataFrame,
+    first: str = "ts_first_explore_year",
+    base_year: int = C.DEFAULT_BASE_YEAR,
+    keys: PanelKeys = YEARLY,
+) -> DataFrame:
+    """Treatment flag, event time and lead/lag dummies.
+
+    Entities that are never treated count time from ``base_year``.
+    """
+    return panel.withColumns(treatment_columns(first, base_year, keys))
+
+
+def value_at_event_column(
+    column: str, out: str, event_time: str = "time_to_treat", keys: PanelKeys = YEARLY
+) -> dict[str, Column]:
+    return {out: F.max(F.when(F.col(event_time) == 0, F.col(column))).over(keys.whole())}
 
 
 def value_at_event(
     panel: DataFrame, column: str, out: str, event_time: str = "time_to_treat", keys: PanelKeys = YEARLY
 ) -> DataFrame:
     """The column's value at event time 0, on every row of the entity."""
-    at_event = F.when(F.col(event_time) == 0, F.col(column))
-    return panel.withColumn(out, F.max(at_event).over(keys.whole()))
+    return panel.withColumns(value_at_event_column(column, out, event_time, keys))
 
 
 def suspicious_rows(
@@ -165,7 +195,5 @@ def finalise_panel(
     )
     keep = {*keep_missing, keys.entity, keys.period}
     numeric = [f for f in kept.schema if isinstance(f.dataType, NumericType) and f.name not in keep]
-    active = F.col("relationship_status") == C.ACTIVE
-    return kept.withColumns(
-        {f.name: F.when(active, F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType))).otherwise(F.col(f.name)) for f in numeric}
-    )
+    gap_is_zero = "CASE WHEN relationship_status = '{active}' THEN coalesce(`{c}`, 0) ELSE `{c}` END"
+    return kept.withColumns({f.name: F.expr(gap_is_zero.format(active=C.ACTIVE, c=f.name)) for f in numeric})

@@ -251,30 +251,44 @@ ACTIVITY_COLUMNS = (
 
 def activity_totals(panel: DataFrame, won_value: str = "to_sum_val_opps_won", keys: PanelKeys = YEARLY) -> DataFrame:
     """Synchronous, asynchronous and all activities, and effort per revenue (now and lagged)."""
+    panel = activity_sums(panel, won_value)
+    return panel.withColumns(lagged_effort_column(panel, won_value, keys))
+
+
+def activity_sums(panel: DataFrame, won_value: str = "to_sum_val_opps_won") -> DataFrame:
+    """The part of ``activity_totals`` that needs no neighbouring period."""
     panel = ensure_columns(panel, ACTIVITY_COLUMNS)
 
     def total(*columns: str) -> Column:
         return sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns), F.lit(0.0))
 
-    panel = panel.withColumns(
-        {
-            "sales_act_synchronous": total("completed_meetings_num_total", "other_act_phone_calls"),
-            "sales_act_asynchronous": total("mails_total", "other_act_letters", "other_act_faxes"),
-        }
-    ).withColumn("aggregated_sales_act", F.col("sales_act_synchronous") + F.col("sales_act_asynchronous"))
-    if won_value not in panel.columns:
-        return panel.withColumns({"effort_to_revenue_ratio": F.lit(0.0), "lagged_effort_to_revenue_ratio": F.lit(0.0)})
-    won = F.col(won_value)
-    revenue = F.when(won > 0, won).when(won.isNotNull(), 1.0)  # unknown stays unknown
-    previous = F.lag("aggregated_sales_act", 1).over(keys.ordered())
+    synchronous = total("completed_meetings_num_total", "other_act_phone_calls")
+    asynchronous = total("mails_total", "other_act_letters", "other_act_faxes")
+    everything = synchronous + asynchronous
     return panel.withColumns(
         {
-            "effort_to_revenue_ratio": 1000 * F.col("aggregated_sales_act") / revenue,
-            "lagged_effort_to_revenue_ratio": 1000 * previous / revenue,
+            "sales_act_synchronous": synchronous,
+            "sales_act_asynchronous": asynchronous,
+            "aggregated_sales_act": everything,
+            "effort_to_revenue_ratio": 1000 * everything / _revenue(won_value)
+            if won_value in panel.columns
+            else F.lit(0.0),
         }
     )
 
 
+def lagged_effort_column(panel: DataFrame, won_value: str, keys: PanelKeys = YEARLY) -> dict[str, Column]:
+    """Last period's activities per this period's revenue."""
+    previous = F.lag("aggregated_sales_act", 1).over(keys.ordered())
+    ratio_now = 1000 * previous / _revenue(won_value) if won_value in panel.columns else F.lit(0.0)
+    return {"lagged_effort_to_revenue_ratio": ratio_now}
+
+
+def _revenue(won_value: str) -> Column:
+    won = F.col(won_value)
+    return F.when(won > 0, won).when(won.isNotNull(), 1.0)  # unknown stays unknown
+
+
 # --------------------------------------------------------------------------
 # Service
 # --------------------------------------------------------------------------

@@ -141,10 +141,10 @@ def align_measures(panel: DataFrame, tables: Sequence[DataFrame], keys: PanelKey
 
 def mask_inactive(df: DataFrame, columns: Iterable[str], status: str = "relationship_status") -> DataFrame:
     """Measures are unknown before the relationship and 0 by default while it is active."""
-    active = F.col(status) == C.ACTIVE
-    return df.withColumns({c: F.when(active, F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))) for c in columns})
+    known = "CASE WHEN {status} = '{active}' THEN coalesce(`{c}`, 0) END"
+    return df.withColumns({c: F.expr(known.format(status=status, active=C.ACTIVE, c=c)) for c in columns})
 
 
 def zero_missing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """No record means 0 (the rule of the small panel)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in columns})
+    return df.withColumns({c: F.expr(f"coalesce(`{c}`, 0)") for c in columns})

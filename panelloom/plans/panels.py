@@ -84,6 +84,15 @@ PRODUCT_COLUMNS = (
     "Registered_Competitor_Product",
 )
 
+MEASURED_COLUMNS = (
+    *OPPORTUNITY_COLUMNS,
+    *SOFTWARE_COLUMNS,
+    *M.ACTIVITY_COLUMNS,
+    *SERVICE_COLUMNS,
+    *INSTALLED_COLUMNS,
+    *PRODUCT_COLUMNS,
+)
+
 
 def entity_grid(inputs: PanelInputs, spec: PanelSpec) -> tuple[DataFrame, DataFrame]:
     """The entity x period grid with attributes, and the entity attributes themselves.
@@ -135,116 +144,122 @@ def measure_tables(inputs: PanelInputs, attributes: DataFrame, spec: PanelSpec)
     return tables
 
 
-def opportunity_features(panel: DataFrame, keys: PanelKeys) -> DataFrame:
-    panel = G.cumulative(
-        panel,
-        {
-            "to_number_of_opps": "to_cum_opps",
-            "to_sum_opps_won": "to_cum_opps_won",
-            "to_sum_val_opps_won": "to_cum_val_opps_won",
-            "to_value_accessories": "to_cum_value_accessories",
-            "to_value_hw_mt_standalone": "to_cum_value_hw_mt",
-            "to_value_hw_lt_standalone": "to_cum_value_hw_lt",
-            "to_value_software": "to_cum_value_software",
-            "to_value_services": "to_cum_value_services",
-        },
-        keys,
-    )
-    panel = G.first_period_where(panel, {"first_opp_year": F.col("to_number_of_opps") > 0}, keys)
-    panel = G.periods_since(panel, {"first_opp_year": "years_since_first_opp"}, keys=keys)
-    rolling = {"to_number_of_opps": "to_rolling_opps_3yr", "to_sum_val_opps_won": "to_rolling_value_3yr"}
-    return G.rolling_mean(panel, rolling, 3, keys, null_as_zero=True)
+def software_features(panel: DataFrame, keys: PanelKeys = PanelKeys()) -> DataFrame:
+    """Running totals, first years, ever and post flags and years since, per software class."""
+    windows = G.cumulative_columns({c: f"{c}_cum" for c in SOFTWARE_COLUMNS}, keys)
+    windows |= G.first_period_columns(_software_firsts(), keys)
+    return panel.withColumns(windows).withColumns(_software_followups(keys))
 
 
-def software_features(panel: DataFrame, keys: PanelKeys) -> DataFrame:
-    panel = G.cumulative(
-        panel,
-        {c: f"{c}_cum" for c in SOFTWARE_COLUMNS},
-        keys,
-    )
-    firsts = {
+def _software_firsts() -> dict[str, Column]:
+    return {
         "ts_first_any_sw_year": F.col("ts_sales_sw_num_total") > 0,
         "ts_first_explore_year": F.col("ts_sales_num_sw_explore") > 0,
         "ts_first_exploit_year": F.col("ts_sales_num_sw_exploit") > 0,
     }
-    panel = G.first_period_where(panel, firsts, keys)
-    names = {
+
+
+def _software_followups(keys: PanelKeys) -> dict[str, Column]:
+    flags = {
         "ts_first_any_sw_year": ("ts_ever_purchased_sw", "ts_post_any_sw_period"),
         "ts_first_explore_year": ("ts_ever_purchased_explore", "ts_post_explore_period"),
         "ts_first_exploit_year": ("ts_ever_purchased_exploit", "ts_post_exploit_period"),
     }
-    panel = G.ever_and_post(panel, names, keys)
     since = {
         "ts_first_any_sw_year": "ts_years_since_any_sw",
         "ts_first_explore_year": "ts_years_since_explore",
         "ts_first_exploit_year": "ts_years_since_exploit",
     }
-    return G.periods_since(panel, since, keys=keys)
-
-
-def activity_features(panel: DataFrame, keys: PanelKeys) -> DataFrame:
-    panel = M.activity_totals(panel, keys=keys)
-    rolling = {"aggregated_sales_act": "rolling_interactions_3yr", "effort_to_revenue_ratio": "rolling_efforts_3yr"}
-    return G.rolling_mean(panel, rolling, 3, keys)
-
-
-def service_features(panel: DataFrame, keys: PanelKeys) -> DataFrame:
-    panel = M.service_ratios(panel)
-    rolling = {
-        "High_service_dissatisfiers_sum": "High_service_dissatisfiers_sum_ra_5",
-        "all_dissatisfaction": "all_dissatisfaction_ra_5",
-    }
-    return G.rolling_mean(panel, rolling, 5, keys)
-
-
-def product_features(panel: DataFrame, keys: PanelKeys) -> DataFrame:
-    panel = G.cumulative(
-        panel,
-        {
-            "reg_prods_total": "reg_prods_total_cum",
-            "ERP_Registered_Product": "erp_registered_product_cum",
-            "Manual_Registered_Product": "Manual_Registered_Product_cum",
-            "Registered_Competitor_Product": "Registered_Competitor_Product_cum",
-        },
-        keys,
-    )
-    panel = M.share_measures(panel)
-    rolling = {"reg_prods_total": "reg_prods_total_ra_5", "share_of_purchase_T_cum": "share_of_purchase_T_cum_ra_5"}
-    return G.rolling_mean(panel, rolling, 5, keys)
+    return G.ever_and_post_columns(flags, keys) | G.periods_since_columns(since, keys=keys)
+
+
+OPPORTUNITY_TOTALS = {
+    "to_number_of_opps": "to_cum_opps",
+    "to_sum_opps_won": "to_cum_opps_won",
+    "to_sum_val_opps_won": "to_cum_val_opps_won",
+    "to_value_accessories": "to_cum_value_accessories",
+    "to_value_hw_mt_standalone": "to_cum_value_hw_mt",
+    "to_value_hw_lt_standalone": "to_cum_value_hw_lt",
+    "to_value_software": "to_cum_value_software",
+    "to_value_services": "to_cum_value_services",
+}
+PRODUCT_TOTALS = {
+    "reg_prods_total": "reg_prods_total_cum",
+    "ERP_Registered_Product": "erp_registered_product_cum",
+    "Manual_Registered_Product": "Manual_Registered_Product_cum",
+    "Registered_Competitor_Product": "Registered_Competitor_Product_cum",
+}
+
+
+def product_features(panel: DataFrame, keys: PanelKeys = PanelKeys()) -> DataFrame:
+    """Running totals, purchase shares and five-period means of registered products."""
+    windows = G.cumulative_columns(PRODUCT_TOTALS, keys)
+    windows |= G.rolling_columns({"reg_prods_total": "reg_prods_total_ra_5"}, 5, keys)
+    panel = M.share_measures(panel.withColumns(windows))
+    return G.rolling_mean(panel, {"share_of_purchase_T_cum": "share_of_purchase_T_cum_ra_5"}, 5, keys)
 
 
 def feature_panel(inputs: PanelInputs, spec: PanelSpec) -> DataFrame:
     """The panel with every feature, before suspicious entities and filters are applied.
 
     After ``align_measures`` the rows are hashed by entity, so no feature below needs
-    another exchange.
+    another exchange. Features are grouped by what they depend on: each group of window
+    features is one ``withColumns`` and thereby one Window operator over the same sort.
     """
     keys = spec.keys
     grid, attributes = entity_grid(inputs, spec)
     panel = P.align_measures(grid, measure_tables(inputs, attributes, spec), keys)
-    has_activities = any(d is not None for d in (inputs.meetings, inputs.mails, inputs.other_activities))
-    if has_activities:
+    software, products = inputs.software_sales is not None, inputs.registered_products is not None
+    cases = inputs.cases is not None
+    activities = any(d is not None for d in (inputs.meetings, inputs.mails, inputs.other_activities))
+    if activities:
         panel = M.ensure_columns(panel, M.ACTIVITY_COLUMNS)
-    measured = (*OPPORTUNITY_COLUMNS, *SOFTWARE_COLUMNS, *M.ACTIVITY_COLUMNS, *SERVICE_COLUMNS, *INSTALLED_COLUMNS, *PRODUCT_COLUMNS)
-    panel = P.mask_inactive(panel, [c for c in measured if c in panel.columns])
-    panel = opportunity_features(panel, keys)
-    if inputs.software_sales is not None:
-        panel = software_features(panel, keys)
-    if has_activities:
-        panel = activity_features(panel, keys)
-    if inputs.cases is not None:
-        panel = service_features(panel, keys)
-    series = ["to_cum_opps_won"]
-    if inputs.registered_products is not None:
-        panel = product_features(panel, keys)
-        series = list(H.DEFAULT_PURCHASE_SERIES)
-    panel = H.tenure_features(panel, keys)
-    panel = H.first_purchase_date(panel, series, keys)
-    panel = H.recency(panel, keys=keys)
-    if inputs.software_sales is not None:
-        panel = H.treatment_features(panel, base_year=spec.base_year, keys=keys)
-        panel = H.value_at_event(panel, "customer_tenure", "customer_relationship_length_at_treatment", keys=keys)
-    return panel
+    panel = P.mask_inactive(panel, [c for c in MEASURED_COLUMNS if c in panel.columns])
+
+    # Row by row.
+    if activities:
+        panel = M.activity_sums(panel)
+    if cases:
+        panel = M.service_ratios(panel)
+
+    # Windows over measures.
+    first = G.cumulative_columns(OPPORTUNITY_TOTALS, keys)
+    first |= G.first_period_columns({"first_opp_year": F.col("to_number_of_opps") > 0}, keys)
+    rolling = {"to_number_of_opps": "to_rolling_opps_3yr", "to_sum_val_opps_won": "to_rolling_value_3yr"}
+    first |= G.rolling_columns(rolling, 3, keys, null_as_zero=True)
+    first |= H.first_active_column(keys) | H.last_purchase_column(keys=keys)
+    if software:
+        first |= G.cumulative_columns({c: f"{c}_cum" for c in SOFTWARE_COLUMNS}, keys)
+        first |= G.first_period_columns(_software_firsts(), keys)
+    if activities:
+        rolling = {"aggregated_sales_act": "rolling_interactions_3yr", "effort_to_revenue_ratio": "rolling_efforts_3yr"}
+        first |= G.rolling_columns(rolling, 3, keys) | M.lagged_effort_column(panel, "to_sum_val_opps_won", keys)
+    if cases:
+        dissatisfied = ("High_service_dissatisfiers_sum", "all_dissatisfaction")
+        first |= G.rolling_columns({c: f"{c}_ra_5" for c in dissatisfied}, 5, keys)
+    if products:
+        first |= G.cumulative_columns(PRODUCT_TOTALS, keys)
+        first |= G.rolling_columns({"reg_prods_total": "reg_prods_total_ra_5"}, 5, keys)
+    panel = panel.withColumns(first)
+
+    # Row by row again.
+    follow = H.tenure_columns(keys) | G.periods_since_columns({"first_opp_year": "years_since_first_opp"}, keys=keys)
+    if software:
+        follow |= _software_followups(keys) | H.treatment_columns(base_year=spec.base_year, keys=keys)
+    panel = panel.withColumns(follow)
+    if products:
+        panel = M.share_measures(panel)
+
+    # Windows over the features so far.
+    second = H.purchase_start_column(H.DEFAULT_PURCHASE_SERIES if products else ["to_cum_opps_won"], keys)
+    second |= H.since_last_purchase_column(keys)
+    if software:
+        second |= H.value_at_event_column("customer_tenure", "customer_relationship_length_at_treatment", keys=keys)
+    if products:
+        second |= G.rolling_columns({"share_of_purchase_T_cum": "share_of_purchase_T_cum_ra_5"}, 5, keys)
+    panel = G.fill(panel.withColumns(second), ["ft_purchase_at_t_date"], "down", keys)
+    present = {first_year: out for first_year, out in H.DURATIONS.items() if first_year in panel.columns}
+    return G.periods_since(panel, present, default=0, keys=keys)
 
 
 def build_panel(inputs: PanelInputs, spec: PanelSpec) -> DataFrame:
