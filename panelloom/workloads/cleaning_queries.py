@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +14,6 @@ from panelloom.operators import schema as S
 from panelloom.operators.measures import category_map
 from panelloom.plans import cleaners
 from panelloom.sources import extracts as X
-from panelloom.sources.layers import shared_folder
-from panelloom.workloads.fixtures import Tables
 from panelloom.workloads.registry import cte, query
 
 # --------------------------------------------------------------------------
@@ -26,12 +21,6 @@ from panelloom.workloads.registry import cte, query
 # --------------------------------------------------------------------------
 
 
-def scratch(t: Tables, name: str) -> str:
-    """A fresh folder in the cluster's shared directory (a local one only when none is set)."""
-    default = None if t.spark.conf.get("spark.checkpoint.dir", None) else tempfile.mkdtemp(prefix="panelloom-")
-    return f"{shared_folder(t.spark, default)}/{name}-{uuid.uuid4().hex}"
-
-
 def _with_preamble(columns: list[str], lines: int):
     """Arrow batches of one task, with a preamble and a header line in front."""
 
@@ -69,7 +58,7 @@ def ingest_text_first(t):
     """Two header layouts with a three-line preamble, written from the orders and read back."""
     orders = t.table("orders")
     finished = F.col("o_orderstatus") == "F"
-    folder = scratch(t, "ingest")
+    folder = t.scratch("ingest")
     note = F.concat(F.lit("a, b "), F.col("o_orderpriority")).alias("note")
     write_extract(orders.filter(finished).select("o_orderkey", "o_custkey", note), f"{folder}/finished", 3)
     write_extract(orders.filter(~finished).select("o_custkey", "o_orderstatus", "o_orderkey"), f"{folder}/open", 3)
@@ -576,7 +565,7 @@ def clean_opportunities(t):
         F.col("to_id").alias("_line"),
     )
     copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
-    return cleaners.clean(copies, cleaners.OPPORTUNITIES, ["_line", "_block"])
+    return cleaners.clean(t.stored("opportunities", copies), cleaners.OPPORTUNITIES, ["_line", "_block"])
 
 
 @query(
@@ -597,4 +586,4 @@ def clean_cases(t):
         F.when(F.col("sc_reaction_time").isNotNull(), reaction).alias("Reaction Time"),
         F.struct("case_year", "sc_reaction_time", "sc_case_type", "sc_delayed_callbacks", "sc_priority").alias("_line"),
     )
-    return cleaners.clean(raw, cleaners.CASES, ["_line"])
+    return cleaners.clean(t.stored("cases", raw), cleaners.CASES, ["_line"])

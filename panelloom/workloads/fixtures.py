@@ -7,9 +7,13 @@ oracles as common table expressions.
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelloom.sources.layers import read_layer, shared_folder, write_layer
+
 BASE_TABLES = (
     "region",
     "nation",
@@ -170,3 +174,15 @@ class Tables:
                 sql = re.sub(rf"(FROM|JOIN) {source}\b", rf"\1 {{{source}}}", sql)
             self._known[name] = self.spark.sql(sql, **inputs)
         return self._known[name]
+
+    def scratch(self, name: str) -> str:
+        """A fresh folder in the cluster's shared directory (a local one only where none is set)."""
+        configured = self.spark.conf.get("spark.checkpoint.dir", None)
+        default = None if configured else tempfile.mkdtemp(prefix="panelloom-")
+        return f"{shared_folder(self.spark, default)}/{name}-{uuid.uuid4().hex}"
+
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written as a layer and read back, for steps that pass over it several times."""
+        root = self.scratch(name)
+        write_layer(df, root, "interim", name)
+        return read_layer(self.spark, root, "interim", name)

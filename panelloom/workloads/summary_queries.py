@@ -27,7 +27,8 @@ METRICS = ("to_sum_val_opps_won", "to_number_of_opps", "customer_tenure", "sales
     + " FROM featured GROUP BY 1",
 )
 def group_summary(t):
-    return I.group_summary(features(t).select("customer_id", "treatment", *METRICS), ["treatment"], METRICS)
+    panel = t.stored("panel", features(t).select("customer_id", "treatment", *METRICS))
+    return I.group_summary(panel, ["treatment"], METRICS)
 
 
 @query(
@@ -51,7 +52,7 @@ def event_study_means(t):
     ),
 )
 def key_variable_summary(t):
-    return I.key_variable_summary(features(t))
+    return I.key_variable_summary(t.stored("panel", features(t).select(*I.KEY_VARIABLES)))
 
 
 @query(
