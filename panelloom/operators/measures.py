@@ -56,17 +56,26 @@ def _year_from(df: DataFrame, roles: Mapping[str, str], date_role: str) -> Colum
 
 def opportunity_measures(
     opportunities: DataFrame,
-    categories: Mapping[str, Sequence[str]] | None = None,
+    categories: Mapping[str, Sequence[str]] | DataFrame | None = None,
     closed: Sequence[str] = C.CLOSED_STATUSES,
     closed_by_category: Sequence[str] = C.CLOSED_STATUSES_BY_CATEGORY,
     keys: PanelKeys = YEARLY,
 ) -> DataFrame:
-    """Counts, won value and win rate per entity and closing period, overall and per category group."""
+    """Counts, won value and win rate per entity and closing period, overall and per category group.
+
+    ``categories`` holds a list per group, or is a ``category_map`` table that is joined.
+    """
     categories = C.DEFAULT_CATEGORIES if categories is None else categories
     roles = resolve_roles(opportunities, "opportunities", ["entity", "status", "category", "value"])
     status, category, value = (F.col(roles[r]) for r in ("status", "category", "value"))
     won = status == C.WON
-    in_group = {out: is_one_of(category, categories.get(g, ())) for out, g in C.MEASURED_CATEGORY_GROUPS.items()}
+    if isinstance(categories, DataFrame):
+        opportunities = tag_category_groups(opportunities, roles["category"], categories)
+        in_group = {
+            out: F.coalesce(F.array_contains("_groups", g), F.lit(False)) for out, g in C.MEASURED_CATEGORY_GROUPS.items()
+        }
+    else:
+        in_group = {out: is_one_of(category, categories.get(g, ())) for out, g in C.MEASURED_CATEGORY_GROUPS.items()}
     n_closed, n_won = count_where(is_one_of(status, closed)), count_where(won)
     return aggregate_by_period(
         opportunities,
@@ -468,3 +477,9 @@ def category_map(sources: Mapping[str, tuple[DataFrame, str]], fallback: Mapping
         spark = next(iter(sources.values()))[0].sparkSession
         parts.append(spark.createDataFrame(rows, "category_group string, category string"))
     return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def tag_category_groups(df: DataFrame, column: str, categories: DataFrame) -> DataFrame:
+    """Add ``_groups``: the category groups a row's category belongs to (no fan-out)."""
+    groups = categories.groupBy(F.col("category").alias(column)).agg(F.collect_set("category_group").alias("_groups"))
+    return df.join(groups, column, "left")

@@ -54,9 +54,9 @@ def _named(df: DataFrame, patterns: Sequence[str], taken: Sequence[str] = ()) ->
 
 
 def _on_body(df: DataFrame, step: Step) -> DataFrame:
-    """Apply a step to all but the row-position columns."""
+    """Apply a naming step to all but the row-position columns."""
     position = [c for c in (*POSITION, CORRUPT) if c in df.columns]
-    names = [c for c in df.columns if c not in position]
+    names = [f"`{c}`" for c in df.columns if c not in position]
     return df.select(*position, *names).toDF(*position, *step(df.select(*names)).columns)
 
 
@@ -68,6 +68,7 @@ def clean(df: DataFrame | None, spec: CleanSpec, order_by: Sequence[str] = POSIT
     if spec.naming is not None:
         df = _on_body(df, spec.naming)
     df = S.rename_existing(df, spec.rename)
+    df = df.withColumnsRenamed({c: c.replace(".", "_") for c in df.columns})
     if spec.questions:
         df = S.label_questions(df, spec.questions)
     text = [c for c in S.text_columns(df) if c not in order_by]

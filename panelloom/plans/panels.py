@@ -264,8 +264,11 @@ def feature_panel(inputs: PanelInputs, spec: PanelSpec) -> DataFrame:
 
 def build_panel(inputs: PanelInputs, spec: PanelSpec) -> DataFrame:
     """The finished panel: every feature, suspicious entities removed, filters applied."""
+    panel = feature_panel(inputs, spec)
+    # The filters need both columns; an undescribed entity has neither.
+    missing = [c for c in ("country", "customer_name") if c not in panel.columns]
     return H.finalise_panel(
-        feature_panel(inputs, spec),
+        panel.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else panel,
         spec.first_period,
         spec.last_period,
         spec.country,

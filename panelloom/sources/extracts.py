@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.names import numbered
+from panelloom.operators.quality import ingest_warnings
 from panelloom.operators.schema import clean_names, suffix_names
 
 POSITION = ("_file", "_block", "_line")
@@ -121,6 +122,11 @@ def read_text_first(
     return union_fill(parts)
 
 
+def warnings_by_file(df: DataFrame) -> DataFrame:
+    """Which files hold lines that do not fit their header, and how many."""
+    return ingest_warnings(df.withColumn("_failed", F.col(CORRUPT).isNotNull()), "_file", "_failed")
+
+
 def union_fill(tables: Sequence[DataFrame | None]) -> DataFrame | None:
     """Stack tables by column name; absent columns are NULL, absent tables are left out."""
     present = [t for t in tables if t is not None]
@@ -141,10 +147,10 @@ def load_source(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
         return None
     inner = (*POSITION, CORRUPT)
     if spec.keep:
-        df = df.select(*inner, *[c for c in spec.keep if c in df.columns])
+        df = df.select(*inner, *[f"`{c}`" for c in spec.keep if c in df.columns])
     df = df.drop(*spec.drop)
     names = [c for c in df.columns if c not in inner]
-    body = df.select(*names)
+    body = df.select(*[f"`{c}`" for c in names])
     if spec.tidy_names:
         body = clean_names(body)
     if spec.suffix:

@@ -143,3 +143,11 @@ def test_result_does_not_depend_on_partitions_or_order(opportunities):
     mixed = opportunities.orderBy(F.desc("to_id")).repartition(5)
     b = P.align_measures(grid(mixed), [M.opportunity_measures(mixed)])
     assert rows(a, *a.columns) == rows(b, *a.columns)
+
+
+def test_category_dictionary_as_lists_or_as_a_joined_table(spark, opportunities):
+    lists = {"t_software": ["Software"], "t_hw_lt_standalone": ["Laser machine", "Software"]}
+    pairs = [(g, c) for g, names in lists.items() for c in names]
+    table = spark.createDataFrame(pairs, "category_group string, category string")
+    a, b = M.opportunity_measures(opportunities, lists), M.opportunity_measures(opportunities, table)
+    assert rows(a, *a.columns) == rows(b, *a.columns)

@@ -121,3 +121,11 @@ def test_panel_is_written_by_period_with_metadata(spark, tmp_path):
     meta = spark.read.parquet(paths["metadata"]).first()
     assert (meta.n_rows, meta.n_customers, meta.n_treated, meta.first_year) == (40, 20, 10, 2000)
     assert spark.read.parquet(paths["summary"]).count() == 2
+
+
+def test_lines_that_do_not_fit_are_reported_per_file(spark, tmp_path):
+    write(tmp_path / "in", "good.csv", ["id,name", "1,a"])
+    write(tmp_path / "in", "bad.csv", ["id,name", "1,a,b,c", "2,b"])
+    df = X.read_text_first(spark, X.list_sources(spark, str(tmp_path / "in"), "*.csv"))
+    report = {r._file.rsplit("/", 1)[1]: (r.has_warnings, r.n_failed) for r in X.warnings_by_file(df).collect()}
+    assert report == {"good.csv": (False, 0), "bad.csv": (True, 1)}
