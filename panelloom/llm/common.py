@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +165,16 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def with_workers(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that Python workers look for this package where the driver found it
+    (they also do where it is installed or was shipped with the job)."""
+    env, here = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if here not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, here])
+    return df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once and stored in the shared folder of spark.checkpoint.dir.
 

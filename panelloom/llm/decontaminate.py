@@ -222,7 +222,7 @@ def find_leaks(
             leaks = pa.StructArray.from_arrays([pa.array(counts.astype(np.int64)), _lists(begin), _lists(end), _lists(listed)], ["n_words", "hit_from", "hit_to", "items"])
             yield pa.RecordBatch.from_arrays([*[batch.column(source_columns.index(c)) for c in carry], leaks], [*carry, found])
 
-    return source.mapInArrow(examine, result)
+    return C.with_workers(source).mapInArrow(examine, result)
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
