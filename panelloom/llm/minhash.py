@@ -37,7 +37,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 28
 ROWS = 6
-SMALL = 12
+#: Members of a band that try all their pairs.
+SMALL = 32
 #: Numbers of darts in a unit cell: the distribution function of Poisson(1).
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1, 12)]))
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -201,19 +202,22 @@ def near_links(reps: DataFrame, docs: DataFrame, similarity: float, width: int)
     members = C.checkpointed(shared.join(counted, "band"))
     wanted = members.select("doc_id").distinct()
     sets = C.checkpointed(run_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), width))
-    small = members.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
-    pairs = small.select(F.explode(F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, 1, i), y -> struct(x AS a, y AS b))))")).alias("p")).select("p.a", "p.b")
-    links = C.checkpointed(_verified(pairs.distinct(), sets, similarity))
-    open_ = members.where(F.col("n") > SMALL).select("band", "doc_id", "least")
-    while not C.is_empty(open_):
-        tried = open_.where("doc_id > least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct()
+    links, open_ = None, members
+    while True:
+        large = open_.where(F.col("n") > SMALL)
+        lists = open_.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_set("doc_id")).alias("ids"))
+        each = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, 1, i), y -> struct(x AS a, y AS b))))")
+        tried = lists.select(F.explode(each).alias("p")).select("p.a", "p.b")
+        tried = tried.union(large.where("doc_id > least").select("doc_id", "least")).distinct()
         good = C.checkpointed(_verified(tried, sets, similarity))
-        links = links.union(good)
-        failed = open_.where("doc_id > least").join(good, (F.col("doc_id") == good["a"]) & (F.col("least") == good["b"]), "left_anti").select("band", "doc_id")
+        links = good if links is None else links.union(good)
+        same = (F.col("doc_id") == good["a"]) & (F.col("least") == good["b"])
+        failed = large.where("doc_id > least").select("band", "doc_id", "least").join(good, same, "left_anti").select("band", "doc_id")
         failed = C.checkpointed(failed)
-        least = C.checkpointed(failed.groupBy("band").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1").drop("n"))
+        if C.is_empty(failed):
+            return links
+        least = C.checkpointed(failed.groupBy("band").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1"))
         open_ = failed.join(least, "band")
-    return links
 
 
 def near_groups(
