@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.llm import bpe, decontaminate, minhash
+from panelloom.llm import bpe, decontaminate, langid, minhash, substrings
 from panelloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def _query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@_query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(read_table(spark, sf_dir, "documents"))
@@ -31,3 +36,8 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_report(read_table(spark, sf_dir, "documents"))
