@@ -146,6 +146,11 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def _log_softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(axis=-1, keepdims=True)
+    return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
+
+
 def _fit(languages: list[str], labels: list[int], bags: list[tuple[np.ndarray, np.ndarray]], held: list[bool]) -> Model:
     random = np.random.default_rng(17)
     embed = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -173,7 +178,7 @@ def _fit(languages: list[str], labels: list[int], bags: list[tuple[np.ndarray, n
     target = np.full(logits.shape, 1 / (len(truth) + 2) / max(1, len(languages) - 1))
     target[np.arange(len(truth)), truth] = (len(truth) + 1) / (len(truth) + 2)
     grid = 2.0 ** np.arange(-6, 10.25, 0.25)
-    loss = [-(target * np.log(_softmax(logits / t) + 1e-12)).sum(axis=1).mean() for t in grid]
+    loss = [-(target * _log_softmax(logits / t)).sum(axis=1).mean() for t in grid]
     heat = grid[int(np.argmin(loss))]
     sure = _softmax(logits / heat)
     right = np.sort(sure.max(axis=1)[sure.argmax(axis=1) == truth])
