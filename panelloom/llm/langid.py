@@ -33,7 +33,7 @@ ORDERS = (2, 3, 4)
 #: At most so many labelled rows are learned from, spread evenly over the languages.
 SAMPLE_ROWS = 4000
 EPOCHS = 5
-RATE = 0.5
+RATE = 0.2
 #: One in so many sampled rows calibrates instead of training.
 HELD_BACK = 5
 REJECTED = 0.0005
@@ -167,8 +167,8 @@ def _fit(languages: list[str], labels: list[int], bags: list[tuple[np.ndarray, n
             back = linear @ error
             linear -= rate * np.outer(hidden, error)
             bias -= rate * error
-            # Shares are small; the number of buckets brings their step back to the order of one.
-            embed[bucket] -= rate * (share * len(bucket))[:, None] * back
+            # The shares of a long text are small; the root keeps its step from vanishing.
+            embed[bucket] -= rate * (share * np.float32(len(bucket) ** 0.5))[:, None] * back
             steps += 1
     scores = embed @ linear
     check = [k for k in range(len(bags)) if held[k]] or fit
