@@ -29,6 +29,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,13 +107,15 @@ def _find_units(src: DataFrame, window: int, gram: int) -> DataFrame:
     return C.with_workers(src).mapInArrow(run, UNIT)
 
 
-def _pack(chosen: DataFrame, window: int, gram: int) -> DataFrame:
-    """Packed strings of the units that start at each row's ``starts`` (with their counts)."""
+def _pack(chosen: DataFrame, rid: str, anon: str, text: str, asked_for: str, window: int, gram: int) -> DataFrame:
+    """Packed strings of the units that start at each row's ``asked_for`` (starts with counts)."""
+    names = chosen.columns
 
     def run(batches):
         for batch in batches:
-            raw, offsets = C.text_bytes(batch.column(2))
-            wanted = batch.column(3)
+            raw, offsets = C.text_bytes(batch.column(names.index(text)))
+            wanted = batch.column(names.index(asked_for))
+            rids, anons = batch.column(names.index(rid)), batch.column(names.index(anon))
             for i, j in C.row_slices(offsets):
                 row, start, length, mini, _ = units(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], window, gram)
                 keep, counts, packed = [], [], []
@@ -126,7 +129,7 @@ def _pack(chosen: DataFrame, window: int, gram: int) -> DataFrame:
                             packed.append(b" ".join(words[start[u] : start[u] + length[u] + window - 1]))
                 rows = pa.array(row[keep] + i, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(C.signed(mini[keep])), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()).cast(pa.string()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start[keep].astype(np.int32))],
+                    [pa.array(C.signed(mini[keep])), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()).cast(pa.string()), rids.take(rows), anons.take(rows), pa.array(start[keep].astype(np.int32))],
                     ["mini", "n", "packed", "rid", "anon", "start"],
                 )
 
@@ -168,6 +171,7 @@ def repeated_windows(packed: pa.Array, window: int) -> tuple[np.ndarray, np.ndar
 
 
 def _spans(table: pa.Table, window: int) -> pa.RecordBatch:
+    """Spans of repeated windows of whole buckets."""
     unit, first, last = repeated_windows(table["packed"].combine_chunks(), window)
     rows = table.take(pa.array(unit))
     start = rows["start"].to_numpy().astype(np.int64)
@@ -177,19 +181,29 @@ def _spans(table: pa.Table, window: int) -> pa.RecordBatch:
     )
 
 
+def _some_buckets(table: pa.Table) -> list[pa.Table]:
+    """A table that is sorted by minimiser, in parts of about a slice of bytes, cut between buckets."""
+    mini = table["mini"].to_numpy()
+    edges = np.r_[0, np.flatnonzero(mini[1:] != mini[:-1]) + 1, len(mini)]
+    reach = np.r_[0, np.cumsum(pc.binary_length(table["packed"]).to_numpy())][edges]
+    return [table.slice(edges[i], edges[j] - edges[i]) for i, j in C.row_slices(reach)]
+
+
 def _count_sorted(packed: DataFrame, window: int) -> DataFrame:
     """Spans of repeated windows, from units that arrive sorted by minimiser."""
 
     def run(batches):
         held = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            mini = held["mini"].to_numpy()
-            done = int(np.searchsorted(mini, mini[-1])) if len(mini) else 0
-            if done:
-                yield _spans(held.slice(0, done), window)
-                held = held.slice(done)
+            for first in range(0, batch.num_rows, HOT):
+                table = pa.Table.from_batches([batch.slice(first, HOT)])
+                held = table if held is None else pa.concat_tables([held, table])
+                mini = held["mini"].to_numpy()
+                done = int(np.searchsorted(mini, mini[-1]))
+                if done:
+                    for part in _some_buckets(held.slice(0, done)):
+                        yield _spans(part, window)
+                    held = held.slice(done)
         if held is not None and held.num_rows:
             yield _spans(held, window)
 
@@ -202,16 +216,18 @@ def _count_hot(packed: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            raw, _, _, unit, number, words, at = _windows(batch.column(0), window)
-            rows = pa.array(unit)
-            start = batch.column(3).to_numpy()[unit] + number
-            prints = [C.window_hashes(w, window)[at] if len(at) else np.zeros(0, np.uint64) for w in (words, C.mix(words + np.uint64(0xC3)))]
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(C.signed(p)) for p in prints], batch.column(1).take(rows), batch.column(2).take(rows), pa.array(start.astype(np.int32))],
-                ["h1", "h2", "rid", "anon", "start"],
-            )
-
-    prints = C.checkpointed(C.with_workers(packed).select("packed", "rid", "anon", "start").mapInArrow(run, PRINT))
+            column = batch.column(0)
+            for i, j in C.row_slices(C.text_bytes(column)[1]):
+                _, _, _, unit, number, words, at = _windows(column[i:j], window)
+                rows = pa.array(unit + i)
+                start = batch.column(3).to_numpy()[unit + i] + number
+                prints = [C.window_hashes(w, window)[at] if len(at) else np.zeros(0, np.uint64) for w in (words, C.mix(words + np.uint64(0xC3)))]
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(C.signed(p)) for p in prints], batch.column(1).take(rows), batch.column(2).take(rows), pa.array(start.astype(np.int32))],
+                    ["h1", "h2", "rid", "anon", "start"],
+                )
+
+    prints = C.with_workers(packed).select("packed", "rid", "anon", "start").mapInArrow(run, PRINT)
     repeated = prints.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = prints.withColumn("salt", F.pmod(F.xxhash64("rid", "start"), F.lit(SALTS)).cast("int")).join(salted, ["h1", "h2", "salt"], "left_semi")
@@ -245,14 +261,16 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
     """The columns ``carry`` of ``docs`` (default: all) and ``out``: a struct of n_words, n_removed
     and the text of the words that stay, joined by one space."""
     carry = docs.columns if carry is None else carry
-    rid, anon, spans = C.free_name(docs, "rid", "anon", "spans")
+    rid, anon, spans, asked_for = C.free_name(docs, "rid", "anon", "spans", "starts")
     ident = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`")))
     keyed = docs.select(ident.alias(rid), F.col(f"`{doc_id}`").isNull().alias(anon), *[F.col(f"`{c}`") for c in dict.fromkeys([*carry, text])])
     src = keyed.select(F.col(rid).alias("rid"), F.col(anon).alias("anon"), F.col(f"`{text}`").alias("text"))
     found = _find_units(src, window, gram)
     counts = C.checkpointed(found.groupBy("mini").agg(F.sum("weight").alias("n")).where("n > 1"))
-    starts = found.join(counts, "mini").groupBy("rid", "anon").agg(F.collect_set(F.struct("start", "n")).alias("starts"))
-    packed = _pack(src.join(starts, ["rid", "anon"]), window, gram)
+    starts = found.join(counts, "mini").groupBy("rid", "anon").agg(F.collect_set(F.struct("start", "n")).alias(asked_for))
+    # Both joins with the texts shuffle the same columns, so Spark does it once.
+    starts = starts.select(F.col("rid").alias(rid), F.col("anon").alias(anon), asked_for)
+    packed = _pack(keyed.join(starts, [rid, anon]), rid, anon, text, asked_for, window, gram)
     repeats = _count_sorted(packed.where(F.col("n") <= hot), window)
     if not C.is_empty(counts.where(F.col("n") > hot)):
         repeats = repeats.unionByName(_count_hot(packed.where(F.col("n") > hot), window))
