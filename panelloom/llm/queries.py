@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.llm import bpe, decontaminate, embeddings, langid, minhash, substrings
+from panelloom.llm import bpe, decontaminate, embeddings, langid, minhash, sanitise, substrings, urls
 from panelloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,16 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+@_query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.personal_report(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(read_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -119,10 +119,13 @@ def threshold(scored: DataFrame) -> float | None:
         # A few thousand steps at most: a mean log-likelihood difference has bounded size.
         below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
         every = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        share = F.coalesce(F.sum("bad").over(below), F.lit(0)) / F.sum("bad").over(every) + 1 - F.coalesce(F.sum("good").over(below), F.lit(0)) / F.sum("good").over(every)
-        best = table.withColumn("worth", share).where("worth IS NOT NULL").orderBy(F.desc("worth"), "step").limit(1).head()
+        parts = [F.try_divide(F.coalesce(F.sum(c).over(below), F.lit(0)), F.sum(c).over(every)) for c in ("bad", "good")]
+        before = F.lag("step", 1).over(Window.orderBy("step"))
+        # Halfway between the scores on both sides of the cut.
+        middle = (F.col("step") + F.coalesce(before, F.col("step") - 0.01)) / 2
+        best = table.select((parts[0] + 1 - parts[1]).alias("worth"), middle.alias("cut")).where("worth IS NOT NULL").orderBy(F.desc("worth"), "cut").limit(1).head()
         if best:
-            return float(best["step"]) - 0.005
+            return float(best["cut"])
     return None
 
 
