@@ -8,6 +8,8 @@ the same text has the same hash in every task, session and run.
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -175,17 +177,44 @@ def with_workers(df: DataFrame) -> DataFrame:
     return df
 
 
+_FOLDERS: dict[str, str] = {}
+
+
+def _folder(spark: SparkSession) -> str:
+    """This session's folder for intermediate tables in the shared folder of spark.checkpoint.dir
+    (unset, as in tests: in the warehouse), removed when the program ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        _FOLDERS[app] = f"{shared.rstrip('/')}/corpus-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove, spark, _FOLDERS[app])
+    return _FOLDERS[app]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is not None and not context._jsc.sc().isStopped():
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, computed once and stored in the shared folder of spark.checkpoint.dir.
+    """The rows of ``df``, computed once and stored as a table in the shared folder.
 
-    Where the setting is absent (a single machine, tests) a folder under the warehouse is taken.
+    A stored table survives the loss of executors, cuts the plan, and tells the optimiser its true
+    size; the estimates of a plan that is cut by checkpoint() are carried on, and multiply in loops.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        context.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+    path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_in = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for table in tables:
+        _remove(table.sparkSession, table.stored_in)
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -214,8 +243,10 @@ def components(edges: DataFrame) -> DataFrame:
         step = checkpointed(
             lower.join(target, lower["label"] == target["t"], "left").select("node", F.least("label", F.coalesce("jump", "label")).alias("label"), "was")
         )
-        labels = step.select("node", "label")
+        discard(labels)
+        labels = step
         if is_empty(step.where("label <> was")):
+            discard(both)
             return labels.select("node", F.col("label").alias("component"))
 
 
