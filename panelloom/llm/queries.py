@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.llm import bpe, decontaminate, embeddings, langid, mainhtml, minhash, sanitise, substrings, urls
+from panelloom.llm import bpe, decontaminate, embeddings, langid, mainhtml, minhash, sanitise, substrings, urls, warc
 from panelloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.revisit_report(read_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainhtml.page_texts(read_table(spark, sf_dir, "pages"))
@@ -61,3 +66,6 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeat_report(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_revisits"] = warc.ORACLE
