@@ -15,10 +15,11 @@ sets, as near-duplicate contracts state it; ``weights="count"`` weighs a run by
 Rows: texts of the same words form one class first. Signatures of class representatives are cut
 into bands; texts that share a band are candidates, and each candidate pair is verified on its
 whole sets. A band of at most ``SMALL`` texts tries all its pairs. In a larger one each text tries
-the least document, so a group of copies of any size costs pairs in proportion to its members. Those
-that fail share the band by chance or by a common passage: they are dealt again by each further band
-that they share, so only pairs that agree on two bands (then three) meet, and so on; beyond
-``DEEPEST`` bands they go on trying the least of those left. Links join into components.
+the band's most shared document, so a group of copies of any size costs pairs in proportion to its
+members; after ``LEADERS`` such turns, those that still fail share the band by chance or by a common
+passage. They are dealt again by each further band that they share, so only pairs that agree on two
+bands (then three) meet; ``DEEPEST`` bands further they go on by leaders until none is left. Links
+join into components.
 
 Defined results: NULL and wordless texts are alone; rows that repeat a document get the same
 class; a NULL doc_id has the class of its text but never represents one; an empty table gives an
@@ -41,8 +42,9 @@ BANDS = 28
 ROWS = 6
 #: Members of a band that try all their pairs.
 SMALL = 32
-#: Bands that texts must share before they stop being dealt by further ones.
-DEEPEST = 4
+#: Turns by leaders before failed members are dealt by further bands, and how many of these.
+LEADERS = 3
+DEEPEST = 3
 #: Numbers of darts in a unit cell: the distribution function of Poisson(1).
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1, 12)]))
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -201,34 +203,42 @@ def near_links(reps: DataFrame, docs: DataFrame, similarity: float, width: int)
     """Verified links (a > b) between the representatives (doc_id, bands) that share a band."""
     shared = reps.select(F.explode("bands").alias("band"), "doc_id")
     counted = C.checkpointed(_counted(shared, "band"))
-    members = C.checkpointed(shared.join(counted, "band").select(F.array("band").alias("cell"), "doc_id", "n", "least"))
+    members = C.checkpointed(shared.join(counted, "band").select(F.array("band").alias("cell"), "doc_id", "n"))
     wanted = members.select("doc_id").distinct()
     sets = C.checkpointed(run_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), width))
-    links, open_, depth = None, members, 1
+    links, open_, turn = None, members, 1
     while True:
-        large = open_.where(F.col("n") > SMALL)
+        large = C.checkpointed(_with_leaders(open_.where(F.col("n") > SMALL)))
         lists = open_.where(F.col("n") <= SMALL).groupBy("cell").agg(F.array_sort(F.collect_set("doc_id")).alias("ids"))
         each = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, 1, i), y -> struct(x AS a, y AS b))))")
         tried = lists.select(F.explode(each).alias("p")).select("p.a", "p.b")
-        tried = tried.union(large.where("doc_id > least").select("doc_id", "least")).distinct()
+        tried = tried.union(large.select(F.greatest("doc_id", "leader"), F.least("doc_id", "leader"))).distinct()
         good = C.checkpointed(_verified(tried, sets, similarity))
         links = good if links is None else links.union(good)
-        same = (F.col("doc_id") == good["a"]) & (F.col("least") == good["b"])
-        failed = C.checkpointed(large.where("doc_id > least").join(good, same, "left_anti").select("cell", "doc_id"))
+        same = (F.greatest("doc_id", "leader") == good["a"]) & (F.least("doc_id", "leader") == good["b"])
+        failed = C.checkpointed(large.join(good, same, "left_anti").select("cell", "doc_id"))
         if C.is_empty(failed):
             return links
-        if depth < DEEPEST:
+        if LEADERS <= turn < LEADERS + DEEPEST:
             finer = failed.join(reps, "doc_id").select("cell", "doc_id", F.explode("bands").alias("band"))
             finer = finer.where(~F.array_contains("cell", F.col("band")))
             failed = finer.select(F.array_sort(F.array_append("cell", F.col("band"))).alias("cell"), "doc_id").distinct()
         counted = C.checkpointed(_counted(failed, "cell"))
         open_ = C.checkpointed(failed.join(counted, "cell"))
-        depth += 1
+        turn += 1
 
 
 def _counted(cells: DataFrame, key: str) -> DataFrame:
-    """The cells that more than one document shares, their numbers and least documents."""
-    return cells.groupBy(key).agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
+    """The cells that more than one document shares, and their numbers."""
+    return cells.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def _with_leaders(large: DataFrame) -> DataFrame:
+    """The members of large cells beside their cell's leader: of its members the one that most large
+    cells hold, as the text that others were copied from does; the least of several."""
+    degree = large.groupBy("doc_id").agg(F.count("*").alias("degree"))
+    lead = large.join(degree, "doc_id").groupBy("cell").agg(F.min(F.struct((-F.col("degree")).alias("d"), "doc_id"))["doc_id"].alias("leader"))
+    return large.join(C.checkpointed(lead), "cell").where("doc_id <> leader").select("cell", "doc_id", "leader")
 
 
 def near_groups(
