@@ -19,13 +19,19 @@ SERIAL_ORIGIN = "1899-12-30"
 def number(column: Column) -> Column:
     """Messy amount to DOUBLE.
 
-    Currency signs, blanks and other characters go; ``12,34`` is a decimal comma,
-    ``1,234`` a thousands comma; a percentage is divided by 100.
+    Currency signs and names, blanks and other characters go; ``12,34`` is a decimal comma,
+    ``1,234`` a thousands comma, and ``1.234,56`` has both the other way round; brackets mean a
+    negative amount; a percentage is divided by 100.
     """
-    bare = F.translate(column, "%$€£¥", "")
-    bare = F.regexp_replace(bare, r",([0-9]{1,2})\s*$", ".$1")
-    bare = F.regexp_replace(bare, "[^0-9.-]", "")
-    return bare.try_cast("double") / F.when(column.contains("%"), 100.0).otherwise(1.0)
+    bare = F.regexp_replace(column, "[^0-9.,()-]", "")
+    negative = bare.rlike(r"^\(.*\)$")
+    bare = F.translate(bare, "()", "")
+    swapped = bare.rlike(r"^-?[0-9]{1,3}(?:\.[0-9]{3})+,[0-9]+$")
+    bare = F.when(swapped, F.translate(bare, ",.", ".")).otherwise(
+        F.regexp_replace(F.regexp_replace(bare, r",([0-9]{1,2})$", ".$1"), ",", "")
+    )
+    sign = F.when(negative, -1.0).otherwise(1.0)
+    return sign * bare.try_cast("double") / F.when(column.contains("%"), 100.0).otherwise(1.0)
 
 
 def percent_points(column: Column) -> Column:

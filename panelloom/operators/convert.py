@@ -33,7 +33,9 @@ class ConversionSpec:
     latest_date: str = "2045-12-31"
     min_date_share: float = 0.10
     min_share: float = 0.05
-    min_count: int = 100
+    # Successes that accept a column whatever their share; only on request, as it depends on size.
+    min_count: int | None = None
+    min_timestamp_share: float = 0.05
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -50,14 +52,20 @@ class ConversionPlan:
     non_null: Mapping[str, int] = field(default_factory=dict)
     successes: Mapping[tuple[str, str], int] = field(default_factory=dict)
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        """Lazy projection with the winning readings."""
+    def apply(self, df: DataFrame, keep_unparsed: bool = False) -> DataFrame:
+        """Lazy projection with the winning readings.
+
+        With ``keep_unparsed`` each converted column gets a companion ``<column>_unparsed`` that
+        holds the texts that could not be read (NULL elsewhere), so no value is lost.
+        """
         changed = {c: reading for c, reading in self.chosen.items() if reading != "text"}
         if not changed:
             return df
         split = _split(df, changed)
-        typed = split.withColumns({c: _reading(c, reading) for c, reading in changed.items()})
-        return typed.select(*df.columns)
+        values = {c: _reading(c, reading) for c, reading in changed.items()}
+        kept = {f"{c}_unparsed": F.when(v.isNull(), F.col(c)) for c, v in values.items()} if keep_unparsed else {}
+        typed = split.withColumns(values | kept)
+        return typed.select(*df.columns, *kept)
 
 
 _BY_NAME = {f"date:{x.name}": x for x in P.DATE_LAYOUTS} | {f"timestamp:{x.name}": x for x in P.TIMESTAMP_LAYOUTS}
@@ -139,20 +147,21 @@ def plan_conversion(df: DataFrame, spec: ConversionSpec) -> ConversionPlan:
 
 def _choose(column, kind, rows, non_null, successes, spec) -> str:
     count = {reading: successes[column, reading] for reading in _candidates(kind)}
+    share = {reading: n / non_null if non_null else 0.0 for reading, n in count.items()}
     if kind == "timestamps":
-        return next((reading for reading, n in count.items() if n > 0), "text")
+        return next((reading for reading in count if share[reading] > spec.min_timestamp_share), "text")
     if kind == "dates":
-        for reading, n in count.items():
-            if reading.startswith("date:") and rows and n / rows > spec.min_date_share:
+        for reading in count:
+            if reading.startswith("date:") and share[reading] > spec.min_date_share:
                 return reading
-        return next((reading for reading in ("mixed_dates", "serial_date") if count[reading] > 0), "text")
+        return next((reading for reading in ("mixed_dates", "serial_date") if share[reading] > spec.min_share), "text")
     (reading, n), = count.items()
-    accepted = non_null > 0 and (n / non_null > spec.min_share or n > spec.min_count)
-    return reading if accepted else "text"
+    enough = spec.min_count is not None and n > spec.min_count
+    return reading if enough or share[reading] > spec.min_share else "text"
 
 
-def convert_types(df: DataFrame, spec: ConversionSpec) -> DataFrame:
-    return plan_conversion(df, spec).apply(df)
+def convert_types(df: DataFrame, spec: ConversionSpec, keep_unparsed: bool = False) -> DataFrame:
+    return plan_conversion(df, spec).apply(df, keep_unparsed)
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str], latest_date: str = "2045-12-31") -> DataFrame:

@@ -389,19 +389,15 @@ def installed_base_measures(installed: DataFrame, keys: PanelKeys = YEARLY) -> D
     """Units, distinct types and groups, and a running total over the observed periods."""
     roles = resolve_roles(installed, "installed_base", ["entity", "period"])
 
-    def distinct(role: str) -> Column:
-        return F.count_distinct(roles[role]) if role in roles else F.max(F.lit(1)).cast("long")
-
-    table = aggregate_by_period(
-        _known(installed, roles["period"]),
-        F.col(roles["entity"]),
-        F.col(roles["period"]),
-        {
-            "installed_hw_power_bi": count_rows(),
-            "n_equipment_types": distinct("equipment_type"),
-            "n_equipment_groups": distinct("equipment_group"),
-        },
-        keys,
+    # First rows per combination, reduced in each task; the distinct counts then see those only.
+    kinds = {r: F.col(roles[r]) if r in roles else F.lit(1) for r in ("equipment_type", "equipment_group")}
+    known = _known(installed, roles["period"])
+    combined = known.groupBy(
+        F.col(roles["entity"]).alias(keys.entity), F.col(roles["period"]).alias(keys.period), *[c.alias(f"_{r}") for r, c in kinds.items()]
+    ).agg(count_rows().alias("_n"))
+    table = combined.groupBy(keys.entity, keys.period).agg(
+        F.sum("_n").alias("installed_hw_power_bi"),
+        *[F.size(F.collect_set(f"_{r}")).cast("long").alias(name) for r, name in (("equipment_type", "n_equipment_types"), ("equipment_group", "n_equipment_groups"))],
     )
     return table.withColumn("installed_hw_cum", F.sum("installed_hw_power_bi").over(keys.history()))
 
@@ -420,14 +416,14 @@ def machine_counts(
 
 
 def registered_product_measures(
-    products: DataFrame, cap: int = C.REGISTERED_PRODUCT_CAP, keys: PanelKeys = YEARLY
+    products: DataFrame, cap: int | None = None, keys: PanelKeys = YEARLY
 ) -> DataFrame:
-    """Registered products in total and by registration kind, up to the cap year."""
+    """Registered products in total and by registration kind; with a ``cap``, up to that year."""
     roles = resolve_roles(products, "registered_products", ["entity", "period"])
     kind = F.col(roles["category"]) if "category" in roles else F.lit(None).cast("string")
     texts = ("ERP Registered Product", "Manual Registered Product", "Registered Competitor Product")
     return aggregate_by_period(
-        products.filter(F.col(roles["period"]) <= cap),
+        products if cap is None else products.filter(F.col(roles["period"]) <= cap),
         F.col(roles["entity"]),
         F.col(roles["period"]),
         {
@@ -479,7 +475,15 @@ def category_map(sources: Mapping[str, tuple[DataFrame, str]], fallback: Mapping
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
+#: Categories that are broadcast at most; a longer dictionary is joined by a shuffle.
+SMALL_DICTIONARY = 10_000
+
+
 def tag_category_groups(df: DataFrame, column: str, categories: DataFrame) -> DataFrame:
-    """Add ``_groups``: the category groups a row's category belongs to (no fan-out)."""
+    """Add ``_groups``: the category groups a row's category belongs to (no fan-out).
+
+    A dictionary of checked size is broadcast: rows would crowd on a handful of categories.
+    """
     groups = categories.groupBy(F.col("category").alias(column)).agg(F.collect_set("category_group").alias("_groups"))
-    return df.join(groups, column, "left")
+    small = len(groups.select(column).take(SMALL_DICTIONARY + 1)) <= SMALL_DICTIONARY
+    return df.join(F.broadcast(groups) if small else groups, column, "left")

@@ -44,11 +44,12 @@ def fit_imputation(train: DataFrame, numeric: Sequence[str] = (), nominal: Seque
         # One row per column name comes back.
         for row in quantiles(train, numeric, {"median": 0.5}).collect():
             values[row["column"]] = row["median"]
-    for column in nominal:
-        counts = train.filter(F.col(column).isNotNull()).groupBy(column).count()
-        top = counts.orderBy(F.desc("count"), column).first()
-        if top is not None:
-            values[column] = top[column]
+    if nominal:
+        # All modes with one aggregation; one row per column name comes back.
+        texts = train.select(*[F.col(c).cast("string").alias(c) for c in nominal]).unpivot([], list(nominal), "column", "value")
+        counts = texts.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        tops = counts.groupBy("column").agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), "value")).alias("mode"))
+        values |= {row["column"]: row["mode"] for row in tops.collect()}
     return values
 
 

@@ -70,11 +70,11 @@ def attributes_from(source: DataFrame, entity: str, order_by: Sequence[str], key
 
 
 def add_secondary_id(attributes: DataFrame, customers: DataFrame, keys: PanelKeys = YEARLY) -> DataFrame:
-    """Attach the customer table's second id (one row per entity in both tables)."""
+    """Attach the customer table's second id: the least one where an entity has several."""
     roles = resolve_roles(customers, "customers", ["entity", "secondary_id"])
     kind = attributes.schema[keys.entity].dataType
-    ids = customers.select(
-        F.col(roles["entity"]).cast(kind).alias(keys.entity), F.col(roles["secondary_id"]).alias("customer_sap_id")
+    ids = customers.groupBy(F.col(roles["entity"]).cast(kind).alias(keys.entity)).agg(
+        F.min(roles["secondary_id"]).alias("customer_sap_id")
     )
     return join_on_keys(attributes, ids, [keys.entity])
 

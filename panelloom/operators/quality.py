@@ -22,8 +22,8 @@ def _stacked(wide: DataFrame, rows: Mapping[str, Sequence], fields: Sequence[str
     return wide.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def missing_profile(df: DataFrame, top: int | None = 20) -> DataFrame:
-    """NULL count and share per column, most affected first."""
+def missing_profile(df: DataFrame, top: int | None = None) -> DataFrame:
+    """NULL count and share of every column (or the ``top`` ones), most affected first."""
     counts = df.agg(
         F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
     )
@@ -93,8 +93,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Min, quartiles, mean, max and NULL count per column (and group)."""
+def numeric_summary(
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), approximate: bool = False
+) -> DataFrame:
+    """Min, quartiles (or estimates of them), mean, max and number of missing values per column (and group)."""
     columns = list(columns or numeric_columns(df))
     value = F.col("value")
     basic = (
@@ -108,14 +110,16 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, by: Seq
             F.count(F.lit(1)).alias("n_rows"),
         )
     )
-    ranks = quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    ranks = quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, approximate)
     return join_on_keys(basic, ranks, [*by, "column"])
 
 
-def box_stats(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+def box_stats(
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), approximate: bool = False
+) -> DataFrame:
     """Quartiles, whisker ends (furthest value within 1.5 IQR) and outlier count."""
     columns = list(columns or numeric_columns(df))
-    box = quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    box = quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, approximate)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = box.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
     # Without groups the fences are one row per column name: bounded by the schema.
@@ -170,9 +174,9 @@ def ingest_warnings(df: DataFrame, group: str, failed: str) -> DataFrame:
     )
 
 
-def sample_values(df: DataFrame, column: str, n: int = 5, look_at: int = 100) -> DataFrame:
-    """Up to ``n`` distinct values among the first rows; a diagnostic peek only."""
-    return df.select(column).limit(look_at).filter(F.col(column).isNotNull()).distinct().limit(n)
+def sample_values(df: DataFrame, column: str, n: int = 5) -> DataFrame:
+    """The ``n`` smallest distinct values over all rows: the same ones on every run."""
+    return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).limit(n)
 
 
 def integrity_check(df: DataFrame, expected: Iterable[str] = ()) -> dict[str, DataFrame]:

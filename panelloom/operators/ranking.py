@@ -1,10 +1,11 @@
 """Exact order statistics without putting a group into one task.
 
-``percentile`` and a plain ``Window.orderBy`` both gather a group in one place. Here
-values are first counted per distinct value, then placed in buckets that are a fixed,
-order-preserving function of the value (about 0.01 % wide). Only the bucket totals,
-whose number is bounded by the range of a double and not by the row count, are ever
-ranked within a group; values are ranked within their bucket.
+``percentile`` and a plain ``Window.orderBy`` both gather a group in one place. Here values are
+first counted per distinct value. Each group is then cut into at most ``BUCKETS`` ranges that hold
+about equally many distinct values, whatever their spread: the cuts come from a mergeable sketch of
+bounded size. Only the totals of the ranges are ranked within a group; values are ranked within
+their range, and for quantiles only in the ranges that hold an asked position. The sketch decides
+how the work is dealt, never the result. NaN counts as missing; infinities are ordinary values.
 """
 
 from __future__ import annotations
@@ -16,35 +17,61 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.logic import join_on_keys
 
-_BUCKETS_PER_E_FOLD = 8192
-_OFFSET = 800 * _BUCKETS_PER_E_FOLD  # above ln(1 / smallest double)
+BUCKETS = 512
+#: A group's cuts meet its values in so many shares, so that a large group is not one join key.
+_SHARES = 8
 
 
-def value_bucket(value: Column) -> Column:
-    """Order-preserving bucket number of a DOUBLE."""
-    magnitude = F.floor(F.ln(F.abs(value)) * _BUCKETS_PER_E_FOLD).cast("long") + _OFFSET
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0).cast("long"))
+def value_bucket(value: Column, cuts: Column) -> Column:
+    """Number of the range that holds a value: how many cuts lie below it."""
+    return F.size(F.filter(cuts, lambda cut: cut < value)).cast("long")
 
 
-def running_totals(df: DataFrame, by: Sequence[str], value: str, weights: Mapping[str, Column]) -> DataFrame:
+def _bucketed(per_value: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Distinct values with the number of their range."""
+    marks = [(i + 1) / BUCKETS for i in range(BUCKETS - 1)]
+    cuts = per_value.groupBy(*by).agg(F.array_distinct(F.percentile_approx(value, marks, 10_000)).alias("_cuts"))
+    if not by:
+        # One row of at most BUCKETS numbers.
+        return per_value.join(F.broadcast(cuts), how="cross").withColumn("_bucket", value_bucket(F.col(value), F.col("_cuts"))).drop("_cuts")
+    shared = cuts.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))))
+    dealt = per_value.withColumn("_share", F.pmod(F.xxhash64(value), F.lit(_SHARES)).cast("int"))
+    joined = join_on_keys(dealt, shared, [*by, "_share"], "inner")
+    return joined.withColumn("_bucket", value_bucket(F.col(value), F.col("_cuts"))).drop("_cuts", "_share")
+
+
+def running_totals(
+    df: DataFrame, by: Sequence[str], value: str, weights: Mapping[str, Column], positions: Sequence[float] | None = None
+) -> DataFrame:
     """Totals up to and including each distinct value, per ``by`` group.
 
     One row per group and distinct value, with each weight summed for the value
-    (``name``), running (``name_through``) and for the whole group (``name_total``).
+    (``name``), running (``name_through``) and for the whole group (``name_total``). With
+    ``positions`` (shares of the first weight) only ranges around these are ranked and returned.
     """
     names = list(weights)
     keys = [*by, "_bucket"]
-    valued = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_bucket", value_bucket(F.col(value)))
-    per_value = valued.groupBy(*keys, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
+    valued = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
+    per_value = _bucketed(valued.groupBy(*by, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()]), by, value)
 
     per_bucket = per_value.groupBy(*keys).agg(*[F.sum(n).alias(f"_{n}") for n in names])
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     below = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         *keys,
+        *[f"_{n}" for n in names],
         *[F.coalesce(F.sum(f"_{n}").over(below), F.lit(0)).alias(f"{n}_below") for n in names],
         *[F.sum(f"_{n}").over(group).alias(f"{n}_total") for n in names],
     )
+    if positions is not None:
+        first, held, total = F.col(f"{names[0]}_below"), F.col(f"_{names[0]}"), F.col(f"{names[0]}_total")
+        asked = F.lit(False)
+        for p in positions:
+            place = (total - 1) * F.lit(float(p))
+            for at in (F.floor(place), F.ceil(place)):
+                asked = asked | ((at >= first) & (at < first + held))
+        offsets = offsets.where(asked)
+    offsets = offsets.drop(*[f"_{n}" for n in names])
 
     within = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = join_on_keys(per_value, offsets, keys, "inner")
@@ -62,14 +89,20 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
+    approximate: bool = False,
 ) -> DataFrame:
-    """Exact interpolated quantiles, one row per ``by`` group and column.
+    """Interpolated quantiles, one row per ``by`` group and column.
 
     ``probabilities`` maps output names to probabilities in [0, 1]; the value at
-    position ``(n - 1) * p`` is interpolated between its two neighbours.
+    position ``(n - 1) * p`` is interpolated between its two neighbours. ``approximate`` takes them
+    from one mergeable sketch per group instead: one pass, no ranking, values of the data.
     """
     long = to_long(df, columns, by)
-    ranked = running_totals(long, [*by, "column"], "value", {"n": F.lit(1)})
+    if approximate:
+        valued = long.filter(F.col("value").isNotNull())
+        found = valued.groupBy(*by, "column").agg(F.percentile_approx("value", list(probabilities.values()), 10_000).alias("_q"))
+        return found.select(*by, "column", *[F.col("_q")[i].alias(n) for i, n in enumerate(probabilities)])
+    ranked = running_totals(long, [*by, "column"], "value", {"n": F.lit(1)}, list(probabilities.values()))
     first, last = F.col("n_through") - F.col("n"), F.col("n_through") - 1
 
     def at(position: Column) -> Column:
@@ -84,19 +117,18 @@ def quantiles(
             F.max(position - F.floor(position)).alias(f"_{name}_part"),
         ]
     found = ranked.groupBy(*by, "column").agg(*aggregates)
-    return found.select(
-        *by,
-        "column",
-        *[
-            (F.col(f"_{n}_low") + (F.col(f"_{n}_high") - F.col(f"_{n}_low")) * F.col(f"_{n}_part")).alias(n)
-            for n in probabilities
-        ],
-    )
+
+    def between(name: str) -> Column:
+        low, high, part = (F.col(f"_{name}_{x}") for x in ("low", "high", "part"))
+        # Infinite neighbours have no difference.
+        return F.when((part == 0) | (low == high), low).otherwise(low + (high - low) * part)
+
+    return found.select(*by, "column", *[between(n).alias(n) for n in probabilities])
 
 
 def to_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """One row per row and column: ``by..., column, value`` with DOUBLE values."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    """One row per row and column: ``by..., column, value`` with DOUBLE values; NaN is NULL."""
+    wide = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     return wide.unpivot(list(by), list(columns), "column", "value")
 
 

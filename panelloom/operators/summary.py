@@ -88,5 +88,5 @@ def panel_metadata(panel: DataFrame, entity: str = "customer_id", period: str =
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency and share of each value, NULL included."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("percent", F.round(100.0 * F.col("n") / total, 1))

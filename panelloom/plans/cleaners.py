@@ -22,7 +22,7 @@ from panelloom.operators import cleaning as E
 from panelloom.operators import convert as V
 from panelloom.operators import schema as S
 from panelloom.operators.quality import flag_date_inconsistency, row_completeness
-from panelloom.sources.extracts import CORRUPT, POSITION
+from panelloom.sources.extracts import CORRUPT, POSITION, fitting
 
 Step = Callable[[DataFrame], DataFrame]
 Naming = Callable[[DataFrame], DataFrame]
@@ -64,7 +64,8 @@ def clean(df: DataFrame | None, spec: CleanSpec, order_by: Sequence[str] = POSIT
     """Run a spec; ``order_by`` is the total order in which "first row" is meant."""
     if df is None:
         return None
-    df = S.drop_empty_columns(df.drop(CORRUPT), keep=order_by)
+    # Records with shifted or cut values are kept apart (``extracts.quarantine``), not cleaned.
+    df = S.drop_empty_columns(fitting(df), keep=order_by)
     if spec.naming is not None:
         df = _on_body(df, spec.naming)
     df = S.rename_existing(df, spec.rename)

@@ -23,11 +23,15 @@ ORDER_KEY, HEADER_KEY, PARTNER_KEY = "nummer_vertriebsauftrag", "verkaufsbeleg",
 
 
 def ingest(spark: SparkSession, specs: Mapping[str, X.SourceSpec], root: str) -> dict[str, str]:
-    """Land all extracts that exist; machine orders are enriched on the way."""
+    """Land all extracts that exist; machine orders are enriched on the way.
+
+    Records that do not fit their header are stored by dataset in the layer ``quarantine``.
+    """
     loaded = X.load_all(spark, specs)
+    L.write_layers({name: X.quarantine(df) for name, df in loaded.items()}, root, "quarantine")
     header, partner = loaded.pop("order_headers", None), loaded.pop("order_partners", None)
     if "machine_orders" in loaded:
-        sides = [None if side is None else side.drop(*X.POSITION, X.CORRUPT) for side in (header, partner)]
+        sides = [None if side is None else X.fitting(side).drop(*X.POSITION) for side in (header, partner)]
         loaded["machine_orders"] = X.enrich_orders(loaded["machine_orders"], *sides, ORDER_KEY, HEADER_KEY, PARTNER_KEY)
     return L.write_layers(loaded, root, "interim")
 

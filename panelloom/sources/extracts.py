@@ -7,11 +7,14 @@ of the row (``_file``, ``_block``, ``_line``), which later steps use as a total
 from __future__ import annotations
 
 import csv
+import io
+import re
 import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -51,22 +54,45 @@ def list_sources(
     return sorted(row.path for row in files.collect())
 
 
-def _header(spark: SparkSession, path: str, preamble: int) -> str | None:
-    """The header line of one file, or None (with a warning) if it cannot be read."""
-    try:
-        head = spark.read.text(path).limit(preamble + 1).collect()
-    except PySparkException as error:
-        warnings.warn(f"skipping {path}: {error.getCondition() or error}", stacklevel=2)
-        return None
-    if len(head) <= preamble:
-        warnings.warn(f"skipping {path}: no header after {preamble} preamble lines", stacklevel=2)
-        return None
-    return head[preamble].value
+def _header(spark: SparkSession, path: str, preamble: int) -> tuple[str, int] | None:
+    """The header of one file and the number of records before its body (blank lines are none), or
+    None (with a warning) if it cannot be read.
+
+    A header with line breaks inside quotes is read on until its quotes are closed.
+    """
+    ahead = 1
+    while True:
+        try:
+            head = spark.read.text(path).limit(preamble + ahead).collect()
+        except PySparkException as error:
+            warnings.warn(f"skipping {path}: {error.getCondition() or error}", stacklevel=2)
+            return None
+        if len(head) <= preamble:
+            warnings.warn(f"skipping {path}: no header after {preamble} preamble lines", stacklevel=2)
+            return None
+        before = 1 + sum(row.value.rstrip("\r") != "" for row in head[:preamble])
+        for end in range(preamble + 1, len(head) + 1):
+            header = "\n".join(row.value for row in head[preamble:end])
+            if header.count('"') % 2 == 0:
+                return header, before
+        if len(head) < preamble + ahead:
+            return header, before
+        ahead *= 4
+
+
+def _files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Files with a line whose quotes are not closed on it: their records may span lines.
+
+    One job over all files; a task sends one flag per file.
+    """
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("open"))
+    return {_located(row.file) for row in lines.groupBy("file").agg(F.max("open").alias("open")).where("open").collect()}
 
 
 def _header_names(line: str, delimiter: str) -> list[str]:
     """Column names of a header line, honouring quotes; blank names get a number."""
-    names = next(csv.reader([line], delimiter=delimiter))
+    names = next(csv.reader(io.StringIO(line, newline=""), delimiter=delimiter))
     return numbered(name.strip() or f"column_{i + 1}" for i, name in enumerate(names))
 
 
@@ -89,6 +115,24 @@ def _body(spark: SparkSession, paths: Sequence[str], skip: int) -> DataFrame:
     return first.filter(F.col("_line") > skip).unionByName(rest).drop("_seq").filter(F.trim("value") != "")
 
 
+def _located(path: str) -> str:
+    """A path in one spelling: file metadata quotes names and writes file:///, listings file:/."""
+    return re.sub("^file:/+", "/", unquote(path))
+
+
+def _records(spark: SparkSession, paths: Sequence[str], skip: int, schema: str, options: Mapping[str, str]) -> DataFrame:
+    """Records after the first ``skip`` of files in which quotes span lines; such a file is read by
+    one task, as a line break there does not tell where a record begins."""
+    reader = spark.read.schema(schema).options(**options).option("multiLine", True)
+    records = reader.csv(list(paths)).select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seq"))
+    order = Window.partitionBy("_file").orderBy("_seq")
+    # The reader refuses to give the corrupt text without any other column, so it leans on the first.
+    first = F.coalesce(F.length(records[0]), F.lit(0)) >= 0
+    records = records.withColumn(CORRUPT, F.when(first, F.col(CORRUPT)))
+    numbered_ = records.withColumn("_line", F.row_number().over(order).cast("long"))
+    return numbered_.filter(F.col("_line") > skip).withColumn("_block", F.lit(0).cast("long"))
+
+
 def read_text_first(
     spark: SparkSession, paths: Sequence[str], preamble: int = 0, delimiter: str = ","
 ) -> DataFrame | None:
@@ -96,26 +140,37 @@ def read_text_first(
 
     A file that is missing or has no header is skipped with a warning. Files are grouped
     by header first, so the plan has one branch per distinct header, not per file.
-    ``_corrupt`` holds lines that do not fit their header.
+    Files in which quotes span lines are parsed record by record, one task per file; all others
+    stay splittable. ``_corrupt`` holds records that do not fit their header (see ``quarantine``).
     """
     with ThreadPoolExecutor(max_workers=8) as pool:
         headers = list(pool.map(lambda p: _header(spark, p, preamble), paths))
     by_header: dict[str, list[str]] = {}
-    for path, header in zip(paths, headers):
-        if header is not None:
-            by_header.setdefault(header, []).append(path)
+    before: dict[str, int] = {}
+    for path, found in zip(paths, headers):
+        if found is not None:
+            by_header.setdefault(found[0], []).append(path)
+            before[path] = found[1]
     parts = []
+    readable = [path for files in by_header.values() for path in files]
+    open_quotes = _files_with_open_quotes(spark, readable) if readable else set()
     for header, files in by_header.items():
         names = _header_names(header, delimiter)
         fields = [*names, CORRUPT]
-        schema = ", ".join(f"`{c}` STRING" for c in fields)
-        options = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        parsed = F.from_csv("value", schema, options)
-        parts.append(
-            _body(spark, files, preamble + 1)
-            .select(*POSITION, parsed.alias("_row"))
-            .select(*POSITION, *[F.col("_row").getField(c).alias(c) for c in fields])
-        )
+        schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in fields)
+        options = {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        spanning = [path for path in files if _located(path) in open_quotes]
+        whole = [path for path in files if path not in spanning]
+        if whole:
+            parsed = F.from_csv("value", schema, options)
+            parts.append(
+                _body(spark, whole, preamble + 1)
+                .select(*POSITION, parsed.alias("_row"))
+                .select(*POSITION, *[F.col("_row").getField(c).alias(c) for c in fields])
+            )
+        for skip in sorted({before[path] for path in spanning}):
+            files_ = [path for path in spanning if before[path] == skip]
+            parts.append(_records(spark, files_, skip, schema, options).select(*POSITION, *[f"`{c}`" for c in fields]))
     if not parts:
         warnings.warn("no files were loaded", stacklevel=2)
         return None
@@ -127,6 +182,16 @@ def warnings_by_file(df: DataFrame) -> DataFrame:
     return ingest_warnings(df.withColumn("_failed", F.col(CORRUPT).isNotNull()), "_file", "_failed")
 
 
+def quarantine(df: DataFrame) -> DataFrame:
+    """The records that do not fit their header: where they stand, and their text."""
+    return df.filter(F.col(CORRUPT).isNotNull()).select(*POSITION, CORRUPT)
+
+
+def fitting(df: DataFrame) -> DataFrame:
+    """The records that fit their header, without the quarantine column."""
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
+
+
 def union_fill(tables: Sequence[DataFrame | None]) -> DataFrame | None:
     """Stack tables by column name; absent columns are NULL, absent tables are left out."""
     present = [t for t in tables if t is not None]

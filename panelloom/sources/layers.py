@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import json
 from collections.abc import Callable, Mapping
@@ -51,6 +52,18 @@ def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     return folder
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have an intermediate table removed when the program ends."""
+    context = spark.sparkContext
+
+    def remove() -> None:
+        if context._jsc is not None and not context._jsc.sc().isStopped():
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+    atexit.register(remove)
+
+
 def fingerprint(*parts: object) -> str:
     """Short digest of configuration values and input descriptions."""
     return hashlib.sha256(json.dumps([repr(p) for p in parts]).encode()).hexdigest()[:16]
@@ -72,17 +85,15 @@ def checkpointed(
 
 
 def write_panel(
-    panel: DataFrame, root: str, name: str, keys: PanelKeys = PanelKeys(), files_per_period: int = 8
+    panel: DataFrame, root: str, name: str, keys: PanelKeys = PanelKeys()
 ) -> dict[str, str]:
     """The panel by period, with its metadata and a summary of its key variables beside it.
 
-    Rows are spread over ``files_per_period`` tasks per period, so neither one task nor one
-    file has to hold a whole period.
+    Rows are rebalanced by period: tasks, and with them files, grow with the data, as Spark splits
+    large periods and joins small ones by the advisory partition size.
     """
     paths = {part: f"{root}/{name}/{part}" for part in ("panel", "metadata", "summary")}
-    slot = F.pmod(F.xxhash64(keys.entity), F.lit(files_per_period))
-    spread = panel.repartition(F.col(keys.period), slot)
-    spread.write.mode("overwrite").partitionBy(keys.period).parquet(paths["panel"])
+    panel.hint("rebalance", keys.period).write.mode("overwrite").partitionBy(keys.period).parquet(paths["panel"])
     stored = panel.sparkSession.read.parquet(paths["panel"])
     panel_metadata(stored, keys.entity, keys.period).write.mode("overwrite").parquet(paths["metadata"])
     key_variable_summary(stored).write.mode("overwrite").parquet(paths["summary"])

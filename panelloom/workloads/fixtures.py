@@ -7,12 +7,11 @@ oracles as common table expressions.
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.sources.layers import read_layer, shared_folder, write_layer
+from panelloom.sources.layers import read_layer, remove_at_exit, shared_folder, write_layer
 
 BASE_TABLES = (
     "region",
@@ -176,10 +175,10 @@ class Tables:
         return self._known[name]
 
     def scratch(self, name: str) -> str:
-        """A fresh folder in the cluster's shared directory (a local one only where none is set)."""
-        configured = self.spark.conf.get("spark.checkpoint.dir", None)
-        default = None if configured else tempfile.mkdtemp(prefix="panelloom-")
-        return f"{shared_folder(self.spark, default)}/{name}-{uuid.uuid4().hex}"
+        """A fresh folder in the cluster's shared directory, removed when the program ends."""
+        path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        remove_at_exit(self.spark, path)
+        return path
 
     def stored(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written as a layer and read back, for steps that pass over it several times."""

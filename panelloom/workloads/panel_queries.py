@@ -452,9 +452,8 @@ cte(
               count(*) FILTER (contains(category, 'ERP Registered Product')) AS ERP_Registered_Product,
               count(*) FILTER (contains(category, 'Manual Registered Product')) AS Manual_Registered_Product,
               count(*) FILTER (contains(category, 'Registered Competitor Product')) AS Registered_Competitor_Product
-       FROM v_registered_products WHERE completion_year <= 2000 GROUP BY 1, 2""",
+       FROM v_registered_products GROUP BY 1, 2""",
 )
-PRODUCT_CAP = 2000
 
 
 @query(
@@ -488,7 +487,16 @@ def machine_counts_cum(t):
     "SELECT * FROM products_y",
 )
 def registered_products_yearly(t):
-    return M.registered_product_measures(t.view("v_registered_products"), cap=PRODUCT_CAP)
+    return M.registered_product_measures(t.view("v_registered_products"))
+
+
+@query(
+    "registered_products_capped",
+    "customer_id:long year:long reg_prods_total:long",
+    "SELECT customer_id, year, reg_prods_total FROM products_y WHERE year <= 2000",
+)
+def registered_products_capped(t):
+    return M.registered_product_measures(t.view("v_registered_products"), cap=2000).select("customer_id", "year", "reg_prods_total")
 
 
 cte(
@@ -525,7 +533,7 @@ _SHARES = """coalesce(ERP_Registered_Product, 0) + coalesce(Manual_Registered_Pr
         FROM product_panel""",
 )
 def share_of_purchase(t):
-    table = M.registered_product_measures(t.view("v_registered_products"), cap=PRODUCT_CAP)
+    table = M.registered_product_measures(t.view("v_registered_products"))
     panel = P.mask_inactive(P.align_measures(grid(t), [table]), panels.PRODUCT_COLUMNS)
     return panels.product_features(panel, PanelKeys())
 
@@ -692,7 +700,6 @@ SPEC = PanelSpec(
     exploitation_pattern=EXPLOIT,
     test_account_pattern="Customer#0+[0-9]*13$",
     base_year=BASE_YEAR,
-    registered_product_cap=PRODUCT_CAP,
 )
 
 
@@ -829,7 +836,7 @@ def tenure_features(t):
 
 
 def _purchase_panel(t: Tables) -> DataFrame:
-    products = M.registered_product_measures(t.view("v_registered_products"), cap=PRODUCT_CAP)
+    products = M.registered_product_measures(t.view("v_registered_products"))
     opps = opportunity_table(t).select("customer_id", "year", *OPP_COLUMNS.split())
     panel = P.align_measures(grid(t), [opps, products])
     panel = P.mask_inactive(panel, [*OPP_COLUMNS.split(), *panels.PRODUCT_COLUMNS])

@@ -78,7 +78,8 @@ def test_gate_keeps_text_below_five_percent(spark):
     few = ["1"] + ["word"] * 30
     assert V.plan_conversion(texts(spark, n=few), V.ConversionSpec(numeric=("n",))).chosen["n"] == "text"
     many = ["1"] * 101 + ["word"] * 5000
-    assert V.plan_conversion(texts(spark, n=many), V.ConversionSpec(numeric=("n",))).chosen["n"] == "number"
+    assert V.plan_conversion(texts(spark, n=many), V.ConversionSpec(numeric=("n",))).chosen["n"] == "text"
+    assert V.plan_conversion(texts(spark, n=many), V.ConversionSpec(numeric=("n",), min_count=100)).chosen["n"] == "number"
     assert V.plan_conversion(texts(spark, n=[None]), V.ConversionSpec(numeric=("n",))).chosen["n"] == "text"
 
 
@@ -190,3 +191,20 @@ def test_every_cleaner_runs_and_reports_failures(spark):
     assert first["registered_products"][0].warranty_status == "expired"
     assert first["survey"][0].competition_pressure == 7
     assert first["contacts"][0].data_quality_score == 1.0
+
+
+def test_accidental_parses_never_replace_a_large_column(spark):
+    df = spark.range(100_000).select(F.when(F.col("id") < 200, F.col("id").cast("string")).otherwise("words").alias("n"))
+    assert V.plan_conversion(df, V.ConversionSpec(numeric=("n",))).chosen["n"] == "text"
+
+
+def test_unparsed_texts_are_kept(spark):
+    df = texts(spark, n=["1", "2", "many", None])
+    out = V.convert_types(df, V.ConversionSpec(numeric=("n",)), keep_unparsed=True)
+    assert rows(out, "n", "n_unparsed") == sorted([(1.0, None), (2.0, None), (None, "many"), (None, None)], key=repr)
+
+
+def test_amounts_in_other_spellings(spark):
+    amounts = {"1.234,56": 1234.56, "12,50 EUR": 12.5, "(12)": -12.0, "$1,234.50": 1234.5, "1,234": 1234.0, "40 %": 0.4, "-3": -3.0, "1.5": 1.5}
+    df = spark.createDataFrame([(k,) for k in amounts], "t string").select("t", P.number(F.col("t")).alias("v"))
+    assert {r.t: r.v for r in df.collect()} == pytest.approx(amounts)

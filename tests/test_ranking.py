@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelloom.operators.quality import box_stats, numeric_summary
-from panelloom.operators.ranking import quantiles, roc_auc, running_totals, value_bucket
+from panelloom.operators.ranking import _bucketed, quantiles, roc_auc, running_totals, value_bucket
 
 PROBABILITIES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
 
@@ -53,8 +53,36 @@ def test_null_group_keeps_its_own_quantile(spark):
 def test_buckets_keep_the_order(spark):
     rng = np.random.default_rng(2)
     v = np.concatenate([rng.normal(size=500), np.exp(rng.normal(0, 50, 500)), -np.exp(rng.normal(0, 50, 500)), [0.0]])
-    pdf = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", value_bucket(F.col("v")).alias("b")).toPandas()
-    assert pdf.sort_values("v").b.is_monotonic_increasing
+    cuts = F.array(*[F.lit(float(c)) for c in np.quantile(v, [0.2, 0.4, 0.6, 0.8])])
+    pdf = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", value_bucket(F.col("v"), cuts).alias("b")).toPandas()
+    assert pdf.sort_values("v").b.is_monotonic_increasing and pdf.b.nunique() == 5
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_values_of_a_narrow_range_are_spread(spark, by):
+    """All values within 0.01 %: no range holds more than a few times the mean."""
+    df = spark.range(60_000).select(F.lit("a").alias("g"), (F.lit(1e12) + F.col("id")).alias("v"))
+    per_bucket = _bucketed(df, by, "v").groupBy("_bucket").count().toPandas()["count"]
+    assert len(per_bucket) > 400 and per_bucket.max() < 4 * per_bucket.mean()
+    got = quantiles(df, ["v"], {"median": 0.5}, by).first()
+    assert got["median"] == 1e12 + 29_999.5
+
+
+def test_infinity_and_nan(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0,), (inf,), (float("nan"),), (3.0,), (-inf,), (None,)], "v double")
+    s = numeric_summary(df).first()
+    assert (s["min"], s["median"], s["max"], s["n_missing"], s["n_rows"]) == (-inf, 2.0, inf, 2, 6)
+    one = numeric_summary(spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")).first()
+    assert (one["mean"], one["max"], one["n_missing"], one["median"]) == (2.0, 3.0, 1, 2.0)
+    both = quantiles(spark.createDataFrame([(inf,), (inf,)], "v double"), ["v"], {"m": 0.5}).first()
+    assert both["m"] == inf
+
+
+def test_approximate_quantiles_are_values_of_the_data(spark):
+    df = spark.range(1, 1002).select(F.col("id").cast("double").alias("v"))
+    s = numeric_summary(df, approximate=True).first()
+    assert (s["q1"], s["median"], s["q3"]) == (251.0, 501.0, 751.0)
 
 
 def test_running_totals_equal_cumsum(spark):

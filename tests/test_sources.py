@@ -113,7 +113,7 @@ def test_steps_are_reused_by_key_and_rebuilt_when_incomplete(spark, tmp_path):
 def test_panel_is_written_by_period_with_metadata(spark, tmp_path):
     data = [(f"c{i}", y, i % 2, "DE", float(i), i % 2) for i in range(20) for y in (2000, 2001)]
     df = spark.createDataFrame(data, "customer_id string, year long, ever_treated int, country string, to_sum_val_opps_won double, treatment int")
-    paths = L.write_panel(df, str(tmp_path), "panel", PanelKeys(), files_per_period=2)
+    paths = L.write_panel(df, str(tmp_path), "panel", PanelKeys())
     back = spark.read.parquet(paths["panel"])
     assert back.count() == 40 and len(list((tmp_path / "panel/panel/year=2000").glob("*.parquet"))) <= 2
     pruned = back.filter(F.col("year") == 2000)._jdf.queryExecution().executedPlan().toString()
@@ -129,3 +129,18 @@ def test_lines_that_do_not_fit_are_reported_per_file(spark, tmp_path):
     df = X.read_text_first(spark, X.list_sources(spark, str(tmp_path / "in"), "*.csv"))
     report = {r._file.rsplit("/", 1)[1]: (r.has_warnings, r.n_failed) for r in X.warnings_by_file(df).collect()}
     assert report == {"good.csv": (False, 0), "bad.csv": (True, 1)}
+
+
+def test_line_breaks_in_cells_and_headers_are_records(spark, tmp_path):
+    write(tmp_path / "in", "a.csv", [*PREAMBLE, "id,text,n", '1,"line one', 'line two",7', "2,plain,8", "3,too,many,cells", '4,"say ""hi""",9'])
+    write(tmp_path / "in", "b.csv", [*PREAMBLE, 'id,"how', 'happy?",n', "5,very,1"])
+    write(tmp_path / "in", "c.csv", [*PREAMBLE, "id,text,n", "6,whole,2"])
+    df = X.read_text_first(spark, X.list_sources(spark, str(tmp_path / "in"), "*.csv"), preamble=4)
+    good = X.fitting(df)
+    assert rows(good, "id", "text", "n") == sorted(
+        [("1", "line one\nline two", "7"), ("2", "plain", "8"), ("4", 'say "hi"', "9"), ("5", None, "1"), ("6", "whole", "2")], key=repr
+    )
+    assert rows(good.where("id = 5"), "how\nhappy?") == [("very",)]
+    bad = X.quarantine(df).collect()
+    assert [r[X.CORRUPT] for r in bad] == ["3,too,many,cells"] and bad[0]["_file"].endswith("a.csv")
+    assert {r.has_warnings for r in X.warnings_by_file(df).collect()} == {True, False}
