@@ -35,8 +35,6 @@ CONTEXT = 60
 SUPPORT = 3
 GENERALISE = 0.5
 REMOVE = 0.8
-#: Candidate terms that are broadcast at most (about 50 bytes each); beyond, terms are counted first.
-BROADCAST_TERMS = 200_000
 
 #: What a text must contain for a pattern to match.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
@@ -134,15 +132,8 @@ def revealing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFram
     pairs = C.checkpointed(
         pairs.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("n_te")).where(F.col("contexts") >= SUPPORT)
     )
-    terms = C.checkpointed(pairs.select("term").distinct())
-    candidates = terms.count()
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text}`")), F.lit(WORD), F.lit(0)))).alias("term"))
-    if not candidates:
-        held = terms.withColumn("n_t", F.lit(0).cast("long"))
-    elif candidates <= BROADCAST_TERMS:
-        held = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    else:
-        held = words.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term", "left_semi")
+    held = words.groupBy("term").agg(F.count("*").alias("n_t")).join(pairs.select("term").distinct(), "term", "left_semi")
     total = docs.count()
     mentions = contexts.groupBy("entity").agg(F.count_distinct("doc_key").alias("n_e"))
     counted = pairs.join(held, "term").join(mentions, "entity")
