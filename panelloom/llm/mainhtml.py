@@ -324,7 +324,7 @@ def _by_count(loose: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", carry: list[str] | None = None, out: str = "main_text") -> DataFrame:
     """The columns ``carry`` of ``pages`` (default: all) and the main text in ``out``."""
     carry = pages.columns if carry is None else carry
-    ident, mark = C.free_name(pages, "page_key", "mark")
+    ident, mark, found_id, found_mark, positions = C.free_name(pages, "page_key", "mark", "found_id", "found_mark", "positions")
     number = F.col(f"`{page_id}`").cast("long")
     keyed = pages.select(number.alias(ident), F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")).alias(mark), *[F.col(f"`{c}`") for c in dict.fromkeys([*carry, html])])
     name = F.xxhash64(number, F.col(f"`{url}`"))
@@ -334,11 +334,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     few = loose.join(sizes.where(F.col("n") <= HOST_PAGES), "host", "left_semi")
     many = loose.join(sizes.where(F.col("n") > HOST_PAGES), "host", "left_semi")
     marks = _by_host(few).unionByName(_by_count(many)).groupBy("page_id", "mark").agg(F.flatten(F.collect_list("positions")).alias("positions"))
-    marks = C.checkpointed(marks.select(F.col("page_id").alias("found_id"), F.col("mark").alias("found_mark"), "positions"))
+    marks = C.checkpointed(marks.select(F.col("page_id").alias(found_id), F.col("mark").alias(found_mark), F.col("positions").alias(positions)))
     # Few pages have words to lose; more than can be broadcast safely are joined by a shuffle.
     sized = F.broadcast(marks) if marks.count() <= BROADCAST_PAGES else marks
-    joined = keyed.join(sized, keyed[ident].eqNullSafe(marks["found_id"]) & (keyed[mark] == marks["found_mark"]), "left")
-    joined = joined.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carry, html])], "positions")
+    joined = keyed.join(sized, keyed[ident].eqNullSafe(marks[found_id]) & (keyed[mark] == marks[found_mark]), "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carry, html])], positions)
     names = joined.columns
 
     def run(batches):
