@@ -146,7 +146,7 @@ def revealing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFram
 def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", found: str = "personal") -> DataFrame:
     """``docs`` and ``found``: a struct of the base spans by kind and the revealing terms (begin,
     finish and action: generalise or remove)."""
-    (key,) = C.free_name(docs, "doc_key")
+    key, found_key, terms_found = C.free_name(docs, "doc_key", "found_key", "terms_found")
     named = F.struct(F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`")))
     marked = with_base(docs, text, found)
     none = F.array().cast("array<struct<begin:int,finish:int,action:string>>")
@@ -157,10 +157,10 @@ def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", f
     words = contexts.select("doc_key", "entity", F.explode("words").alias("w")).select("doc_key", "entity", "w.begin", "w.finish", "w.term")
     action = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise")
     spans = words.join(terms, ["entity", "term"]).groupBy("doc_key", "begin", "finish").agg(action.alias("action"))
-    by_doc = spans.groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("begin", "finish", "action"))).alias("terms_found"))
-    by_doc = by_doc.select(F.col("doc_key").alias("found_key"), "terms_found")
-    joined = held.join(by_doc, held[key].eqNullSafe(by_doc["found_key"]), "left")
-    full = joined.withColumn(found, F.col(found).withField(TERM, F.coalesce("terms_found", none)))
+    by_doc = spans.groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("begin", "finish", "action"))).alias(terms_found))
+    by_doc = by_doc.select(F.col("doc_key").alias(found_key), terms_found)
+    joined = held.join(by_doc, held[key].eqNullSafe(by_doc[found_key]), "left")
+    full = joined.withColumn(found, F.col(found).withField(TERM, F.coalesce(F.col(terms_found), none)))
     return bare.unionByName(full.select(bare.columns))
 
 

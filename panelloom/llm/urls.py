@@ -131,7 +131,7 @@ def threshold(scored: DataFrame) -> float | None:
 
 def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict and score in a further struct ``judged``."""
-    (judged, key) = C.free_name(pages, "judged", "address_key")
+    judged, key, score = C.free_name(pages, "judged", "address_key", "url_score")
     host, path = host_and_path(F.col(f"`{url}`"))
     ruled = pages.withColumn(judged, F.struct(host.alias("host"), path.alias("path")))
     name, verdict = rule_of(F.col(judged)["host"], F.col(judged)["path"], rules)
@@ -139,9 +139,9 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     ruled = ruled.withColumn(key, address).withColumn(judged, F.struct(F.col(judged)["host"].alias("host"), F.col(judged)["path"].alias("path"), name.alias("rule"), verdict.alias("verdict")))
     scored = score_addresses(ruled.select(F.col(key).alias("address"), F.col(judged)["verdict"].alias("verdict")))
     least = threshold(scored)
-    by_model = F.when(F.col("score") < F.lit(least), BLOCK).otherwise(ALLOW)
-    out = ruled.join(scored.select(F.col("address").alias(key), "score"), key, "left")
-    final = F.struct(*[F.col(judged)[c].alias(c) for c in ("host", "path", "rule")], F.coalesce(F.col(judged)["verdict"], by_model).alias("verdict"), F.col("score").alias("score"))
+    by_model = F.when(F.col(score) < F.lit(least), BLOCK).otherwise(ALLOW)
+    out = ruled.join(scored.select(F.col("address").alias(key), F.col("score").alias(score)), key, "left")
+    final = F.struct(*[F.col(judged)[c].alias(c) for c in ("host", "path", "rule")], F.coalesce(F.col(judged)["verdict"], by_model).alias("verdict"), F.col(score).alias("score"))
     return out.withColumn(judged, final).select([F.col(f"`{c}`") for c in pages.columns] + [F.col(judged).alias("judged")])
 
 

@@ -12,7 +12,7 @@ a URL of very many captures spreads over its hours.
 
 Defined results: a revisit without URL, or without an earlier full response, is ``missing``; with a
 validator that differs ``changed``; without a common validator ``unverified``; only ``resolved``
-ones are merged. A response of the same instant is not earlier; of responses of one instant the
+ones are merged. Further columns are left out. A response of the same instant is not earlier; of responses of one instant the
 greatest record_id counts. NULL times are never earlier than anything. Repeated rows are kept.
 """
 
@@ -73,6 +73,7 @@ def latest_earlier(records: DataFrame) -> DataFrame:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Each revisit of ``records`` (columns RECORD; headers is a map with lower-case names) with
     outcome, response_id, merged headers and the payload it stands for."""
+    records = records.select(*RECORD)
     revisits = records.where("kind = 'revisit'")
     pairs = latest_earlier(records).distinct()
     stored = records.where("kind = 'response'").select(

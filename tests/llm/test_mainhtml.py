@@ -70,12 +70,12 @@ def test_hosts_repeat_boilerplate(spark, monkeypatch, most):
     def page(k, body, host="a.com"):
         return (k, f"http://{host}/{k}", body)
 
-    rows = [page(k, f"<div>Welcome to the best site ever</div><p>item {k} is unique here</p><p>All rights are reserved by us</p>") for k in range(12)]
+    rows = [page(k, f"<div>Welcome to the best site ever</div><p>only{k} page{k} text{k}</p><p>All rights are reserved by us</p>") for k in range(12)]
     rows += [page(100, None), page(101, ""), (None, None, "<p>x"), page(102, "<div>Welcome to the best site ever</div>", "b.com"), rows[3], (104, "http://c.com/", "<article>Welcome to the best site ever</article>"), (105, "http://c.com/2", "<article>Welcome to the best site ever</article>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS mark", "2 AS positions")
     out = mainhtml.extract(df)
     assert out.columns == [*df.columns, "main_text"] and out.count() == len(rows)
     text = {r.page_id: r.main_text for r in out.collect()}
-    assert text[3] == "item 3 is unique here" and text[100] == text[101] == "" and text[None] == "x"
+    assert text[3] == "only3 page3 text3" and text[100] == text[101] == "" and text[None] == "x"
     assert text[102] == text[104] == text[105] == "Welcome to the best site ever"
     assert mainhtml.page_texts(df.limit(0)).collect() == []
