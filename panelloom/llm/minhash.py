@@ -14,12 +14,12 @@ sets, as near-duplicate contracts state it; ``weights="count"`` weighs a run by
 
 Rows: texts of the same words form one class first. Signatures of class representatives are cut
 into bands; texts that share a band are candidates, and each candidate pair is verified on its
-whole sets. A band of at most ``SMALL`` texts tries all its pairs. In a larger one each text tries
-the band's most shared document, so a group of copies of any size costs pairs in proportion to its
-members; after ``LEADERS`` such turns, those that still fail share the band by chance or by a common
-passage. They are dealt again by each further band that they share, so only pairs that agree on two
-bands (then three) meet; ``DEEPEST`` bands further they go on by leaders until none is left. Links
-join into components.
+whole sets, unless links found before join the two already. A band of at most ``SMALL`` texts tries
+all its pairs. In a larger one each text first tries the band's most shared document, then those
+that failed try theirs, ``LEADERS`` times; so a group of copies costs pairs in proportion to its
+members. The links so far join into components, and where a large band still holds several, every
+pair of its texts from different components is verified, in pairs of blocks of bounded size that
+are reduced to links within a task. The components are those of all pairs that share a band.
 
 Defined results: NULL and wordless texts are alone; rows that repeat a document get the same
 class; a NULL doc_id has the class of its text but never represents one; an empty table gives an
@@ -30,11 +30,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.llm import common as C
+from panelloom.llm.embeddings import _roots
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -42,9 +43,12 @@ BANDS = 28
 ROWS = 6
 #: Members of a band that try all their pairs.
 SMALL = 32
-#: Turns by leaders before failed members are dealt by further bands, and how many of these.
+#: Turns by leaders before the members of a large band that are still apart meet in blocks.
 LEADERS = 3
-DEEPEST = 3
+#: Texts of a block: of one of a few, of one of many; and five-word runs of a block, about.
+FEW_BLOCK = 128
+BLOCK = 512
+BLOCK_RUNS = 1_000_000
 #: Numbers of darts in a unit cell: the distribution function of Poisson(1).
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1, 12)]))
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -57,6 +61,7 @@ SKETCH = T.StructType(
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
 )
+LINK = "a long, b long"
 SET = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType()))])
 
 
@@ -217,15 +222,96 @@ def near_links(reps: DataFrame, docs: DataFrame, similarity: float, width: int)
         links = good if links is None else links.union(good)
         same = (F.greatest("doc_id", "leader") == good["a"]) & (F.least("doc_id", "leader") == good["b"])
         failed = C.checkpointed(large.join(good, same, "left_anti").select("cell", "doc_id"))
-        if C.is_empty(failed):
-            return links
-        if LEADERS <= turn < LEADERS + DEEPEST:
-            finer = failed.join(reps, "doc_id").select("cell", "doc_id", F.explode("bands").alias("band"))
-            finer = finer.where(~F.array_contains("cell", F.col("band")))
-            failed = finer.select(F.array_sort(F.array_append("cell", F.col("band"))).alias("cell"), "doc_id").distinct()
+        if turn == LEADERS or C.is_empty(failed):
+            break
         counted = C.checkpointed(_counted(failed, "cell"))
         open_ = C.checkpointed(failed.join(counted, "cell"))
         turn += 1
+    apart = _apart(members.where(F.col("n") > SMALL).select("cell", "doc_id"), C.components(links), sets)
+    return links if apart is None else links.union(_compare(apart, sets, similarity))
+
+
+def _apart(large: DataFrame, named: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """The members of large cells that hold several components, dealt to pairs of blocks (cell, low,
+    high) so that all pairs meet but those within the cell's largest component."""
+    known = large.join(named, F.col("doc_id") == F.col("node"), "left").select("cell", "doc_id", F.coalesce("component", "doc_id").alias("label"))
+    sized = C.checkpointed(known.join(sets.select("doc_id", F.size("runs").cast("long").alias("runs")), "doc_id"))
+    parts = sized.groupBy("cell", "label").agg(F.count("*").alias("n"), F.sum("runs").alias("runs"))
+    cells = parts.groupBy("cell").agg(F.max(F.struct("n", "label", "runs")).alias("main"), F.sum("n").alias("n"), F.sum("runs").alias("runs")).where("n > main.n")
+
+    def blocks(n: Column, runs: Column) -> Column:
+        return F.greatest(F.least(F.lit(8), F.ceil(n / FEW_BLOCK)), F.ceil(n / BLOCK), F.ceil(runs / BLOCK_RUNS)).cast("int")
+
+    rest = blocks(F.col("n") - F.col("main.n"), F.col("runs") - F.col("main.runs"))
+    cells = C.checkpointed(cells.select("cell", F.col("main.label").alias("main"), blocks(F.col("main.n"), F.col("main.runs")).alias("first"), rest.alias("rest")))
+    if C.is_empty(cells):
+        return None
+    # The largest component's blocks come first and meet only those of the rest.
+    within = F.col("label") == F.col("main")
+    own = F.when(within, F.pmod(F.xxhash64("doc_id"), F.col("first"))).otherwise(F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("rest"))).cast("int")
+    others = F.sequence(F.when(within, F.col("first")).otherwise(F.lit(0)), F.col("first") + F.col("rest") - 1)
+    dealt = sized.join(cells, "cell").select("cell", "doc_id", "label", own.alias("own"), F.explode(others).alias("other"))
+    return dealt.select("cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"), "doc_id", "label")
+
+
+def similar_pairs(values: np.ndarray, offsets: np.ndarray, side: np.ndarray, same: bool, similarity: float, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of sets (places) within a block (``same``) or from side 0 to side 1 that are as
+    similar as asked; set i is values[offsets[i]:offsets[i+1]]."""
+    sizes = np.diff(offsets)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    left = np.flatnonzero(side == 0)
+    right = left if same else np.flatnonzero(side == 1)
+    place = np.zeros(len(sizes), np.int64)
+    place[left] = np.arange(len(left))
+    place[right] = np.arange(len(right))
+    found, token, times = np.unique(values, return_inverse=True, return_counts=True)
+    # Only what several sets hold, and both sides, counts towards a pair.
+    shared = times > 1
+    if not same:
+        shared = (np.bincount(token[side[rows] == 0], minlength=len(found)) > 0) & (np.bincount(token[side[rows] == 1], minlength=len(found)) > 0)
+    number = np.cumsum(shared) - 1
+    keep = shared[token]
+    token, rows = number[token[keep]], rows[keep]
+    order = np.argsort(token, kind="stable")
+    token, rows = token[order], rows[order]
+    both = np.zeros((len(left), len(right)))
+    for k in range(0, int(shared.sum()), columns):
+        i, j = np.searchsorted(token, (k, k + columns))
+        at, row = token[i:j] - k, rows[i:j]
+        x = np.zeros((len(left), columns), np.float32)
+        mine = side[row] == 0
+        x[place[row[mine]], at[mine]] = 1
+        y = x
+        if not same:
+            y = np.zeros((len(right), columns), np.float32)
+            y[place[row[~mine]], at[~mine]] = 1
+        both += x @ y.T
+    near = both >= similarity * (sizes[left][:, None] + sizes[right][None, :] - both)
+    if same:
+        near = np.triu(near, 1)
+    i, j = np.nonzero(near)
+    return left[i], right[j]
+
+
+def _compare(apart: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between the labels that verified pairs of the blocks join."""
+
+    def run(block: pa.Table) -> pa.Table:
+        side, label = block["side"].to_numpy(), block["label"].to_numpy()
+        low, high = block["low"][0].as_py(), block["high"][0].as_py()
+        names, node = np.unique(label, return_inverse=True)
+        if len(names) == 1 or (low != high and len(np.unique(side)) == 1):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        runs = block["runs"].combine_chunks()
+        offsets = runs.offsets.to_numpy()
+        values = runs.values.to_numpy()[offsets[0] : offsets[-1]]
+        i, j = similar_pairs(values, offsets - offsets[0], side, low == high, similarity)
+        root = _roots(node[i], node[j], names)
+        return pa.table({"a": names[names != root], "b": root[names != root]})
+
+    # The runs meet their places in the blocks by document, and go on to the blocks.
+    blocks = apart.join(sets, "doc_id").select("cell", "low", "high", "side", "label", "runs")
+    return C.checkpointed(C.with_workers(blocks).groupBy("cell", "low", "high").applyInArrow(run, LINK))
 
 
 def _counted(cells: DataFrame, key: str) -> DataFrame:

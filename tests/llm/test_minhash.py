@@ -1,5 +1,6 @@
 """DartMinHash: agreement equals weighted similarity; groups equal those of brute force."""
 
+import random
 import re
 from collections import Counter
 
@@ -79,6 +80,38 @@ def test_large_group_of_near_copies_and_odd_rows(spark, monkeypatch):
     assert sorted(kept) == [0, 1000, 1001, 1002, 1003, 1005]
 
 
+def test_copies_of_a_large_group_that_differ_from_its_leaders(spark):
+    rnd = random.Random(7)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(700):
+        copy = list(base)
+        for at in rnd.sample(range(200), rnd.randint(2, 7)):
+            copy[at] = f"x{k}a{at}"
+        rows.append((k, " ".join(copy)))
+    # Copies of one edited text, far from the others, whose bands the common words still share.
+    other = [w if i % 17 else f"y{i}" for i, w in enumerate(base)]
+    rows += [(1000 + k, " ".join(w if i != 3 * k else f"z{k}" for i, w in enumerate(other))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in minhash.near_groups(docs).collect()} == brute_groups(rows)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_block_pairs_match_brute_force(same):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(80)]
+    side = np.zeros(80, np.int64) if same else np.arange(80) % 2
+    offsets = np.r_[0, np.cumsum([len(s) for s in sets])]
+    a, b = minhash.similar_pairs(np.concatenate(sets), offsets, side, same, 0.4, columns=7)
+    want = set()
+    for i in range(80):
+        for j in range(80):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if (i < j if same else side[i] < side[j]) and both >= 0.4 * (len(sets[i]) + len(sets[j]) - both):
+                want.add((i, j))
+    assert set(zip(a.tolist(), b.tolist())) == want
+
+
 @pytest.mark.parametrize("rows", [[], [(None, "a b c d e f"), (None, None)]])
 def test_empty_and_unnamed(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
