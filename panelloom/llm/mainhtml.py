@@ -5,15 +5,17 @@ styles, comments and other parts that no reader sees. Each block knows whether i
 furniture (``nav``, ``footer``, ``aside``, forms, elements whose class or id names an advert, a
 notice, comments and so on) and whether it lies in the article (``article``, ``main``).
 
-Furniture goes. So do, outside the article, words that the host repeats: the words outside the
-articles of a host's pages, furniture included, are joined into one stream, and its suffix array
-with the common lengths of neighbouring suffixes gives every word that lies in a run of ``REPEAT``
-words or more that occurs on another page of the host too. What is unique stays. Text within an
-article element is the page's own, even if another page carries the same article, and is not judged
-by repetition; unique adverts and menus are known by their markup alone.
+Furniture goes. So does, outside the article, what the host repeats on a clear share of its pages:
+on ``SHARE`` of its distinct pages with words outside articles, two at least. That is a whole block,
+or blocks in a row, of ``REPEAT`` words or more; and a run of ``LONG`` words or more within a text,
+found by a suffix array with the common lengths of neighbouring suffixes over the words outside the
+articles of a host's pages, furniture included. A phrase that pages share within their sentences
+stays, and so does what is unique. Text within an article element is the page's own, even if another
+page carries the same article, and is not judged by repetition; unique adverts and menus are known
+by their markup alone.
 
 A host of more than ``HOST_PAGES`` such pages is not gathered: a word lies in a repeated run of at
-least REPEAT words exactly if it lies in one of REPEAT words, so there the runs of REPEAT words are
+least LONG words exactly if it lies in one of LONG words, so there blocks and runs of LONG words are
 counted by host, reduced in each task before the shuffle, and joined back with a salt.
 
 Defined results: NULL or empty html gives an empty text; a page without article and without
@@ -25,6 +27,7 @@ its own; further columns pass through.
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 from html import unescape
 
 import numpy as np
@@ -35,7 +38,11 @@ from pyspark.sql import types as T
 
 from panelloom.llm import common as C
 
+#: Words of a repeated block, or of short blocks in a row, and of a repeated run within a text.
 REPEAT = 4
+LONG = 24
+#: Share of a host's distinct pages that must hold what counts as repeated.
+SHARE = 0.1
 #: Pages of a host with text outside articles that one task works on.
 HOST_PAGES = 2000
 SALTS = 16
@@ -185,8 +192,8 @@ def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def repeated_words(pages: list[list[str]], names: list, least: int = REPEAT) -> list[np.ndarray]:
-    """For each page, which of its words lie in a run of ``least`` words that another page has too.
+def repeated_words(pages: list[list[str]], names: list, least: int = REPEAT, need: int = 2) -> list[np.ndarray]:
+    """For each page, which of its words lie in a run of ``least`` words that ``need`` pages have.
 
     Pages are told apart by ``names``. Each page ends in a token of its own, so no run spans two.
     """
@@ -209,18 +216,18 @@ def repeated_words(pages: list[list[str]], names: list, least: int = REPEAT) ->
     # Suffixes that share their first ``least`` tokens stand together.
     group = np.cumsum(common < least)
     owner = page_of[order]
-    low, high = np.full(group[-1] + 1, len(numbers)), np.full(group[-1] + 1, -1)
-    np.minimum.at(low, group, owner)
-    np.maximum.at(high, group, owner)
+    held = np.unique(group * len(numbers) + owner) // len(numbers)
+    pages_of = np.bincount(held, minlength=group[-1] + 1)
     edge = np.zeros(len(tokens) + least + 1, np.int64)
-    starts = order[(low < high)[group]]
+    starts = order[(pages_of >= need)[group]]
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + least, -1)
     covered = np.cumsum(edge)[: len(tokens)] > 0
     return [covered[begin[k] : begin[k + 1] - 1] for k in range(len(pages))]
 
 
-LOOSE = "page_id long, mark long, name long, host string, words array<string>, judged array<boolean>"
+LOOSE = "page_id long, mark long, name long, host string, words array<string>, judged array<boolean>, units array<struct<at:int,size:int,key:long>>"
+UNITS = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32()), ("key", pa.int64())]))
 MARKS = "page_id long, mark long, positions array<int>"
 
 
@@ -229,16 +236,42 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(rest, r"^[^/?#]*", 0)), F.lit(""))
 
 
-def _outside(html: str) -> tuple[list[str], list[bool]]:
-    """The words of a page outside its article, and whether each is judged by repetition (those in
-    furniture go anyway, but tell what the host repeats)."""
-    words, judged = [], []
+def _outside(html: str) -> tuple[list[str], list[bool], list[tuple[int, int, int]]]:
+    """The words of a page outside its article, whether each is judged by repetition (those in
+    furniture go anyway, but tell what the host repeats), and its units: from each block as many
+    blocks as make REPEAT words (place, number of words, hash)."""
+    words, judged, ends, units = [], [], [0], []
     for text, furniture, article in page_blocks(html):
         if not article or furniture:
             found = text.split(" ")
             words += found
             judged += [not furniture] * len(found)
-    return words, judged
+            ends.append(len(words))
+    for k, at in enumerate(ends[:-1], 1):
+        end = next((e for e in ends[k:] if e - at >= REPEAT), None)
+        if end is not None:
+            key = blake2b("\n".join(words[at:end]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+            units.append((at, end - at, int.from_bytes(key, "big", signed=True)))
+    return words, judged, units
+
+
+def pages_needed(pages: int) -> int:
+    """The pages that must hold what a host of so many pages repeats."""
+    return max(2, int(np.ceil(SHARE * pages)))
+
+
+def repeated_units(units: list[list[tuple[int, int, int]]], names: list, sizes: list[int], need: int) -> list[np.ndarray]:
+    """For each page, which of its words lie in a unit that ``need`` pages have."""
+    held: dict[int, set] = {}
+    for page, name in zip(units, names):
+        for _, _, key in page:
+            held.setdefault(key, set()).add(name)
+    out = [np.zeros(n, bool) for n in sizes]
+    for hit, page in zip(out, units):
+        for at, size, key in page:
+            if len(held[key]) >= need:
+                hit[at : at + size] = True
+    return out
 
 
 def main_text(html: str, repeated: set[int]) -> str:
@@ -266,8 +299,9 @@ def _loose(pages: DataFrame) -> DataFrame:
             column = batch.column(4)
             for i, j in C.row_slices(C.text_bytes(column)[1]):
                 found = [_outside(x.as_py() or "") for x in column[i:j]]
-                lists = [pa.array([f[0] for f in found], pa.list_(pa.string())), pa.array([f[1] for f in found], pa.list_(pa.bool_()))]
-                yield pa.RecordBatch.from_arrays([*[c[i:j] for c in batch.columns[:4]], *lists], ["page_id", "mark", "name", "host", "words", "judged"])
+                units = [[dict(zip(("at", "size", "key"), u)) for u in f[2]] for f in found]
+                lists = [pa.array([f[0] for f in found], pa.list_(pa.string())), pa.array([f[1] for f in found], pa.list_(pa.bool_())), pa.array(units, UNITS)]
+                yield pa.RecordBatch.from_arrays([*[c[i:j] for c in batch.columns[:4]], *lists], ["page_id", "mark", "name", "host", "words", "judged", "units"])
 
     return C.with_workers(pages).mapInArrow(run, LOOSE).where(F.size("words") >= REPEAT)
 
@@ -278,13 +312,17 @@ def _by_host(loose: DataFrame) -> DataFrame:
     def found(table: pa.Table) -> pa.RecordBatch:
         hosts = table["host"].to_pylist()
         words, judged, names = (table[c].to_pylist() for c in ("words", "judged", "name"))
+        units = [[(u["at"], u["size"], u["key"]) for u in page] for page in table["units"].to_pylist()]
         rows, places, first = [], [], 0
         while first < len(hosts):
             last = first
             while last < len(hosts) and hosts[last] == hosts[first]:
                 last += 1
-            for k, hit in enumerate(repeated_words(words[first:last], names[first:last]), first):
-                if len(at := np.flatnonzero(hit & np.array(judged[k], bool))):
+            own, need = names[first:last], pages_needed(len(set(names[first:last])))
+            runs = repeated_words(words[first:last], own, LONG, need)
+            blocks = repeated_units(units[first:last], own, [len(w) for w in words[first:last]], need)
+            for k, (run, block) in enumerate(zip(runs, blocks), first):
+                if len(at := np.flatnonzero((run | block) & np.array(judged[k], bool))):
                     rows.append(k)
                     places.append(at.astype(np.int32))
             first = last
@@ -309,15 +347,17 @@ def _by_host(loose: DataFrame) -> DataFrame:
 
 
 def _by_count(loose: DataFrame) -> DataFrame:
-    """The same for hosts of very many pages: runs of REPEAT words are counted, not gathered."""
-    size = F.size("words")
-    grams = F.transform(F.sequence(F.lit(1), size - REPEAT + 1), lambda i: F.struct((i - 1).alias("at"), F.concat_ws(" ", F.slice("words", i, REPEAT)).alias("run")))
-    runs = loose.select("page_id", "mark", "name", "host", "judged", F.explode(grams).alias("g")).select("page_id", "mark", "name", "host", "judged", "g.at", "g.run")
-    repeated = runs.groupBy("host", "run").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low < high").select("host", "run")
+    """The same for hosts of very many pages (with ``need``): units and runs of LONG words are
+    counted, not gathered."""
+    last = F.size("words") - LONG + 1
+    grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct((i - 1).alias("at"), F.lit(LONG).alias("size"), F.xxhash64(F.slice("words", i, LONG)).alias("key")))
+    parts = F.concat(F.transform("units", lambda u: F.struct(F.lit(0).alias("kind"), u["at"].alias("at"), u["size"].alias("size"), u["key"].alias("key"))), F.transform(F.when(last > 0, grams).otherwise(F.array().cast("array<struct<at:int,size:int,key:bigint>>")), lambda g: F.struct(F.lit(1).alias("kind"), g["at"].alias("at"), g["size"].alias("size"), g["key"].alias("key"))))
+    runs = loose.select("page_id", "mark", "name", "host", "judged", "need", F.explode(parts).alias("g")).select("page_id", "mark", "name", "host", "judged", "need", "g.*")
+    repeated = runs.groupBy("host", "kind", "key").agg(F.count_distinct("name").alias("pages"), F.max("need").alias("need")).where("pages >= need").select("host", "kind", "key")
     salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = runs.where(F.exists(F.slice("judged", F.col("at") + 1, REPEAT), lambda j: j)).withColumn("salt", F.pmod(F.xxhash64("mark", "at"), F.lit(SALTS)).cast("int"))
-    hit = own.join(salted, ["host", "run", "salt"], "left_semi")
-    places = hit.select("page_id", "mark", "judged", F.explode(F.sequence("at", F.col("at") + REPEAT - 1)).alias("place")).where(F.element_at("judged", F.col("place") + 1))
+    own = runs.where(F.exists(F.slice("judged", F.col("at") + 1, F.col("size")), lambda j: j)).withColumn("salt", F.pmod(F.xxhash64("mark", "at"), F.lit(SALTS)).cast("int"))
+    hit = own.join(salted, ["host", "kind", "key", "salt"], "left_semi")
+    places = hit.select("page_id", "mark", "judged", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("place")).where(F.element_at("judged", F.col("place") + 1))
     return places.groupBy("page_id", "mark").agg(F.collect_set("place").alias("positions"))
 
 
@@ -330,9 +370,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     name = F.xxhash64(number, F.col(f"`{url}`"))
     source = pages.select(number.alias("page_id"), F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")).alias("mark"), name.alias("name"), host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{html}`").alias("html"))
     loose = C.checkpointed(_loose(source))
-    sizes = C.checkpointed(loose.groupBy("host").agg(F.count("*").alias("n"), F.max(F.exists("judged", lambda j: j)).alias("asks")).where("asks"))
+    sizes = C.checkpointed(loose.groupBy("host").agg(F.count("*").alias("n"), F.count_distinct("name").alias("pages"), F.max(F.exists("judged", lambda j: j)).alias("asks")).where("asks"))
     few = loose.join(sizes.where(F.col("n") <= HOST_PAGES), "host", "left_semi")
-    many = loose.join(sizes.where(F.col("n") > HOST_PAGES), "host", "left_semi")
+    need = F.greatest(F.lit(2), F.ceil(F.lit(SHARE) * F.col("pages"))).alias("need")
+    many = loose.join(sizes.where(F.col("n") > HOST_PAGES).select("host", need), "host")
     marks = _by_host(few).unionByName(_by_count(many)).groupBy("page_id", "mark").agg(F.flatten(F.collect_list("positions")).alias("positions"))
     marks = C.checkpointed(marks.select(F.col("page_id").alias(found_id), F.col("mark").alias(found_mark), F.col("positions").alias(positions)))
     # Few pages have words to lose; more than can be broadcast safely are joined by a shuffle.

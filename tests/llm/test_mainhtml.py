@@ -79,3 +79,22 @@ def test_hosts_repeat_boilerplate(spark, monkeypatch, most):
     assert text[3] == "only3 page3 text3" and text[100] == text[101] == "" and text[None] == "x"
     assert text[102] == text[104] == text[105] == "Welcome to the best site ever"
     assert mainhtml.page_texts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("most", [2000, 50])
+def test_unmarked_prose_keeps_its_phrases(spark, monkeypatch, most):
+    monkeypatch.setattr(mainhtml, "HOST_PAGES", most)
+    rnd = random.Random(4)
+    passage = " ".join(f"licence{k}" for k in range(40))
+    rows, want = [], {}
+    for k in range(300):
+        prose = [" ".join(f"{rnd.choice('abcdefgh')}{k}x{i} at the end of the day" for i in range(6)) for _ in range(3)]
+        menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "About us", "Contact"))
+        rows.append((k, f"http://a.com/{k}", f"{menu}<p>{prose[0]}</p><div>{prose[1]}</div><p>{prose[2]} own{k} {passage} end{k}</p><p>All rights are reserved by us</p>"))
+        want[k] = f"{' '.join(prose)} own{k} end{k}"
+    # On two pages of 300: no boilerplate of the host.
+    for k in (300, 301):
+        rows.append((k, f"http://a.com/{k}", "<p>One block of words that two of the pages have</p>"))
+        want[k] = "One block of words that two of the pages have"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in mainhtml.page_texts(df).collect()} == want
