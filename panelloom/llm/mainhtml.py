@@ -5,6 +5,11 @@ styles, comments and other parts that no reader sees. Each block knows whether i
 furniture (``nav``, ``footer``, ``aside``, forms, elements whose class or id names an advert, a
 notice, comments and so on) and whether it lies in the article (``article``, ``main``).
 
+A class or id names furniture as a whole or by its leading token, after words of place ("sidebar",
+"sidebar-left", "site-footer", not "with-sidebar"). A name alone is judged once its element's
+content is known: an element that encloses ``main``, or an article of a page whose articles all lie
+in such elements, is a wrapper and no furniture.
+
 Furniture goes. So does, outside the article, what the host repeats on a clear share of its pages:
 on ``SHARE`` of its distinct pages with words outside articles, two at least. That is a whole block,
 or blocks in a row, of ``REPEAT`` words or more; and a run of ``LONG`` words or more within a text,
@@ -62,6 +67,7 @@ FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup"
     " nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside widget related share sharing social comment comments reply replies disqus header masthead topbar login search".split()
 )
+PLACES = frozenset("site page main global primary secondary top bottom left right".split())
 SIBLINGS = frozenset("li dt dd tr td th".split())
 WHOLE = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header".split())
@@ -72,16 +78,29 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<close>/?)(?P<name>[A-Za
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
+def _furniture_name(name: str) -> bool:
+    """Whether a class or id names furniture: its first token does that is no word of place."""
+    tokens = [w.lower() for w in _NAME.findall(name)]
+    return next((w for w in tokens if w not in PLACES), "") in FURNITURE_NAMES
+
+
 class _Blocks:
     """Collects (text, in furniture, in article) for each block of a page."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, unseen, furniture, article
+        self.open: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # tag, unseen, furniture, article, named
         self.parts: list[str] = []
-        self.blocks: list[tuple[str, bool, bool]] = []
+        self.found: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+        # Of each element with a furniture name: whether it encloses an article, and main.
+        self.named: list[list[bool]] = []
+        self.free = False  # whether an article lies in no furniture
+
+    def state(self) -> tuple[bool, bool, bool, tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, False, False, ())
 
-    def state(self) -> tuple[bool, bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False, False)
+    def blocks(self) -> list[tuple[str, bool, bool]]:
+        furniture = [not (main or (article and not self.free)) for article, main in self.named]
+        return [(text, apart or any(furniture[k] for k in named), article) for text, apart, article, named in self.found]
 
     def flush(self) -> None:
         if not self.parts:
@@ -89,8 +108,8 @@ class _Blocks:
         text = " ".join("".join(self.parts).split())
         self.parts.clear()
         if text:
-            _, furniture, article = self.state()
-            self.blocks.append((text, furniture, article))
+            _, furniture, article, named = self.state()
+            self.found.append((text, furniture, article, named))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -100,13 +119,20 @@ class _Blocks:
             if tag == "br":
                 self.parts.append(" ")
             return
-        unseen, furniture, article = self.state()
+        unseen, furniture, article, within = self.state()
         given = {k.lower(): unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
-        names = {w.lower() for a in ("class", "id") for w in _NAME.findall(given.get(a, ""))}
+        names = [name for a in ("class", "id") for name in given.get(a, "").split()]
         hidden = "hidden" in given or given.get("aria-hidden", "").lower() == "true" or "display:none" in given.get("style", "").replace(" ", "").lower()
         apart = tag in FURNITURE or (tag == "header" and not article) or given.get("role", "").lower() in FURNITURE_ROLES
-        named = bool(names & FURNITURE_NAMES) and tag not in WHOLE and not (tag in HEADINGS and article)
-        self.open.append((tag, unseen or tag in UNSEEN or hidden, furniture or apart or named, article or tag in ARTICLE))
+        unseen, furniture = unseen or tag in UNSEEN or hidden, furniture or apart
+        if any(map(_furniture_name, names)) and tag not in WHOLE and not (tag in HEADINGS and article):
+            within = (*within, len(self.named))
+            self.named.append([False, False])
+        if tag in ARTICLE and not unseen and not furniture:
+            for k in within:
+                self.named[k][tag == "main"] = True
+            self.free = self.free or not within
+        self.open.append((tag, unseen, furniture, article or tag in ARTICLE, within))
 
     def _close_implied(self, tag: str) -> None:
         """A paragraph ends where the next block begins, a list item or cell where its like does."""
@@ -159,7 +185,7 @@ def page_blocks(html: str) -> list[tuple[str, bool, bool]]:
             page.text(body)
             at = close.start() if close else len(html)
     page.flush()
-    return page.blocks
+    return page.blocks()
 
 
 def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

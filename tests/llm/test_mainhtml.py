@@ -50,6 +50,15 @@ def test_markup():
     assert mainhtml.main_text("<p hidden>no</p><div style='display: none'>no</div>yes &nbsp; ok", set()) == "yes ok"
 
 
+@pytest.mark.parametrize("wrapper", ["class='content with-sidebar'", "id='page' class='has-menu'", "class='post no-comments'", "class='sidebar-left'"])
+def test_names_of_wrappers_do_not_empty_the_page(wrapper):
+    for tag in ("article", "main"):
+        page = f"<body><div class='site-footer'>f</div><div {wrapper}><{tag}><p>One two</p></{tag}><div class='sidebar'>s</div></div><div id='comments'>c</div></body>"
+        assert mainhtml.main_text(page, set()).startswith("One two") and " c" not in mainhtml.main_text(page, set())
+    assert mainhtml.main_text("<main><article>a b</article><div class='comments'><article>c</article></div></main><div class='related'><article>r</article></div>", set()) == "a b"
+    assert mainhtml.main_text("<div class='content with-sidebar'>plain</div><div class='sidebar'>s</div>", set()) == "plain"
+
+
 def test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
 
