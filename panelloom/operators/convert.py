@@ -27,11 +27,14 @@ class ConversionSpec:
 
     numeric: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
+    # Dates read value by value in any layout or as day numbers.
+    mixed_dates: tuple[str, ...] = ()
     timestamps: tuple[str, ...] = ()
     logical: tuple[str, ...] = ()
     category: tuple[str, ...] = ()
     latest_date: str = "2045-12-31"
     min_date_share: float = 0.10
+    min_mixed_share: float = 0.5
     min_share: float = 0.05
     # Successes that accept a column whatever their share; only on request, as it depends on size.
     min_count: int | None = None
@@ -39,7 +42,7 @@ class ConversionSpec:
 
     @property
     def columns(self) -> tuple[str, ...]:
-        return self.timestamps + self.dates + self.numeric + self.logical + self.category
+        return self.timestamps + self.mixed_dates + self.dates + self.numeric + self.logical + self.category
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ def _split(df: DataFrame, readings: Mapping[str, str]) -> DataFrame:
     is taken apart once however many layouts look at it."""
     fields = {}
     for c, reading in readings.items():
-        if reading.startswith("date:") or reading == "mixed_dates":
+        if reading.startswith("date:") or reading in ("mixed_dates", "any_date"):
             fields[f"_fields_{c}"] = P.date_fields(F.col(c))
         elif reading.startswith("timestamp:"):
             fields[f"_fields_{c}"] = P.timestamp_fields(F.col(c))
@@ -93,6 +96,7 @@ def _reading(column: str, reading: str) -> Column:
     return {
         "text": lambda: text,
         "mixed_dates": lambda: F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS]),
+        "any_date": lambda: F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS], F.when(_plausible_serial(P.serial_date(text)), P.serial_date(text))),
         "serial_date": lambda: P.serial_date(text),
         "number": lambda: P.number(text),
         "boolean": lambda: P.boolean(text),
@@ -100,9 +104,15 @@ def _reading(column: str, reading: str) -> Column:
     }[reading]()
 
 
+def _plausible_serial(value: Column) -> Column:
+    return (value > F.lit(EARLIEST_DATE).cast("date")) & (value < F.lit(LATEST_SERIAL_DATE).cast("date"))
+
+
 def _candidates(kind: str) -> list[str]:
     if kind == "dates":
         return [f"date:{x.name}" for x in P.DATE_LAYOUTS] + ["mixed_dates", "serial_date"]
+    if kind == "mixed_dates":
+        return ["any_date"]
     if kind == "timestamps":
         return [f"timestamp:{x.name}" for x in P.TIMESTAMP_LAYOUTS]
     return {"numeric": ["number"], "logical": ["boolean"], "category": ["category"]}[kind]
@@ -110,12 +120,11 @@ def _candidates(kind: str) -> list[str]:
 
 def _success(column: str, reading: str, spec: ConversionSpec) -> Column:
     value = _reading(column, reading)
-    if reading.startswith("date:"):
+    if reading.startswith("date:") or reading == "any_date":
         low, high = F.lit(EARLIEST_DATE).cast("date"), F.lit(spec.latest_date).cast("date")
         return (value > low) & (value < high)
     if reading == "serial_date":
-        low, high = F.lit(EARLIEST_DATE).cast("date"), F.lit(LATEST_SERIAL_DATE).cast("date")
-        return (value > low) & (value < high)
+        return _plausible_serial(value)
     return value.isNotNull()
 
 
@@ -124,7 +133,7 @@ def plan_conversion(df: DataFrame, spec: ConversionSpec) -> ConversionPlan:
     text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
     kinds = {
         c: kind
-        for kind in ("timestamps", "dates", "numeric", "logical", "category")
+        for kind in ("timestamps", "mixed_dates", "dates", "numeric", "logical", "category")
         for c in getattr(spec, kind)
         if c in text
     }
@@ -156,6 +165,8 @@ def _choose(column, kind, rows, non_null, successes, spec) -> str:
                 return reading
         return next((reading for reading in ("mixed_dates", "serial_date") if share[reading] > spec.min_share), "text")
     (reading, n), = count.items()
+    if kind == "mixed_dates":
+        return reading if share[reading] > spec.min_mixed_share else "text"
     enough = spec.min_count is not None and n > spec.min_count
     return reading if enough or share[reading] > spec.min_share else "text"
 

@@ -38,6 +38,7 @@ class CleanSpec:
     squish: bool = True
     numeric: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
+    mixed_dates: tuple[str, ...] = ()
     timestamps: tuple[str, ...] = ()
     serial_timestamps: tuple[str, ...] = ()
     percent: tuple[str, ...] = ()
@@ -93,7 +94,7 @@ def conversion_spec(df: DataFrame, spec: CleanSpec, skip: Sequence[str] = POSITI
     """The type plan of a spec for the columns that are really there."""
     taken = [*skip, *spec.serial_timestamps]
     kinds: dict[str, tuple[str, ...]] = {}
-    for kind in ("timestamps", "dates", "numeric", "logical", "category"):
+    for kind in ("timestamps", "mixed_dates", "dates", "numeric", "logical", "category"):
         kinds[kind] = _named(df, getattr(spec, kind), taken)
         taken += kinds[kind]
     return V.ConversionSpec(**kinds)
@@ -171,6 +172,7 @@ OPPORTUNITIES = CleanSpec(
     squish=False,
     numeric=("^to_expected_value$", "^price_of_competitor_machine$", "^to_weighted_value$"),
     dates=("date$|time$|on$",),
+    mixed_dates=("^to_(start|close)_date$", "^expected_closure_date$"),
     serial_timestamps=("changed_on", "created_on"),
     percent=("to_probability",),
     category=("^to_sales_phase$", "^to_opportunity_status$", "^to_product_category$"),
@@ -259,6 +261,7 @@ MACHINE_ORDERS = CleanSpec(
         "adresskennzeichen": "sm_address_marker",
     },
     numeric=("^sm_net_value$", "^sm_position_sd$"),
+    mixed_dates=("^sm_purchase_date$",),
     dates=("^sm_.*_date$", "^sm_date_rot$", "^sm_created_at$"),
     category=("^sm_partner_role$", "^sm_document_currency$", "^sm_country_code_[xy]$"),
     derive=(partial(_parts, column="sm_purchase_date", prefix="purchase", parts=_YMD),),

@@ -208,3 +208,14 @@ def test_amounts_in_other_spellings(spark):
     amounts = {"1.234,56": 1234.56, "12,50 EUR": 12.5, "(12)": -12.0, "$1,234.50": 1234.5, "1,234": 1234.0, "40 %": 0.4, "-3": -3.0, "1.5": 1.5}
     df = spark.createDataFrame([(k,) for k in amounts], "t string").select("t", P.number(F.col("t")).alias("v"))
     assert {r.t: r.v for r in df.collect()} == pytest.approx(amounts)
+
+
+def test_opportunity_dates_are_read_value_by_value(spark):
+    from panelloom.plans import cleaners
+
+    texts = ["2020-03-25", "2021-04-26", "2019-05-27"] + [f"{d}.06.2018" for d in range(20, 26)] + ["43831"]
+    rows = [(str(k), t, "2020-01-01", k) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "ID string, `Close Date` string, `Start Date` string, _line int")
+    out = {r.to_id: str(r.to_close_date) for r in cleaners.clean(df, cleaners.OPPORTUNITIES, ["_line"]).collect()}
+    want = texts[:3] + [f"2018-06-{d}" for d in range(20, 26)] + ["2020-01-01"]
+    assert out == {str(k): w for k, w in enumerate(want)}
