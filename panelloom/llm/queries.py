@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.llm import bpe, decontaminate, embeddings, langid, mainhtml, minhash, sanitise, substrings, urls, warc
+from panelloom.llm import bpe, decontaminate, embeddings, langid, mainhtml, minhash, periodic, sanitise, search, substrings, toxicity, urls, warc
 from panelloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,4 +68,19 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeat_report(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_report(periodic.with_planted_runs(read_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op8_revisits"] = warc.ORACLE

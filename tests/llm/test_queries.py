@@ -9,7 +9,7 @@ from panelloom.llm import decontaminate, minhash, queries, sanitise
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op13_ranked_search"}))
 def test_one_row_per_row(spark, name):
     out = contract.queries()[name](spark, DATA)
     table = "embeddings" if name.startswith("op4_") else "pages" if name[:3] in ("op6", "op8", "op9") else "documents"
