@@ -30,7 +30,7 @@ def test_features_are_words_pairs_triples_and_skips_within_a_row():
     assert upper.tolist() == words.tolist()
 
 
-def plain_ftrl(texts, truth, weight):
+def plain_ftrl(texts, truth):
     z, n = {}, {}
 
     def w(i):
@@ -41,9 +41,9 @@ def plain_ftrl(texts, truth, weight):
         return (math.copysign(strength, z[i]) - z[i]) / rate
 
     for _ in range(toxicity.EPOCHS):
-        for features, y, v in zip(texts, truth, weight):
+        for features, y in zip(texts, truth):
             now = {i: w(i) for i in [*features, "bias"]}
-            slope = v * (1 / (1 + math.exp(-sum(now.values()))) - y)
+            slope = 1 / (1 + math.exp(-sum(now.values()))) - y
             for i, own in now.items():
                 before = n.get(i, 0.0)
                 n[i] = before + slope * slope
@@ -55,15 +55,14 @@ def test_weights_equal_a_plain_reading_of_ftrl():
     rnd = np.random.default_rng(1)
     truth = (rnd.random(150) < 0.3).astype(int)
     texts = [" ".join([*rnd.choice(list("abcdefg"), 12), *(["bad"] if y else [])]) for y in truth]
-    weight = np.where(truth == 1, 1.0, 2.5)
     words = [hashes(t)[0] for t in texts]
     features = [toxicity._features_of(w) for w in words]
     number = {}
     for f in features:
         for i in f.tolist():
             number[i] = number.get(i, 0) + 1
-    want = plain_ftrl([[i for i in f.tolist() if number[i] >= toxicity.MIN_DOCS] for f in features], truth, weight)
-    model = toxicity.fit(words, truth, weight)
+    want = plain_ftrl([[i for i in f.tolist() if number[i] >= toxicity.MIN_DOCS] for f in features], truth)
+    model = toxicity.fit(words, truth)
     assert model.bias == pytest.approx(want.pop("bias"))
     assert dict(zip(model.codes.tolist(), model.weights)) == pytest.approx(want)
     assert model.codes.tolist() == sorted(want)
@@ -127,7 +126,7 @@ def test_odd_and_empty_tables(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows)
 
 
-def test_samples_are_bounded_and_weighted(spark):
+def test_a_small_sample_of_a_rare_label(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('t', id % 50, IF(id % 10 = 0, ' vile', '')) AS text")
     labels = spark.range(4000).selectExpr("id AS doc_id", "CAST(id % 10 = 0 AS INT) AS toxic")
     model = toxicity.train(docs, labels, sample_rows=300)
