@@ -11,7 +11,6 @@ import io
 import re
 import warnings
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
@@ -23,9 +22,12 @@ from pyspark.sql import functions as F
 from panelloom.functions.names import numbered
 from panelloom.operators.quality import ingest_warnings
 from panelloom.operators.schema import clean_names, suffix_names
+from panelloom.sources.records import line_maps, records, text_lines
 
 POSITION = ("_file", "_block", "_line")
 CORRUPT = "_corrupt"
+#: Lines after the preamble that are read at first in search of a header's end.
+_HEADER_LINES = 8
 
 
 @dataclass(frozen=True)
@@ -54,40 +56,70 @@ def list_sources(
     return sorted(row.path for row in files.collect())
 
 
-def _header(spark: SparkSession, path: str, preamble: int) -> tuple[str, int] | None:
-    """The header of one file and the number of records before its body (blank lines are none), or
-    None (with a warning) if it cannot be read.
+@dataclass(frozen=True)
+class _Layout:
+    """A file's header, the number of lines before its body, and whether its records may span lines."""
 
-    A header with line breaks inside quotes is read on until its quotes are closed.
-    """
-    ahead = 1
-    while True:
+    header: str
+    skip: int
+    spans: bool
+
+
+def _present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The paths that exist; the others are reported. No job reads them for that."""
+    found = []
+    for path in paths:
         try:
-            head = spark.read.text(path).limit(preamble + ahead).collect()
+            spark.read.text(path)
+            found.append(path)
         except PySparkException as error:
-            warnings.warn(f"skipping {path}: {error.getCondition() or error}", stacklevel=2)
-            return None
-        if len(head) <= preamble:
-            warnings.warn(f"skipping {path}: no header after {preamble} preamble lines", stacklevel=2)
-            return None
-        before = 1 + sum(row.value.rstrip("\r") != "" for row in head[:preamble])
-        for end in range(preamble + 1, len(head) + 1):
-            header = "\n".join(row.value for row in head[preamble:end])
-            if header.count('"') % 2 == 0:
-                return header, before
-        if len(head) < preamble + ahead:
-            return header, before
-        ahead *= 4
-
-
-def _files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Files with a line whose quotes are not closed on it: their records may span lines.
-
-    One job over all files; a task sends one flag per file.
+            warnings.warn(f"skipping {path}: {error.getCondition() or error}", stacklevel=3)
+    return found
+
+
+def _layouts(spark: SparkSession, paths: Sequence[str], preamble: int, delimiter: str) -> dict[str, _Layout]:
+    """Layouts by path, from one query over all files; a file without a header is reported.
+
+    Only lines of first splits are numbered, by file, and each task passes on no more than the asked
+    first lines of a file. Headers with line breaks in quotes that are longer than these ask again.
     """
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("open"))
-    return {_located(row.file) for row in lines.groupBy("file").agg(F.max("open").alias("open")).where("open").collect()}
+    try:
+        lines = text_lines(spark, paths)
+    except PySparkException:
+        paths = _present(spark, paths)
+        if not paths:
+            return {}
+        lines = text_lines(spark, paths)
+    maps = line_maps(lines, delimiter).groupBy("_file").agg(F.max("_opens").alias("spans"))
+    flags = maps.select("_file", F.lit(0).alias("n"), F.lit(None).cast("string").alias("value"), "spans")
+    heads: dict[str, list[str]] = {}
+    spans: dict[str, bool] = {}
+    found: dict[str, _Layout] = {}
+    asked, ahead = {_located(path): path for path in paths}, _HEADER_LINES
+    while asked:
+        order = Window.partitionBy("_file").orderBy("_seq")
+        first = lines.where(F.col("_block") == 0).select("_file", F.row_number().over(order).alias("n"), "value")
+        first = first.where(F.col("n") <= preamble + ahead).withColumn("spans", F.lit(None).cast("boolean"))
+        for row in sorted((first if spans else first.union(flags)).collect(), key=lambda r: r.n):
+            if row.n == 0:
+                spans[_located(row._file)] = row.spans
+            else:
+                heads.setdefault(_located(row._file), []).append(row.value)
+        longer = {}
+        for where, path in asked.items():
+            head = heads.get(where, [])
+            ends = [end for end in range(preamble + 1, len(head) + 1) if "\n".join(head[preamble:end]).count('"') % 2 == 0]
+            if len(head) <= preamble:
+                warnings.warn(f"skipping {path}: no header after {preamble} preamble lines", stacklevel=3)
+            elif ends or len(head) < preamble + ahead:
+                end = ends[0] if ends else len(head)
+                found[path] = _Layout("\n".join(head[preamble:end]), end, spans[where])
+            else:
+                longer[where] = path
+        asked, ahead = longer, 4 * ahead
+        if asked:
+            heads, lines = {}, text_lines(spark, list(asked.values()))
+    return found
 
 
 def _header_names(line: str, delimiter: str) -> list[str]:
@@ -103,16 +135,11 @@ def _body(spark: SparkSession, paths: Sequence[str], skip: int) -> DataFrame:
     only first blocks are numbered (one block per window group); the other blocks pass
     through unshuffled.
     """
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-        "value",
-    )
+    lines = text_lines(spark, paths)
     order = Window.partitionBy("_file").orderBy("_seq")
     first = lines.filter(F.col("_block") == 0).withColumn("_line", F.row_number().over(order).cast("long"))
     rest = lines.filter(F.col("_block") > 0).withColumn("_line", F.col("_seq"))
-    return first.filter(F.col("_line") > skip).unionByName(rest).drop("_seq").filter(F.trim("value") != "")
+    return first.filter(F.col("_line") > skip).unionByName(rest).drop("_seq")
 
 
 def _located(path: str) -> str:
@@ -120,19 +147,6 @@ def _located(path: str) -> str:
     return re.sub("^file:/+", "/", unquote(path))
 
 
-def _records(spark: SparkSession, paths: Sequence[str], skip: int, schema: str, options: Mapping[str, str]) -> DataFrame:
-    """Records after the first ``skip`` of files in which quotes span lines; such a file is read by
-    one task, as a line break there does not tell where a record begins."""
-    reader = spark.read.schema(schema).options(**options).option("multiLine", True)
-    records = reader.csv(list(paths)).select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seq"))
-    order = Window.partitionBy("_file").orderBy("_seq")
-    # The reader refuses to give the corrupt text without any other column, so it leans on the first.
-    first = F.coalesce(F.length(records[0]), F.lit(0)) >= 0
-    records = records.withColumn(CORRUPT, F.when(first, F.col(CORRUPT)))
-    numbered_ = records.withColumn("_line", F.row_number().over(order).cast("long"))
-    return numbered_.filter(F.col("_line") > skip).withColumn("_block", F.lit(0).cast("long"))
-
-
 def read_text_first(
     spark: SparkSession, paths: Sequence[str], preamble: int = 0, delimiter: str = ","
 ) -> DataFrame | None:
@@ -140,37 +154,27 @@ def read_text_first(
 
     A file that is missing or has no header is skipped with a warning. Files are grouped
     by header first, so the plan has one branch per distinct header, not per file.
-    Files in which quotes span lines are parsed record by record, one task per file; all others
-    stay splittable. ``_corrupt`` holds records that do not fit their header (see ``quarantine``).
+    All files stay splittable; where quoted cells span lines, splits learn from each other where
+    their records begin (see ``records``). ``_corrupt`` holds records that do not fit their header
+    (see ``quarantine``).
     """
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p, preamble), paths))
-    by_header: dict[str, list[str]] = {}
-    before: dict[str, int] = {}
-    for path, found in zip(paths, headers):
-        if found is not None:
-            by_header.setdefault(found[0], []).append(path)
-            before[path] = found[1]
+    layouts = _layouts(spark, paths, preamble, delimiter) if paths else {}
+    alike: dict[_Layout, list[str]] = {}
+    for path in paths:
+        if path in layouts:
+            alike.setdefault(layouts[path], []).append(path)
+    by_header: dict[str, list[DataFrame]] = {}
+    for layout, files in alike.items():
+        body = records(spark, files, delimiter, layout.skip) if layout.spans else _body(spark, files, layout.skip)
+        by_header.setdefault(layout.header, []).append(body.select(*POSITION, "value"))
     parts = []
-    readable = [path for files in by_header.values() for path in files]
-    open_quotes = _files_with_open_quotes(spark, readable) if readable else set()
-    for header, files in by_header.items():
-        names = _header_names(header, delimiter)
-        fields = [*names, CORRUPT]
+    for header, bodies in by_header.items():
+        fields = [*_header_names(header, delimiter), CORRUPT]
         schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in fields)
         options = {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        spanning = [path for path in files if _located(path) in open_quotes]
-        whole = [path for path in files if path not in spanning]
-        if whole:
-            parsed = F.from_csv("value", schema, options)
-            parts.append(
-                _body(spark, whole, preamble + 1)
-                .select(*POSITION, parsed.alias("_row"))
-                .select(*POSITION, *[F.col("_row").getField(c).alias(c) for c in fields])
-            )
-        for skip in sorted({before[path] for path in spanning}):
-            files_ = [path for path in spanning if before[path] == skip]
-            parts.append(_records(spark, files_, skip, schema, options).select(*POSITION, *[f"`{c}`" for c in fields]))
+        body = reduce(DataFrame.unionByName, bodies).filter(F.trim("value") != "")
+        parsed = body.select(*POSITION, F.from_csv("value", schema, options).alias("_row"))
+        parts.append(parsed.select(*POSITION, *[F.col("_row").getField(c).alias(c) for c in fields]))
     if not parts:
         warnings.warn("no files were loaded", stacklevel=2)
         return None

@@ -41,8 +41,11 @@ def _with_preamble(columns: list[str], lines: int):
 def write_extract(df: DataFrame, path: str, preamble: int) -> str:
     """Store ``df`` as delimited text files, each with its own preamble and header."""
     cells = [F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"')) for c in df.columns]
-    lines = df.select(F.concat_ws(",", *cells).alias("value"))
-    lines.mapInArrow(_with_preamble(df.columns, preamble), "value string").write.text(path)
+    return write_lines(df.select(F.concat_ws(",", *cells).alias("value")), df.columns, path, preamble)
+
+
+def write_lines(lines: DataFrame, columns: list[str], path: str, preamble: int) -> str:
+    lines.mapInArrow(_with_preamble(columns, preamble), "value string").write.text(path)
     return path
 
 
@@ -65,6 +68,26 @@ def ingest_text_first(t):
     return X.load_source(t.spark, X.SourceSpec(folder, "*.txt", recursive=True, preamble=3))
 
 
+@query(
+    "ingest_spanning_records",
+    "o_orderkey:text note:text o_orderstatus:text",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+              CASE o_orderkey % 4
+                   WHEN 0 THEN concat('first, line', chr(10), 'of "', o_orderpriority, '"', chr(10), chr(10), 'last')
+                   WHEN 1 THEN concat('a 5" pipe of ', o_orderpriority) WHEN 2 THEN o_orderpriority END AS note
+       FROM orders""",
+)
+def ingest_spanning_records(t):
+    """Cells with line breaks and doubled quotes, stray quotes in bare cells, and bare cells, in one header layout."""
+    note = """CASE o_orderkey % 4
+                   WHEN 0 THEN concat('"first, line', chr(10), 'of ""', o_orderpriority, '""', chr(10), chr(10), 'last"')
+                   WHEN 1 THEN concat('a 5" pipe of ', o_orderpriority) WHEN 2 THEN o_orderpriority ELSE '' END"""
+    lines = t.table("orders").selectExpr(f"concat(o_orderkey, ',', {note}, ',', o_orderstatus) AS value")
+    folder = t.scratch("spanning")
+    write_lines(lines, ["o_orderkey", "note", "o_orderstatus"], f"{folder}/all", 2)
+    return X.fitting(X.load_source(t.spark, X.SourceSpec(folder, "*.txt", recursive=True, preamble=2)))
+
+
 @query(
     "union_fill",
     "id:long name:text segment:text balance:money",

@@ -1,11 +1,14 @@
 """Extract files with preambles and differing headers, stored layers, step reuse, panel output."""
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from panelloom.config import PanelKeys
 from panelloom.sources import extracts as X
+from panelloom.sources import records as R
 from panelloom.sources import layers as L
 from panelloom.sources.catalog import source_specs
 
@@ -144,3 +147,61 @@ def test_line_breaks_in_cells_and_headers_are_records(spark, tmp_path):
     bad = X.quarantine(df).collect()
     assert [r[X.CORRUPT] for r in bad] == ["3,too,many,cells"] and bad[0]["_file"].endswith("a.csv")
     assert {r.has_warnings for r in X.warnings_by_file(df).collect()} == {True, False}
+
+
+CELLS = ["abc", "", '5" x', '"q, r"', '"a\nb"', '"x ""y"" \n\n z"', '""', '"t"u', '"end\n"', '""""', '"a"b"c', '",\n"",\n"']
+
+
+@pytest.mark.parametrize("split", ["200", "3000", "128m"])
+def test_records_of_splits_equal_reading_whole_files(spark, tmp_path, split):
+    rnd = random.Random(7)
+    for name in ("a", "b", "c"):
+        body = [",".join([str(i), *rnd.choices(CELLS if name != "c" else CELLS[:4], k=3)]) for i in range(300)]
+        if name == "b":
+            body = ['0,"' + "long\n" * 300 + '",x,y', *body, '300,"never closed\n,x']
+        write(tmp_path, f"{name}.csv", body)
+    paths, schema = [str(tmp_path / f"{n}.csv") for n in "abc"], "a string, b string, c string, d string"
+    options = {"sep": ",", "escape": '"'}
+    want = spark.read.schema(schema).options(**options, multiLine=True).csv(paths)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, (split, "0")):
+            spark.conf.set(k, v)
+        found = R.records(spark, paths, ",").where("trim(value) <> ''")
+        parsed = found.select("_file", "_block", "_line", F.from_csv("value", schema, options).alias("r")).select("*", "r.*").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    text = lambda row: tuple(x and x.rstrip("\n") for x in row)
+    assert sorted((text(r[4:]) for r in parsed), key=repr) == sorted((text(r) for r in want.collect()), key=repr)
+    if split == "200":
+        assert len({(r._file, r._block) for r in parsed}) > 50
+    placed = [r.a for r in sorted((r for r in parsed if "a.csv" in r._file), key=lambda r: (r._block, r._line))]
+    assert placed == [str(i) for i in range(300)]
+
+
+def test_preambles_with_quotes_and_long_headers(spark, tmp_path):
+    header = 'id,"' + "\n".join(f"line {i}" for i in range(20)) + '",n'
+    write(tmp_path / "in", "a.csv", ['by "x', "----", header, '1,"a', 'b",2', "3,c,4"])
+    write(tmp_path / "in", "b.csv", ['by "x', "----", "id,n", "5,6"])
+    df = X.read_text_first(spark, X.list_sources(spark, str(tmp_path / "in"), "*.csv"), preamble=2)
+    assert rows(df, "id", "n") == [("1", "2"), ("3", "4"), ("5", "6")]
+    assert [r[0] for r in df.where("id = 1").select("`" + "\n".join(f"line {i}" for i in range(20)) + "`").collect()] == ["a\nb"]
+
+
+def test_headers_of_many_files_take_one_query(spark, tmp_path):
+    def jobs(number):
+        paths = [str(tmp_path / f"{i}.csv") for i in range(number)]
+        spark.sparkContext.setJobGroup(f"headers {number}", "")
+        try:
+            found = X._layouts(spark, paths, 1, ",")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {x.header for x in found.values()} == {"id,a", "id,b"} and len(found) == number
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers {number}"))
+
+    for i in range(400):
+        write(tmp_path, f"{i}.csv", ["made by x", f"id,{'ab'[i % 2]}", "1,2"])
+    # One query: a listing, its two shuffles and its result.
+    assert jobs(40) == jobs(400) <= 4
