@@ -1,11 +1,12 @@
 """Exact order statistics without putting a group into one task.
 
 ``percentile`` and a plain ``Window.orderBy`` both gather a group in one place. Here values are
-first counted per distinct value. Each group is then cut into at most ``BUCKETS`` ranges that hold
-about equally many distinct values, whatever their spread: the cuts come from a mergeable sketch of
-bounded size. Only the totals of the ranges are ranked within a group; values are ranked within
-their range, and for quantiles only in the ranges that hold an asked position. The sketch decides
-how the work is dealt, never the result. NaN counts as missing; infinities are ordinary values.
+first counted per distinct value, and the counts are dealt once into ranges of group and value, each
+range to one partition, and stored. The ranges' totals are few small rows; running totals over them
+say where each range begins within its group, and a value's own rank is found within its range. For
+quantiles only the ranges that hold an asked position are ranked. As a range holds about equally many
+distinct values whatever they are, neither a hot group nor a hot value nor a narrow spread makes a
+large task. NaN counts as missing; infinities are ordinary values.
 """
 
 from __future__ import annotations
@@ -16,28 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.logic import join_on_keys
+from panelloom.sources.shared import stored
 
-BUCKETS = 512
-#: A group's cuts meet its values in so many shares, so that a large group is not one join key.
-_SHARES = 8
 
-
-def value_bucket(value: Column, cuts: Column) -> Column:
-    """Number of the range that holds a value: how many cuts lie below it."""
-    return F.size(F.filter(cuts, lambda cut: cut < value)).cast("long")
-
-
-def _bucketed(per_value: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Distinct values with the number of their range."""
-    marks = [(i + 1) / BUCKETS for i in range(BUCKETS - 1)]
-    cuts = per_value.groupBy(*by).agg(F.array_distinct(F.percentile_approx(value, marks, 10_000)).alias("_cuts"))
-    if not by:
-        # One row of at most BUCKETS numbers.
-        return per_value.join(F.broadcast(cuts), how="cross").withColumn("_bucket", value_bucket(F.col(value), F.col("_cuts"))).drop("_cuts")
-    shared = cuts.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))))
-    dealt = per_value.withColumn("_share", F.pmod(F.xxhash64(value), F.lit(_SHARES)).cast("int"))
-    joined = join_on_keys(dealt, shared, [*by, "_share"], "inner")
-    return joined.withColumn("_bucket", value_bucket(F.col(value), F.col("_cuts"))).drop("_cuts", "_share")
+def _ranged(per_value: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Distinct values with the number of their range, ``_part``: a stored table, since the cuts are sampled
+    anew whenever the rows are dealt."""
+    parts = int(per_value.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = per_value.repartitionByRange(parts, *by, value)
+    return stored(dealt.withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def running_totals(
@@ -50,14 +38,15 @@ def running_totals(
     ``positions`` (shares of the first weight) only ranges around these are ranked and returned.
     """
     names = list(weights)
-    keys = [*by, "_bucket"]
+    keys = [*by, "_part"]
     valued = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-    per_value = _bucketed(valued.groupBy(*by, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()]), by, value)
+    per_value = _ranged(valued.groupBy(*by, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()]), by, value)
 
-    per_bucket = per_value.groupBy(*keys).agg(*[F.sum(n).alias(f"_{n}") for n in names])
+    # At most a row per group and one more per partition.
+    per_part = per_value.groupBy(*keys).agg(*[F.sum(n).alias(f"_{n}") for n in names])
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    below = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
+    below = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(
         *keys,
         *[f"_{n}" for n in names],
         *[F.coalesce(F.sum(f"_{n}").over(below), F.lit(0)).alias(f"{n}_below") for n in names],

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import hashlib
 import json
 from collections.abc import Callable, Mapping
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelloom.config import PanelKeys
 from panelloom.operators.summary import key_variable_summary, panel_metadata
+from panelloom.sources.shared import remove_at_exit, shared_folder
 
 
 def write_layer(df: DataFrame, root: str, layer: str, name: str) -> str:
@@ -44,26 +44,6 @@ def read_layers(spark: SparkSession, root: str, layer: str, names) -> dict[str,
     return {name: df for name, df in found.items() if df is not None}
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
-    """The cluster's checkpoint folder. A default is used only where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or default
-    if folder is None:
-        raise ValueError("spark.checkpoint.dir is not set; pass a shared folder")
-    return folder
-
-
-def remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Have an intermediate table removed when the program ends."""
-    context = spark.sparkContext
-
-    def remove() -> None:
-        if context._jsc is not None and not context._jsc.sc().isStopped():
-            where = context._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-
-    atexit.register(remove)
-
-
 def fingerprint(*parts: object) -> str:
     """Short digest of configuration values and input descriptions."""
     return hashlib.sha256(json.dumps([repr(p) for p in parts]).encode()).hexdigest()[:16]

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelloom.operators.quality import box_stats, numeric_summary
-from panelloom.operators.ranking import _bucketed, quantiles, roc_auc, running_totals, value_bucket
+from panelloom.operators.ranking import _ranged, quantiles, roc_auc, running_totals
 
 PROBABILITIES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
 
@@ -50,20 +50,19 @@ def test_null_group_keeps_its_own_quantile(spark):
     assert got == {None: 2.0, "a": 5.0}
 
 
-def test_buckets_keep_the_order(spark):
+def test_ranges_keep_the_order(spark):
     rng = np.random.default_rng(2)
     v = np.concatenate([rng.normal(size=500), np.exp(rng.normal(0, 50, 500)), -np.exp(rng.normal(0, 50, 500)), [0.0]])
-    cuts = F.array(*[F.lit(float(c)) for c in np.quantile(v, [0.2, 0.4, 0.6, 0.8])])
-    pdf = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", value_bucket(F.col("v"), cuts).alias("b")).toPandas()
-    assert pdf.sort_values("v").b.is_monotonic_increasing and pdf.b.nunique() == 5
+    pdf = _ranged(spark.createDataFrame(pd.DataFrame({"v": v})), [], "v").toPandas()
+    assert pdf.sort_values("v")._part.is_monotonic_increasing and pdf._part.nunique() == 8
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_values_of_a_narrow_range_are_spread(spark, by):
-    """All values within 0.01 %: no range holds more than a few times the mean."""
+def test_a_hot_group_of_a_narrow_range_is_spread(spark, by):
+    """One group, all values within 0.01 %: no range holds much more than the mean."""
     df = spark.range(60_000).select(F.lit("a").alias("g"), (F.lit(1e12) + F.col("id")).alias("v"))
-    per_bucket = _bucketed(df, by, "v").groupBy("_bucket").count().toPandas()["count"]
-    assert len(per_bucket) > 400 and per_bucket.max() < 4 * per_bucket.mean()
+    per_part = _ranged(df, by, "v").groupBy("_part").count().toPandas()["count"]
+    assert len(per_part) == 8 and per_part.max() < 1.5 * per_part.mean()
     got = quantiles(df, ["v"], {"median": 0.5}, by).first()
     assert got["median"] == 1e12 + 29_999.5
 
