@@ -4,6 +4,8 @@ import pytest
 
 from panelloom.config import PanelSpec
 from panelloom.plans import pipeline
+from panelloom.sources import extracts as X
+from panelloom.sources import steps
 from panelloom.sources.catalog import source_specs
 
 PREAMBLE = ["report", "made by x", "", "----"]
@@ -70,3 +72,57 @@ def test_from_files_to_panel(spark, root):
     assert panel["7", 2012].ts_sales_num_sw_exploit == 1
     meta = spark.read.parquet(paths["metadata"]).first()
     assert (meta.n_rows, meta.n_treated) == (4, 1)
+
+
+@pytest.mark.filterwarnings("ignore::UserWarning")
+def test_unchanged_steps_are_used_again(spark, root, monkeypatch):
+    """A second run reads no source; a changed file rebuilds what was made from it, and nothing else."""
+    read, cleaned, built, real = [], [], [], (X.load_source, pipeline.clean, pipeline.build_panel)
+    monkeypatch.setattr(X, "load_source", lambda s, spec: read.append(spec.root.rsplit("/", 1)[1]) or real[0](s, spec))
+    monkeypatch.setattr(pipeline, "clean", lambda df, spec: cleaned.append(spec) or real[1](df, spec))
+    monkeypatch.setattr(pipeline, "build_panel", lambda inputs, spec: built.append(spec) or real[2](inputs, spec))
+    specs = {n: s for n, s in source_specs(str(root / "raw")).items() if (root / "raw" / n).exists()}
+    panel_spec = PanelSpec(first_period=2010, last_period=2013, lead_in=2)
+
+    def run(spec=panel_spec):
+        for calls in (read, cleaned, built):
+            calls.clear()
+        landed = pipeline.ingest(spark, specs, str(root))
+        summary, errors = pipeline.clean_layer(spark, str(root), as_of="2020-01-01")
+        paths = pipeline.build(spark, str(root), spec)
+        assert errors == {}
+        counts = {tuple(r) for r in summary.collect()}
+        return landed, counts, sorted(map(str, spark.read.parquet(paths["panel"]).collect()))
+
+    first = run()
+    assert {"cases", "order_headers", "machine_orders"} <= set(read) and len(cleaned) == 5 and len(built) == 1
+    assert run() == first and (read, cleaned, built) == ([], [], [])
+
+    # A change to the headers of orders reaches the orders; the panel does not read these.
+    extract = root / "raw" / "order_headers" / "a.csv"
+    extract.write_text(extract.read_text().replace("AT", "CH!"))
+    again = run()
+    assert set(read) == {"order_headers", "order_partners", "machine_orders"} - (set() if "order_partners" in specs else {"order_partners"})
+    assert len(cleaned) == 1 and built == [] and again[1:] == first[1:]
+
+    extract = root / "raw" / "cases" / "a.csv"
+    extract.write_text(extract.read_text() + 'c2,S7,2012/9,Breakdown,High,"2,5"\n')
+    third = run()
+    assert read == ["cases"] and len(cleaned) == 1 and len(built) == 1
+    assert ("cases", 2, 2, "success") in third[1] and third[2] != first[2]
+
+    # Other settings build the panel alone; a build that fails is never taken for finished.
+    other = PanelSpec(first_period=2010, last_period=2012, lead_in=2)
+    monkeypatch.setattr(pipeline, "build_panel", lambda inputs, spec: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(other)
+    monkeypatch.setattr(pipeline, "build_panel", lambda inputs, spec: built.append(spec) or real[2](inputs, spec))
+    assert len(run(other)[2]) == 3 and (read, cleaned) == ([], []) and len(built) == 1
+
+
+def test_settings_are_described_alike_in_every_run():
+    from panelloom.plans.cleaners import clean_specs
+
+    one, two = (steps.step_key(clean_specs("2020-01-01")) for _ in range(2))
+    assert one == two != steps.step_key(clean_specs("2020-01-02"))
+    assert " at 0x" not in str(steps.described(clean_specs("2020-01-01")))
