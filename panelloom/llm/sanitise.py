@@ -133,7 +133,8 @@ def revealing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFram
         pairs.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("n_te")).where(F.col("contexts") >= SUPPORT)
     )
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text}`")), F.lit(WORD), F.lit(0)))).alias("term"))
-    held = words.groupBy("term").agg(F.count("*").alias("n_t")).join(pairs.select("term").distinct(), "term", "left_semi")
+    # Stored, as a join right above the count would be moved below it, to every word of every text.
+    held = C.checkpointed(words.groupBy("term").agg(F.count("*").alias("n_t")))
     total = docs.count()
     mentions = contexts.groupBy("entity").agg(F.count_distinct("doc_key").alias("n_e"))
     counted = pairs.join(held, "term").join(mentions, "entity")

@@ -100,3 +100,17 @@ def test_sanitised(spark):
     assert text[100].text == crowd()[12][1]
     assert all(r.n_chars == len(r.text) for r in text.values() if r.text is not None)
     assert sanitise.sanitised(df.limit(0)).collect() == []
+
+
+def test_no_join_lies_below_the_count_of_words(spark, monkeypatch):
+    """Every word of every text is counted before it meets the candidate terms."""
+    plans, store = [], sanitise.C.checkpointed
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(sanitise.C, "checkpointed", noted)
+    sanitise.personal_report(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    (counts,) = [p for p in plans if "n_t#" in p]
+    assert "Join" not in counts and "Aggregate" in counts
