@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from panelloom.functions import parsing as P
+from panelloom.functions.logic import join_on_keys
 from panelloom.functions.text import blank_to_null
+from panelloom.sources.shared import stored
 
 EARLIEST_DATE = "1900-01-01"
 LATEST_SERIAL_DATE = "2050-12-31"
@@ -58,15 +60,16 @@ class ConversionPlan:
     def apply(self, df: DataFrame, keep_unparsed: bool = False) -> DataFrame:
         """Lazy projection with the winning readings.
 
-        With ``keep_unparsed`` each converted column gets a companion ``<column>_unparsed`` that
-        holds the texts that could not be read (NULL elsewhere), so no value is lost.
+        With ``keep_unparsed`` each converted column that holds texts which were not read gets a
+        companion ``<column>_unparsed`` with these (NULL elsewhere), so no value is lost.
         """
         changed = {c: reading for c, reading in self.chosen.items() if reading != "text"}
         if not changed:
             return df
         split = _split(df, changed)
         values = {c: _reading(c, reading) for c, reading in changed.items()}
-        kept = {f"{c}_unparsed": F.when(v.isNull(), F.col(c)) for c, v in values.items()} if keep_unparsed else {}
+        unread = [c for c in values if self.successes[c, self.chosen[c]] < self.non_null[c]] if keep_unparsed else []
+        kept = {f"{c}_unparsed": F.when(values[c].isNull(), F.col(c)) for c in unread}
         typed = split.withColumns(values | kept)
         return typed.select(*df.columns, *kept)
 
@@ -128,15 +131,16 @@ def _success(column: str, reading: str, spec: ConversionSpec) -> Column:
     return value.isNotNull()
 
 
+def _kinds(df: DataFrame, spec: ConversionSpec) -> dict[str, str]:
+    """The kind of each text column that a spec names."""
+    text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    kinds = ("timestamps", "mixed_dates", "dates", "numeric", "logical", "category")
+    return {c: kind for kind in kinds for c in getattr(spec, kind) if c in text}
+
+
 def plan_conversion(df: DataFrame, spec: ConversionSpec) -> ConversionPlan:
     """Measure every candidate for every text column in one pass and pick the winners."""
-    text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
-    kinds = {
-        c: kind
-        for kind in ("timestamps", "mixed_dates", "dates", "numeric", "logical", "category")
-        for c in getattr(spec, kind)
-        if c in text
-    }
+    kinds = _kinds(df, spec)
     if not kinds:
         return ConversionPlan(spec, {})
 
@@ -171,6 +175,85 @@ def _choose(column, kind, rows, non_null, successes, spec) -> str:
     return reading if enough or share[reading] > spec.min_share else "text"
 
 
+def _share_needed(kind: str, reading: str, spec: ConversionSpec) -> float:
+    if kind == "timestamps":
+        return spec.min_timestamp_share
+    if kind == "mixed_dates":
+        return spec.min_mixed_share
+    return spec.min_date_share if reading.startswith("date:") else spec.min_share
+
+
+def layout_evidence(df: DataFrame, spec: ConversionSpec, by: str) -> DataFrame:
+    """``by, column, reading, rank, needed, non_null, successes``: how often each candidate reads the
+    texts of each group (a file, as a rule), in one aggregation. Groups seen apart are merged by
+    ``merged_evidence``."""
+    kinds = _kinds(df, spec)
+    pairs = [(c, kind, k, reading) for c, kind in kinds.items() for k, reading in enumerate(_candidates(kind))]
+    split = _split(df.select(by, *kinds), {c: _candidates(kind)[0] for c, kind in kinds.items()})
+    counted = split.groupBy(by).agg(
+        *[F.count(F.col(c)).alias(f"_n_{c}") for c in kinds],
+        *[F.count_if(_success(c, reading, spec)).alias(f"_s{i}") for i, (c, _, _, reading) in enumerate(pairs)],
+    )
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(reading).alias("reading"),
+            F.lit(k).alias("rank"),
+            F.lit(_share_needed(kind, reading, spec)).alias("needed"),
+            F.col(f"_n_{c}").alias("non_null"),
+            F.col(f"_s{i}").alias("successes"),
+        )
+        for i, (c, kind, k, reading) in enumerate(pairs)
+    ]
+    return counted.select(by, F.explode(F.array(*rows)).alias("e")).select(by, "e.*")
+
+
+def merged_evidence(evidence: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same counts for fewer groups, or for whole columns."""
+    keys = [*by, "column", "reading", "rank", "needed"]
+    return evidence.groupBy(*keys).agg(F.sum("non_null").alias("non_null"), F.sum("successes").alias("successes"))
+
+
+def chosen_layouts(evidence: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by..., column, reading``: of the candidates that read a large enough share the layout that reads
+    most (03/04 fits two layouts, its neighbours tell which); without a layout the first reading."""
+    enough = evidence.where(F.col("successes") > F.col("needed") * F.col("non_null"))
+    no_layout = ~F.col("reading").rlike("^(date|timestamp):")
+    order = F.struct(no_layout.alias("a"), F.when(~no_layout, -F.col("successes")).alias("b"), "rank")
+    return enough.groupBy(*by, "column").agg(F.min_by("reading", order).alias("reading"))
+
+
+#: Groups whose choices are sent to every task; with more of them the join is left to the optimiser.
+_FEW_GROUPS = 10_000
+
+
+def convert_by_group(df: DataFrame, spec: ConversionSpec, by: str) -> DataFrame:
+    """Typed columns whose reading is chosen for each group, as a source may change its layout from one file
+    to the next; a group that shows none by itself follows the whole column.
+
+    Each converted column has a companion ``<column>_unparsed`` with the texts that were not read.
+    """
+    kinds = _kinds(df, spec)
+    if not kinds:
+        return df
+    evidence = stored(layout_evidence(df, spec, by), "layouts")
+    own = chosen_layouts(evidence, [by])
+    whole = {r["column"]: r["reading"] for r in chosen_layouts(merged_evidence(evidence)).collect()}
+    used = {(r["column"], r["reading"]) for r in own.select("column", "reading").distinct().collect()} | set(whole.items())
+    readings = {c: [r for r in _candidates(kind) if (c, r) in used] for c, kind in kinds.items()}
+    readings = {c: found for c, found in readings.items() if found}
+    choices = own.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("column", "reading"))).alias("_layouts"))
+    few = len(evidence.select(by).distinct().limit(_FEW_GROUPS + 1).collect()) <= _FEW_GROUPS
+    joined = join_on_keys(df, F.broadcast(choices) if few else choices, [by])
+    split = _split(joined, {c: _candidates(kinds[c])[0] for c in readings})
+    values = {}
+    for c, found in readings.items():
+        choice = F.coalesce(F.col("_layouts")[c], F.lit(whole.get(c)))
+        values[c] = F.coalesce(*[F.when(choice == reading, _reading(c, reading)) for reading in found])
+    kept = {f"{c}_unparsed": F.when(v.isNull(), F.col(c)) for c, v in values.items()}
+    return split.withColumns(values | kept).select(*df.columns, *kept)
+
+
 def convert_types(df: DataFrame, spec: ConversionSpec, keep_unparsed: bool = False) -> DataFrame:
     return plan_conversion(df, spec).apply(df, keep_unparsed)
 

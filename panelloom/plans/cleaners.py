@@ -82,7 +82,7 @@ def clean(df: DataFrame | None, spec: CleanSpec, order_by: Sequence[str] = POSIT
     percent = [c for c in spec.percent if c in S.text_columns(df)]
     if percent:
         df = df.withColumns({c: percent_points(F.col(c)) for c in percent})
-    df = V.convert_types(df, conversion_spec(df, spec, order_by))
+    df = V.convert_types(df, conversion_spec(df, spec, order_by), keep_unparsed=True)
     for step in spec.derive:
         df = step(df)
     df = E.dedupe_by_available(df, spec.dedupe, order_by)

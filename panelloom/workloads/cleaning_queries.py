@@ -220,6 +220,28 @@ def parse_date_multi(t):
     return V.parse_dates(messy, ["date_text", "other_text"])
 
 
+@query(
+    "parse_date_by_file",
+    "id:long file:text day:date other:date day_unparsed:text other_unparsed:text",
+    """SELECT o_orderkey AS id,
+              CASE WHEN year(o_orderdate) < 1994 THEN 'a' WHEN year(o_orderdate) < 1998 THEN 'b' ELSE 'c' END AS file,
+              CASE WHEN o_orderkey % 50 <> 7 THEN CAST(o_orderdate AS DATE) END AS day, CAST(o_orderdate AS DATE) AS other,
+              CASE WHEN o_orderkey % 50 = 7 THEN 'unknown' END AS day_unparsed, CAST(NULL AS VARCHAR) AS other_unparsed
+       FROM orders""",
+)
+def parse_date_by_file(t):
+    """A source that wrote its dates in three layouts, one after the other; the last file has under a tenth of the rows."""
+    orders = t.table("orders").selectExpr("o_orderkey AS id", "CAST(o_orderdate AS DATE) AS d", "year(o_orderdate) AS y")
+    messy = orders.selectExpr(
+        "id",
+        "CASE WHEN y < 1994 THEN 'a' WHEN y < 1998 THEN 'b' ELSE 'c' END AS file",
+        """CASE WHEN id % 50 = 7 THEN 'unknown' WHEN y < 1994 THEN date_format(d, 'yyyy-MM-dd')
+                WHEN y < 1998 THEN date_format(d, 'dd.MM.yyyy') ELSE date_format(d, 'MM/dd/yyyy') END AS day""",
+        "date_format(d, 'dd/MM/yyyy') AS other",
+    )
+    return V.convert_by_group(messy, V.ConversionSpec(dates=("day", "other")), "file")
+
+
 @query(
     "excel_serial_date",
     "id:long serial_text:date maybe_id:text",

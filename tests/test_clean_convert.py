@@ -219,3 +219,23 @@ def test_opportunity_dates_are_read_value_by_value(spark):
     out = {r.to_id: str(r.to_close_date) for r in cleaners.clean(df, cleaners.OPPORTUNITIES, ["_line"]).collect()}
     want = texts[:3] + [f"2018-06-{d}" for d in range(20, 26)] + ["2020-01-01"]
     assert out == {str(k): w for k, w in enumerate(want)}
+
+
+def test_layouts_are_chosen_by_file_with_the_column_behind_them(spark):
+    from panelloom.operators import convert as V
+
+    data = [("a", f"{d:02}.03.2001") for d in range(1, 29)] + [("b", f"03/{d:02}/2002") for d in range(1, 29)]
+    data += [("c", "31.12.2003"), ("c", "no date"), (None, "2004-05-06"), ("d", None), ("e", "never"), ("a", "later")]
+    df = spark.createDataFrame(data, "file string, day string")
+    spec = V.ConversionSpec(dates=("day",))
+    got = {(r.file, str(r.day), r.day_unparsed) for r in V.convert_by_group(df, spec, "file").collect()}
+    assert got == (
+        {("a", f"2001-03-{d:02}", None) for d in range(1, 29)}
+        | {("b", f"2002-03-{d:02}", None) for d in range(1, 29)}
+        | {("c", "2003-12-31", None), ("c", "None", "no date"), (None, "2004-05-06", None), ("d", "None", None), ("e", "None", "never"), ("a", "None", "later")}
+    )
+    # Counts of files seen apart add up to those of all files.
+    parts = [V.layout_evidence(df.where(w), spec, "file") for w in ("file = 'a'", "file <> 'a' OR file IS NULL")]
+    both, whole = (V.merged_evidence(e) for e in (parts[0].union(parts[1]), V.layout_evidence(df, spec, "file")))
+    assert sorted(map(str, both.collect())) == sorted(map(str, whole.collect()))
+    assert V.convert_by_group(df, V.ConversionSpec(), "file").columns == df.columns
