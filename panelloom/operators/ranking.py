@@ -121,14 +121,15 @@ def to_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return wide.unpivot(list(by), list(columns), "column", "value")
 
 
-def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Exact area under the ROC curve (label 1 is the event; ties count one half)."""
-    scored = df.select(F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
+def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve, per ``by`` group (label 1 is the event; ties count one half; NULL
+    without events or without others)."""
+    scored = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
     scored = scored.filter(F.col("label").isNotNull())
-    ranked = running_totals(scored, [], "score", {"pos": F.col("label"), "neg": 1 - F.col("label")})
+    ranked = running_totals(scored, by, "score", {"pos": F.col("label"), "neg": 1 - F.col("label")})
     won = F.col("pos") * (F.col("neg_through") - F.col("neg") / 2)
-    return ranked.agg(
+    return ranked.groupBy(*by).agg(
         F.max("pos_total").alias("n_pos"),
         F.max("neg_total").alias("n_neg"),
-        (F.sum(won) / (F.max("pos_total") * F.max("neg_total"))).alias("auc"),
+        F.try_divide(F.sum(won), F.max("pos_total") * F.max("neg_total")).alias("auc"),
     )

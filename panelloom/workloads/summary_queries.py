@@ -171,3 +171,40 @@ def purchase_classifier(t):
     filled = J.impute(rows, values)
     model = J.purchase_classifier(["mean_price", "n_orders"], ["priority"], "label").fit(filled.filter("is_train"))
     return J.score(model, filled.filter("NOT is_train"))
+
+
+_NEWTON_STEPS = 12
+
+
+def _newton_sql() -> str:
+    """Ridge-weighted Newton steps for an intercept and a slope, each model without one fold."""
+    parts = [
+        "folded AS (SELECT fold, label, n_orders / 10.0 AS x FROM split)",
+        "models AS (SELECT DISTINCT fold AS m FROM folded)",
+        "b0 AS (SELECT m, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM models)",
+    ]
+    for k in range(_NEWTON_STEPS):
+        parts.append(
+            f"""s{k} AS (SELECT m, any_value(a) AS a, any_value(b) AS b, 1 + sum(p * (1 - p)) AS haa, sum(p * (1 - p) * x) AS hab,
+                      1 + sum(p * (1 - p) * x * x) AS hbb, sum(label - p) - any_value(a) AS ga, sum((label - p) * x) - any_value(b) AS gb
+                 FROM (SELECT m, a, b, label, x, 1 / (1 + exp(-(a + b * x))) AS p FROM folded JOIN b{k} ON fold <> m) GROUP BY m)"""
+        )
+        parts.append(
+            f"""b{k + 1} AS (SELECT m, a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a,
+                      b + (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM s{k})"""
+        )
+    parts.append(f"scored AS (SELECT fold, a, b, label, a + b * x AS z FROM folded JOIN b{_NEWTON_STEPS} ON fold = m)")
+    parts.append("g AS (SELECT fold, any_value(a) AS a, any_value(b) AS b, z, sum(label) AS p, sum(1 - label) AS n FROM scored GROUP BY fold, z)")
+    parts.append("c AS (SELECT *, sum(n) OVER (PARTITION BY fold ORDER BY z ROWS UNBOUNDED PRECEDING) AS below FROM g)")
+    return "WITH " + ", ".join(parts) + """
+       SELECT fold, any_value(a) AS intercept, any_value(b) AS slope, sum(p) AS n_pos, sum(n) AS n_neg,
+              sum(p * (below - n / 2.0)) / nullif(sum(p) * sum(n), 0) AS auc FROM c GROUP BY fold"""
+
+
+@query("purchase_cross_validation", "fold:long intercept:ratio slope:ratio n_pos:long n_neg:long auc:ratio", _newton_sql())
+def purchase_cross_validation(t):
+    """Each fold under the model fitted to the other folds: its coefficients and its AUC."""
+    rows = J.stratified_folds(labelled(t), "customer_id", "label").withColumn("tens_of_orders", F.col("n_orders") / 10)
+    by_fold, fit = J.cross_validate(rows, ["tens_of_orders"], "label", ridge=1.0)
+    beta = J._beta(fit.coefficients, F.col("fold").cast("int"))
+    return by_fold.select("fold", beta[0].alias("intercept"), beta[1].alias("slope"), "n_pos", "n_neg", "auc")

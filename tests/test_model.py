@@ -55,3 +55,51 @@ def test_classifier_separates_and_auc_is_exact(data):
     pos, neg = pdf[pdf.label == 1].pred_1.values, pdf[pdf.label == 0].pred_1.values
     expected = np.mean((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :]))
     assert auc.first()["auc"] == pytest.approx(expected) and expected > 0.85
+
+
+def newton(x, y, ridge=0.0):
+    x = np.column_stack([np.ones(len(x)), x])
+    beta = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta += np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge * np.eye(len(beta)), x.T @ (y - p) - ridge * beta)
+    return beta
+
+
+@pytest.mark.parametrize("ridge", [0.0, 2.5])
+def test_coefficients_equal_those_of_numpy(spark, ridge):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 3))
+    y = (rng.random(900) < 1 / (1 + np.exp(-(0.4 + x @ [1.5, -0.7, 0.0])))).astype(int)
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"]).assign(y=y, fold=np.arange(900) % 4)
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([(None, 1.0, 1.0, 1, 0), (1.0, 1.0, 1.0, None, 0)], "a double, b double, c double, y int, fold int"))
+    whole = J.fit_logistic(df, ["a", "b", "c"], "y", ridge=ridge)
+    assert whole.coefficients[0] == pytest.approx(newton(x, y, ridge), abs=1e-8) and whole.steps < 12
+    by_fold, fit = J.cross_validate(df, ["a", "b", "c"], "y", folds=4, ridge=ridge)
+    got = {r.fold: r for r in by_fold.collect()}
+    for k in range(4):
+        others, own = pdf.fold != k, pdf.fold == k
+        beta = newton(x[others], y[others], ridge)
+        assert fit.coefficients[k] == pytest.approx(beta, abs=1e-8)
+        score, label = x[own] @ beta[1:], y[own]
+        pos, neg = score[label == 1], score[label == 0]
+        assert got[k].auc == pytest.approx(np.mean(pos[:, None] > neg[None, :]))
+    with pytest.raises(ValueError, match="determine"):
+        J.fit_logistic(df.selectExpr("1.0D AS one", "y").dropna(), ["one"], "y")
+
+
+def test_ml_classifier_finds_the_same_coefficients(data):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = data.dropna(subset=["x"]).select("x", "z", "label")
+    ml = LogisticRegression(labelCol="label", tol=1e-12, maxIter=200).fit(VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(rows))
+    ours = J.fit_logistic(rows, ["x", "z"], "label").coefficients[0]
+    assert ours == pytest.approx([ml.intercept, *ml.coefficients], abs=1e-6)
+
+
+def test_auc_of_a_group_without_events_is_unknown(spark):
+    from panelloom.operators.ranking import roc_auc
+
+    df = spark.createDataFrame([("a", 0.1, 0), ("a", 0.9, 1), ("b", 0.5, 0)], "g string, s double, y int")
+    assert {r.g: r.auc for r in roc_auc(df, "s", "y", ["g"]).collect()} == {"a": 1.0, "b": None}
