@@ -91,8 +91,9 @@ def clean_layer(spark: SparkSession, root: str, as_of: str) -> tuple[DataFrame,
     return summary, errors
 
 
-def build(spark: SparkSession, root: str, spec: PanelSpec, name: str = "panel") -> dict[str, str]:
-    """Build the panel from the processed layer and store it with metadata and summary."""
+def build(spark: SparkSession, root: str, spec: PanelSpec, name: str = "panel", run: str | None = None) -> dict[str, str]:
+    """Build the panel from the processed layer and store it with metadata and summary; with ``run`` (a
+    date, say) in a folder of its own."""
     wanted = ("opportunities", "customers", *PANEL_SOURCES)
     states = {source: files_digest(spark, f"{root}/processed/{source}") for source in wanted}
 
@@ -103,6 +104,6 @@ def build(spark: SparkSession, root: str, spec: PanelSpec, name: str = "panel")
             customers=data.get("customers"),
             **{source: data.get(source) for source in PANEL_SOURCES},
         )
-        return L.write_panel(build_panel(inputs, spec), f"{root}/final", name, spec.keys)
+        return L.write_panel(build_panel(inputs, spec), f"{root}/final", name, spec.keys, run)
 
-    return reused(spark, root, f"final/{name}", step_key("panel", spec, name, states), make)[0]
+    return reused(spark, root, f"final/{name}_{run}" if run else f"final/{name}", step_key("panel", spec, name, run, states), make)[0]

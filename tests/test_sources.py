@@ -205,3 +205,36 @@ def test_headers_of_many_files_take_one_query(spark, tmp_path):
         write(tmp_path, f"{i}.csv", ["made by x", f"id,{'ab'[i % 2]}", "1,2"])
     # One query: a listing, its two shuffles and its result.
     assert jobs(40) == jobs(400) <= 4
+
+
+def test_only_changed_periods_of_a_panel_are_written(spark, tmp_path):
+    schema = "customer_id string, year long, ever_treated int, country string, to_sum_val_opps_won double, treatment int"
+
+    def panel(years, raised=()):
+        return spark.createDataFrame([(f"c{i}", y, i % 2, "DE", float(i) + (y in raised), i % 2) for i in range(9) for y in years], schema)
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in sorted((tmp_path / "panel/panel").rglob("*.parquet"))}
+
+    def written(df, **options):
+        before = files() if (tmp_path / "panel/panel").exists() else {}
+        paths = L.write_panel(df, str(tmp_path), "panel", PanelKeys(), **options)
+        back = spark.read.parquet(paths["panel"]).select(df.columns)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+        assert spark.read.parquet(paths["metadata"]).first().n_rows == df.count()
+        return {p.parent.name for p, at in files().items() if before.get(p) != at}
+
+    assert written(panel([2000, 2001])) == {"year=2000", "year=2001"}
+    assert written(panel([2001, 2000])) == set()
+    assert written(panel([2000, 2001, 2002])) == {"year=2002"}
+    assert written(panel([2000, 2001, 2002], raised=[2001])) == {"year=2001"}
+    # A period that is gone, or other columns, replace the table.
+    assert written(panel([2001, 2002])) == {"year=2001", "year=2002"}
+    assert written(panel([2001, 2002]).withColumn("more", F.lit(1))) == {"year=2001", "year=2002"}
+    # A run that was lost while it wrote leaves no mark to be trusted.
+    spark.createDataFrame([], L._MARKS).write.mode("overwrite").parquet(str(tmp_path / "panel/periods"))
+    assert written(panel([2001, 2002])) == {"year=2001", "year=2002"}
+    # Runs with a name of their own leave the others as they are.
+    before = files()
+    paths = L.write_panel(panel([2005]), str(tmp_path), "panel", PanelKeys(), run="2024-05-01")
+    assert paths["panel"].endswith("panel_2024-05-01/panel") and files() == before
