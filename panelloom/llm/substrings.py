@@ -19,8 +19,8 @@ Steps 2 and 4 share one shuffle of the texts.
 
 Defined results: NULL and short texts have no window and keep all words; a window that occurs twice
 in one document is repeated; windows are judged on the input; rows that repeat a document (the same
-doc_id and text) count as two texts and both lose the words; rows without doc_id are told apart by
-their text; further columns pass through, whatever their names.
+doc_id and text) count as two texts and both lose the words; rows of one doc_id with different texts
+are different texts; rows without doc_id are told apart by their text; further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,10 +44,10 @@ HOT = 2048
 LONGEST = 512
 SALTS = 16
 
-UNIT = "mini long, weight int, rid long, anon boolean, start int"
-PACKED = "mini long, n long, packed string, rid long, anon boolean, start int"
-SPAN = "rid long, anon boolean, begin int, finish int"
-PRINT = "h1 long, h2 long, rid long, anon boolean, start int"
+UNIT = "mini long, weight int, rid long, tag long, start int"
+PACKED = "mini long, n long, packed string, rid long, tag long, start int"
+SPAN = "rid long, tag long, begin int, finish int"
+PRINT = "h1 long, h2 long, rid long, tag long, start int"
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -101,13 +101,13 @@ def _find_units(src: DataFrame, window: int, gram: int) -> DataFrame:
                 rows = pa.array(row + i)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(C.signed(mini)), pa.array(weight.astype(np.int32)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32))],
-                    ["mini", "weight", "rid", "anon", "start"],
+                    ["mini", "weight", "rid", "tag", "start"],
                 )
 
     return C.with_workers(src).mapInArrow(run, UNIT)
 
 
-def _pack(chosen: DataFrame, rid: str, anon: str, text: str, asked_for: str, window: int, gram: int) -> DataFrame:
+def _pack(chosen: DataFrame, rid: str, tag: str, text: str, asked_for: str, window: int, gram: int) -> DataFrame:
     """Packed strings of the units that start at each row's ``asked_for`` (starts with counts)."""
     names = chosen.columns
 
@@ -115,7 +115,7 @@ def _pack(chosen: DataFrame, rid: str, anon: str, text: str, asked_for: str, win
         for batch in batches:
             raw, offsets = C.text_bytes(batch.column(names.index(text)))
             wanted = batch.column(names.index(asked_for))
-            rids, anons = batch.column(names.index(rid)), batch.column(names.index(anon))
+            rids, tags = batch.column(names.index(rid)), batch.column(names.index(tag))
             for i, j in C.row_slices(offsets):
                 row, start, length, mini, _ = units(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], window, gram)
                 keep, counts, packed = [], [], []
@@ -129,8 +129,8 @@ def _pack(chosen: DataFrame, rid: str, anon: str, text: str, asked_for: str, win
                             packed.append(b" ".join(words[start[u] : start[u] + length[u] + window - 1]))
                 rows = pa.array(row[keep] + i, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(C.signed(mini[keep])), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()).cast(pa.string()), rids.take(rows), anons.take(rows), pa.array(start[keep].astype(np.int32))],
-                    ["mini", "n", "packed", "rid", "anon", "start"],
+                    [pa.array(C.signed(mini[keep])), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()).cast(pa.string()), rids.take(rows), tags.take(rows), pa.array(start[keep].astype(np.int32))],
+                    ["mini", "n", "packed", "rid", "tag", "start"],
                 )
 
     return C.with_workers(chosen).mapInArrow(run, PACKED)
@@ -176,8 +176,8 @@ def _spans(table: pa.Table, window: int) -> pa.RecordBatch:
     rows = table.take(pa.array(unit))
     start = rows["start"].to_numpy().astype(np.int64)
     return pa.RecordBatch.from_arrays(
-        [rows["rid"].combine_chunks(), rows["anon"].combine_chunks(), pa.array((start + first).astype(np.int32)), pa.array((start + last + window).astype(np.int32))],
-        ["rid", "anon", "begin", "finish"],
+        [rows["rid"].combine_chunks(), rows["tag"].combine_chunks(), pa.array((start + first).astype(np.int32)), pa.array((start + last + window).astype(np.int32))],
+        ["rid", "tag", "begin", "finish"],
     )
 
 
@@ -207,7 +207,7 @@ def _count_sorted(packed: DataFrame, window: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield _spans(held, window)
 
-    narrow = packed.select("mini", "packed", "rid", "anon", "start")
+    narrow = packed.select("mini", "packed", "rid", "tag", "start")
     return C.with_workers(narrow).repartition("mini").sortWithinPartitions("mini").mapInArrow(run, SPAN)
 
 
@@ -224,14 +224,14 @@ def _count_hot(packed: DataFrame, window: int) -> DataFrame:
                 prints = [C.window_hashes(w, window)[at] if len(at) else np.zeros(0, np.uint64) for w in (words, C.mix(words + np.uint64(0xC3)))]
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.array(C.signed(p)) for p in prints], batch.column(1).take(rows), batch.column(2).take(rows), pa.array(start.astype(np.int32))],
-                    ["h1", "h2", "rid", "anon", "start"],
+                    ["h1", "h2", "rid", "tag", "start"],
                 )
 
-    prints = C.with_workers(packed).select("packed", "rid", "anon", "start").mapInArrow(run, PRINT)
+    prints = C.with_workers(packed).select("packed", "rid", "tag", "start").mapInArrow(run, PRINT)
     repeated = prints.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = prints.withColumn("salt", F.pmod(F.xxhash64("rid", "start"), F.lit(SALTS)).cast("int")).join(salted, ["h1", "h2", "salt"], "left_semi")
-    return found.select("rid", "anon", F.col("start").alias("begin"), (F.col("start") + window).alias("finish"))
+    return found.select("rid", "tag", F.col("start").alias("begin"), (F.col("start") + window).alias("finish"))
 
 
 def _cut(joined: DataFrame, carry: list[str], columns: list[str], text: str, out: str) -> DataFrame:
@@ -261,22 +261,24 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
     """The columns ``carry`` of ``docs`` (default: all) and ``out``: a struct of n_words, n_removed
     and the text of the words that stay, joined by one space."""
     carry = docs.columns if carry is None else carry
-    rid, anon, spans, asked_for = C.free_name(docs, "rid", "anon", "spans", "starts")
-    ident = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`")))
-    keyed = docs.select(ident.alias(rid), F.col(f"`{doc_id}`").isNull().alias(anon), *[F.col(f"`{c}`") for c in dict.fromkeys([*carry, text])])
-    src = keyed.select(F.col(rid).alias("rid"), F.col(anon).alias("anon"), F.col(f"`{text}`").alias("text"))
+    rid, tag, spans, asked_for = C.free_name(docs, "rid", "tag", "spans", "starts")
+    # A row is known by its doc_id and a hash of its text: rows of one doc_id may hold different texts.
+    ident = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"), F.lit("no doc_id")))
+    mark = F.xxhash64(F.col(f"`{text}`"), F.col(f"`{doc_id}`").isNull())
+    keyed = docs.select(ident.alias(rid), mark.alias(tag), *[F.col(f"`{c}`") for c in dict.fromkeys([*carry, text])])
+    src = keyed.select(F.col(rid).alias("rid"), F.col(tag).alias("tag"), F.col(f"`{text}`").alias("text"))
     found = _find_units(src, window, gram)
     counts = C.checkpointed(found.groupBy("mini").agg(F.sum("weight").alias("n")).where("n > 1"))
-    starts = found.join(counts, "mini").groupBy("rid", "anon").agg(F.collect_set(F.struct("start", "n")).alias(asked_for))
+    starts = found.join(counts, "mini").groupBy("rid", "tag").agg(F.collect_set(F.struct("start", "n")).alias(asked_for))
     # Both joins with the texts shuffle the same columns, so Spark does it once.
-    starts = starts.select(F.col("rid").alias(rid), F.col("anon").alias(anon), asked_for)
-    packed = _pack(keyed.join(starts, [rid, anon]), rid, anon, text, asked_for, window, gram)
+    starts = starts.select(F.col("rid").alias(rid), F.col("tag").alias(tag), asked_for)
+    packed = _pack(keyed.join(starts, [rid, tag]), rid, tag, text, asked_for, window, gram)
     repeats = _count_sorted(packed.where(F.col("n") <= hot), window)
     if not C.is_empty(counts.where(F.col("n") > hot)):
         repeats = repeats.unionByName(_count_hot(packed.where(F.col("n") > hot), window))
-    by_doc = repeats.groupBy("rid", "anon").agg(F.collect_list(F.struct("begin", "finish")).alias(spans))
-    by_doc = by_doc.select(F.col("rid").alias(rid), F.col("anon").alias(anon), spans)
-    return _cut(keyed.join(by_doc, [rid, anon], "left"), carry, [spans], text, out)
+    by_doc = repeats.groupBy("rid", "tag").agg(F.collect_list(F.struct("begin", "finish")).alias(spans))
+    by_doc = by_doc.select(F.col("rid").alias(rid), F.col("tag").alias(tag), spans)
+    return _cut(keyed.join(by_doc, [rid, tag], "left"), carry, [spans], text, out)
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:

@@ -57,3 +57,14 @@ def test_different_windows_of_one_hash_are_told_apart(monkeypatch):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.repeat_report(docs).collect() == []
+
+
+@pytest.mark.parametrize("hot", [substrings.HOT, 1])
+def test_texts_of_one_doc_id_are_judged_apart(spark, hot):
+    w, u = (" ".join(f"{c}{k}" for k in range(60)) for c in "wu")
+    docs = spark.createDataFrame([(1, w), (2, w), (1, u), (None, u + " x"), (None, w)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.text, r.kept.n_removed) for r in substrings.cut_repeats(docs, hot=hot).collect())
+    # u is also the first sixty words of another row; w stands in three.
+    assert got == sorted([("1", w, 60), ("2", w, 60), ("1", u, 60), ("None", u + " x", 60), ("None", w, 60)])
+    alone = spark.createDataFrame([(1, w), (2, w), (1, u)], "doc_id long, text string")
+    assert sorted((r.text[0], r.kept.n_removed) for r in substrings.cut_repeats(alone, hot=hot).collect()) == [("u", 0), ("w", 60), ("w", 60)]
