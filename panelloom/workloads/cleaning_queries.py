@@ -632,3 +632,45 @@ def clean_cases(t):
         F.struct("case_year", "sc_reaction_time", "sc_case_type", "sc_delayed_callbacks", "sc_priority").alias("_line"),
     )
     return cleaners.clean(t.stored("cases", raw), cleaners.CASES, ["_line"])
+
+
+@query(
+    "clean_customers",
+    "customer_account_id:text customer_sap_id:text customer_name:text",
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_account_id, customer_sap_id, customer_name FROM v_customers",
+)
+def clean_customers(t):
+    """The customers as a text extract with padded names and every row twice."""
+    raw = t.view("v_customers").select(
+        F.col("customer_id").cast("string").alias("Account ID"),
+        F.col("customer_sap_id").alias("SAP ID"),
+        F.concat(F.lit("  "), "customer_name", F.lit(" ")).alias("Name"),
+        F.col("customer_id").alias("_line"),
+    )
+    copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
+    return cleaners.clean(t.stored("customers", copies), cleaners.CUSTOMERS, ["_line", "_block"])
+
+
+@query(
+    "clean_installed_base",
+    "sis_equipment_number:text sis_customer_number:text sis_equipment_type:text sis_start_date:date construction_year:long"
+    " construction_month:long construction_day:long sis_duration_years:money",
+    """SELECT CAST(serial_number AS VARCHAR) AS sis_equipment_number, CAST(customer_id AS VARCHAR) AS sis_customer_number,
+              equipment_type AS sis_equipment_type, CAST(delivery_date AS DATE) AS sis_start_date, year(delivery_date) AS construction_year,
+              month(delivery_date) AS construction_month, day(delivery_date) AS construction_day,
+              CASE WHEN serial_number % 9 <> 4 THEN serial_number % 30 + 0.5 END AS sis_duration_years
+       FROM v_installed_base
+       QUALIFY row_number() OVER (PARTITION BY serial_number ORDER BY delivery_date, equipment_type, equipment_group, customer_id) = 1""",
+)
+def clean_installed_base(t):
+    """The installed base as a text extract: day-first dates, decimal commas, some durations that are no number."""
+    years = F.concat((F.col("serial_number") % 30).cast("string"), F.lit(",5"))
+    raw = t.view("v_installed_base").select(
+        F.col("serial_number").cast("string").alias("Equipment Number"),
+        F.col("customer_id").cast("string").alias("Customer Number"),
+        F.concat(F.lit(" "), F.regexp_replace("equipment_type", " ", "   ")).alias("Equipment Type"),
+        F.date_format("delivery_date", "dd.MM.yyyy").alias("Start up 1 date"),
+        F.when(F.col("serial_number") % 9 != 4, years).otherwise("open").alias("Summe von Duration Years"),
+        F.struct("delivery_date", "equipment_type", "equipment_group", "customer_id").alias("_line"),
+    )
+    return cleaners.clean(t.stored("installed_base", raw), cleaners.INSTALLED_BASE, ["_line"])
