@@ -21,6 +21,10 @@ members. The links so far join into components, and where a large band still hol
 pair of its texts from different components is verified, in pairs of blocks of bounded size that
 are reduced to links within a task. The components are those of all pairs that share a band.
 
+Rows are known by doc_id and text: a doc_id that stands for several different texts has the links of
+each of them. Classes are numbered by their least document; of several classes with the same one, all
+but one get a number of their own, which never shows in the result.
+
 Defined results: NULL and wordless texts are alone; rows that repeat a document get the same
 class; a NULL doc_id has the class of its text but never represents one; an empty table gives an
 empty result.
@@ -56,6 +60,7 @@ _LOW32 = np.uint64(0xFFFFFFFF)
 SKETCH = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("mark", T.LongType()),
         T.StructField("key_a", T.LongType()),
         T.StructField("key_b", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
@@ -172,15 +177,20 @@ def _sketches(column: pa.Array, bands: int, rows: int, width: int, count: bool):
 
 
 def sketch(docs: DataFrame, doc_id: str, text: str, bands: int, rows: int, width: int, weights: str) -> DataFrame:
-    """doc_id, the keys of its word sequence and its band keys, for each row."""
+    """doc_id, a mark of its text, the keys of its word sequence and its band keys, for each row."""
 
     def make(batches):
         for batch in batches:
-            for i, j, keys, lists in _sketches(batch.column(1), bands, rows, width, weights == "count"):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(C.signed(keys[0])), pa.array(C.signed(keys[1])), lists], SKETCH.names)
+            for i, j, keys, lists in _sketches(batch.column(2), bands, rows, width, weights == "count"):
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array(C.signed(keys[0])), pa.array(C.signed(keys[1])), lists], SKETCH.names)
+
+    return C.with_workers(_marked(docs, doc_id, text)).mapInArrow(make, SKETCH)
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return C.with_workers(texts).mapInArrow(make, SKETCH)
+
+def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, mark (a hash of the text) and text."""
+    body = F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("mark"), body.alias("text"))
 
 
 def run_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -204,13 +214,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return joined.where(both >= similarity * (F.size("runs_a") + F.size("runs_b") - both)).select("a", "b")
 
 
-def near_links(reps: DataFrame, docs: DataFrame, similarity: float, width: int) -> DataFrame:
-    """Verified links (a > b) between the representatives (doc_id, bands) that share a band."""
+def near_links(reps: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
+    """Verified links (a > b) between the representatives (doc_id, bands) that share a band.
+
+    ``nodes`` tells which text (rep, mark) of ``texts`` (doc_id, mark, text) each one stands for."""
     shared = reps.select(F.explode("bands").alias("band"), "doc_id")
     counted = C.checkpointed(_counted(shared, "band"))
     members = C.checkpointed(shared.join(counted, "band").select(F.array("band").alias("cell"), "doc_id", "n"))
-    wanted = members.select("doc_id").distinct()
-    sets = C.checkpointed(run_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), width))
+    wanted = members.select(F.col("doc_id").alias("node")).distinct().join(nodes, "node").select("node", F.col("rep").alias("doc_id"), "mark")
+    whole = texts.join(wanted, ["doc_id", "mark"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    sets = C.checkpointed(run_sets(whole, width))
     links, open_, turn = None, members, 1
     while True:
         large = C.checkpointed(_with_leaders(open_.where(F.col("n") > SMALL)))
@@ -339,31 +352,51 @@ def near_groups(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, group_id (the least document of its group, itself
     included) and kept (whether it is that document)."""
+    return marked_groups(docs, doc_id, text, similarity, bands, rows, width, weights).drop("mark")
+
+
+def _classes(worded: DataFrame) -> DataFrame:
+    """The classes of equal word sequences: their keys, the least document (rep) with a mark of its
+    text, and the class's number (node)."""
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("first")
+    classes = worded.groupBy("key_a", "key_b").agg(first).where("first IS NOT NULL")
+    classes = C.checkpointed(classes.select("key_a", "key_b", F.col("first.doc_id").alias("rep"), "first.mark"))
+    # Few documents stand for several texts; those of one text need no number but their own.
+    shared = classes.groupBy("rep").agg(F.count("*").alias("n"), F.min(F.struct("key_a", "key_b")).alias("own")).where("n > 1")
+    other = F.col("own").isNotNull() & (F.col("own") != F.struct("key_a", "key_b"))
+    node = F.when(other, F.xxhash64("rep", "key_a", "key_b")).otherwise(F.col("rep")).alias("node")
+    numbered = classes.join(C.checkpointed(shared.select("rep", "own")), "rep", "left")
+    return C.checkpointed(numbered.select("key_a", "key_b", "rep", "mark", node))
+
+
+def marked_groups(docs: DataFrame, doc_id: str, text: str, similarity: float, bands: int, rows: int, width: int, weights: str) -> DataFrame:
+    """doc_id, mark (a hash of the text), group_id and kept of every row."""
     sketches = C.checkpointed(sketch(docs, doc_id, text, bands, rows, width, weights))
     worded = sketches.where("NOT (key_a = 0 AND key_b = 0)")
-    classes = C.checkpointed(worded.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
-    reps = (
-        worded.join(classes.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "bands")
-    )
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    joined = C.components(near_links(reps, texts, similarity, width))
-    named = classes.join(joined, classes["rep"] == joined["node"], "left").select(
-        "key_a", "key_b", F.coalesce("component", "rep").alias("group_id")
-    )
-    out = sketches.select("doc_id", "key_a", "key_b").join(C.checkpointed(named), ["key_a", "key_b"], "left")
+    classes = _classes(worded)
+    nodes = classes.select("node", "rep", "mark")
+    standing = (worded["doc_id"] == nodes["rep"]) & (worded["mark"] == nodes["mark"])
+    reps = worded.join(nodes, standing).select(F.col("node").alias("doc_id"), "bands").dropDuplicates(["doc_id"])
+    joined = C.components(near_links(reps, nodes, _marked(docs, doc_id, text), similarity, width))
+    labelled = classes.join(joined, "node", "left").select("key_a", "key_b", "rep", "node", F.coalesce("component", "node").alias("label"))
+    # A component's least number is its least document, unless a number of other kind is in it.
+    odd = labelled.where("node <> rep").select("label").distinct()
+    least = C.checkpointed(labelled.join(odd, "label", "left_semi").groupBy("label").agg(F.min("rep").alias("least")))
+    named = labelled.join(least, "label", "left").select("key_a", "key_b", F.coalesce("least", "label").alias("group_id"))
+    out = sketches.select("doc_id", "mark", "key_a", "key_b").join(C.checkpointed(named), ["key_a", "key_b"], "left")
     group = F.coalesce("group_id", "doc_id")
-    return out.select("doc_id", group.alias("group_id"), F.coalesce(F.col("doc_id") == group, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "mark", group.alias("group_id"), F.coalesce(F.col("doc_id") == group, F.lit(False)).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The documents of which one stays for each group, with their own columns.
 
     Equal rows of the document that stays count as one; rows without a doc_id cannot be told apart
-    and stay.
+    and stay. Of a doc_id with several texts each goes or stays by itself; near copies among them
+    are one document and stay together.
     """
-    groups = near_groups(docs)
-    gone = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("stays")).where("NOT stays")
-    named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    groups = marked_groups(docs, "doc_id", "text", SIMILARITY, BANDS, ROWS, SHINGLE, "one")
+    gone = groups.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    same = (docs["doc_id"].cast("long") == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_mark"])
+    named = docs.where("doc_id IS NOT NULL").join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])
     return named.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))

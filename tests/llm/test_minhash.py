@@ -117,3 +117,17 @@ def test_empty_and_unnamed(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert minhash.near_groups(docs).count() == len(rows)
     assert minhash.drop_near_copies(docs).count() == len(rows)
+
+
+def test_each_text_of_a_document_keeps_its_links(spark):
+    w, u = ([f"{c}{k}" for k in range(60)] for c in "wu")
+    rows = [(1, " ".join(w)), (1, " ".join(u)), (5, " ".join([*u, "x"])), (6, " ".join([*w, "y"])), (6, " ".join(f"v{k}" for k in range(60))), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS mark", "2 AS node")
+    out = sorted((r.doc_id, r.group_id) for r in minhash.near_groups(docs).collect())
+    assert out == [(1, 1), (1, 1), (1, 1), (5, 1), (6, 1), (6, 6)]
+    kept = {(r.doc_id, r.text) for r in minhash.drop_near_copies(docs).collect()}
+    assert kept == {rows[0], rows[1], rows[4], rows[5]}
+    # The lesser document is linked through a text that another number stands for.
+    rows = [(3, "zz " + " ".join(w)), (4, " ".join(u)), (4, " ".join(w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.group_id) for r in minhash.near_groups(docs).collect()) == [(3, 3), (4, 3), (4, 4)]
