@@ -74,7 +74,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header".split())
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title noscript iframe".split())
 _NAME = re.compile(r"[A-Za-z0-9]+")
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_MARKUP = re.compile(r"<(?=!|\?|/?[A-Za-z])")
+#: A quote matters only as the start of an attribute's value.
+_TAG = re.compile(r"""<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
+_PLAIN_TAG = re.compile(r"<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>[^>]*+)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
@@ -88,19 +91,31 @@ class _Blocks:
     """Collects (text, in furniture, in article) for each block of a page."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # tag, unseen, furniture, article, named
+        # Of each open element: tag, unseen, furniture, article, innermost named element, and the
+        # place of the innermost block (itself included).
+        self.open: list[tuple[str, bool, bool, bool, int, int]] = []
+        self.places: dict[str, list[int]] = {}  # of the open elements of each tag
         self.parts: list[str] = []
-        self.found: list[tuple[str, bool, bool, tuple[int, ...]]] = []
-        # Of each element with a furniture name: whether it encloses an article, and main.
-        self.named: list[list[bool]] = []
+        self.found: list[tuple[str, bool, bool, int]] = []
+        # Of each element with a furniture name: whether it encloses an article, and main, and the
+        # named element around it.
+        self.named: list[list] = []
         self.free = False  # whether an article lies in no furniture
 
-    def state(self) -> tuple[bool, bool, bool, tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, False, False, ())
+    def state(self) -> tuple[bool, bool, bool, int]:
+        return self.open[-1][1:5] if self.open else (False, False, False, -1)
 
     def blocks(self) -> list[tuple[str, bool, bool]]:
-        furniture = [not (main or (article and not self.free)) for article, main in self.named]
-        return [(text, apart or any(furniture[k] for k in named), article) for text, apart, article, named in self.found]
+        apart: list[bool] = []
+        for article, main, around in self.named:
+            apart.append(not (main or (article and not self.free)) or (around >= 0 and apart[around]))
+        return [(text, furniture or (named >= 0 and apart[named]), article) for text, furniture, article, named in self.found]
+
+    def leave(self, at: int) -> None:
+        """Close the open elements from a place on."""
+        for tag, *_ in self.open[at:]:
+            self.places[tag].pop()
+        del self.open[at:]
 
     def flush(self) -> None:
         if not self.parts:
@@ -126,34 +141,32 @@ class _Blocks:
         apart = tag in FURNITURE or (tag == "header" and not article) or given.get("role", "").lower() in FURNITURE_ROLES
         unseen, furniture = unseen or tag in UNSEEN or hidden, furniture or apart
         if any(map(_furniture_name, names)) and tag not in WHOLE and not (tag in HEADINGS and article):
-            within = (*within, len(self.named))
-            self.named.append([False, False])
+            self.named.append([False, False, within])
+            within = len(self.named) - 1
         if tag in ARTICLE and not unseen and not furniture:
-            for k in within:
-                self.named[k][tag == "main"] = True
-            self.free = self.free or not within
-        self.open.append((tag, unseen, furniture, article or tag in ARTICLE, within))
+            around, kind = within, int(tag == "main")
+            # What encloses a marked element is marked as well.
+            while around >= 0 and not self.named[around][kind]:
+                self.named[around][kind] = True
+                around = self.named[around][2]
+            self.free = self.free or within < 0
+        block = len(self.open) if tag in BLOCKS else self.open[-1][5] if self.open else -1
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, unseen, furniture, article or tag in ARTICLE, within, block))
 
     def _close_implied(self, tag: str) -> None:
         """A paragraph ends where the next block begins, a list item or cell where its like does."""
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name == "p" or (name == tag and tag in SIBLINGS):
-                del self.open[k:]
-                return
-            if name in BLOCKS:
-                return
+        at = self.open[-1][5] if self.open else -1
+        if at >= 0 and ((name := self.open[at][0]) == "p" or (name == tag and tag in SIBLINGS)):
+            self.leave(at)
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
-            # An inline end tag doesn't close the blocks around it.
-            if self.open[k][0] in BLOCKS and tag not in BLOCKS:
-                return
+        places = self.places.get(tag)
+        # An inline end tag doesn't close the blocks around it.
+        if places and (tag in BLOCKS or places[-1] > self.open[-1][5]):
+            self.leave(places[-1])
 
     def text(self, data: str) -> None:
         if not self.state()[0]:
@@ -162,19 +175,32 @@ class _Blocks:
 
 def page_blocks(html: str) -> list[tuple[str, bool, bool]]:
     """The text blocks of a page in order: text, whether in furniture, whether in the article."""
-    page, at = _Blocks(), 0
+    page, at, pattern = _Blocks(), 0, _TAG
     while at < len(html):
-        tag = _TAG.search(html, at)
+        opening = _MARKUP.search(html, at)
+        start = opening.start() if opening else len(html)
+        if start > at:
+            page.text(html[at:start])
+        if opening is None:
+            break
+        if html[start + 1] in "!?":
+            # A comment or a declaration; an open comment hides the rest.
+            mark = "-->" if html.startswith("<!--", start) else ">"
+            close = html.find(mark, start + (4 if mark == "-->" else 2))
+            if close < 0 and mark == ">":
+                page.text(html[start:])
+            at = close + len(mark) if close >= 0 else len(html)
+            continue
+        tag = pattern.match(html, start)
+        if tag is None and pattern is _TAG:
+            # No end outside quotes: from here on tags end at the next ">", so a page is read once.
+            pattern = _PLAIN_TAG
+            tag = pattern.match(html, start)
         if tag is None:
-            page.text(html[at:])
+            page.text(html[start:])
             break
-        if tag.start() > at:
-            page.text(html[at : tag.start()])
         at = tag.end()
-        name = tag["name"]
-        if not name:
-            continue  # a comment, a declaration
-        name = name.lower()
+        name = tag["name"].lower()
         if tag["close"]:
             page.end(name)
             continue

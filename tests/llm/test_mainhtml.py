@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -107,3 +108,36 @@ def test_unmarked_prose_keeps_its_phrases(spark, monkeypatch, most):
         want[k] = "One block of words that two of the pages have"
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in mainhtml.page_texts(df).collect()} == want
+
+
+HOSTILE = {
+    "open tags": "<a " * 300_000,
+    "open quotes": "<a b=\"" * 200_000,
+    "open tags before an end": "<a b='x" * 150_000 + "\">",
+    "declarations": "<!" * 300_000,
+    "deep blocks": "<div class=ad>" * 100_000 + "</p>" * 100_000,
+    "deep inline": "<b><div>" + "<i>" * 100_000 + "</b>" * 100_000 + "<div></div>" * 50_000,
+    "articles in named elements": "<div class=menu><article>" * 50_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_markup_is_read_in_linear_time(name):
+    begin = time.perf_counter()
+    mainhtml.page_blocks(f"<article><p>kept</p></article>{HOSTILE[name]}")
+    assert time.perf_counter() - begin < 10
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>it's</p><p title='a > b' class=\"x\">so</p>", "it's so"),
+        ("<p>a <x y's here</p><p>next</p>", "a next"),
+        ("<p>one <!-- two > --> three</p><!doctype x><?php y ?>four<!-- five", "one three four"),
+        ("<p>3 < 4 <b", "3 < 4 <b"),
+        ("<p alt=\"open>first</p><p>second</p>", "first second"),
+        ("<ul><li>a<li>b</ul><p>c<p>d</i></div>e", "a b c d e"),
+    ],
+)
+def test_tags_quotes_and_comments(page, text):
+    assert mainhtml.main_text(page, set()) == text
