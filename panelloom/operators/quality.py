@@ -190,3 +190,65 @@ def integrity_check(df: DataFrame, expected: Iterable[str] = ()) -> dict[str, Da
         "boxes": box_stats(df) if numeric_columns(df) else None,
     }
     return {name: profile for name, profile in out.items() if profile is not None}
+
+
+def profile_states(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What the profiles of all columns need, from one scan: a row per column (and group ``by``).
+
+    The states of parts (files, periods, runs) merge with ``merge_states``, so they are stored once per
+    part and a new part is the only one that is read. ``distinct`` is a sketch; dates are days since
+    1970 in ``low``, ``high`` and ``total``. A pair of dates has a row ``start > end``, where ``present``
+    counts the rows that hold both.
+    """
+    numbers = {f.name: F.col(f"`{f.name}`").cast("double") for f in df.schema if isinstance(f.dataType, NumericType)}
+    numbers |= {f.name: F.unix_date(F.col(f"`{f.name}`")).cast("double") for f in df.schema if isinstance(f.dataType, DateType)}
+    rows: dict[str, dict] = {}
+    for name in (c for c in df.columns if c not in by):
+        column = F.col(f"`{name}`")
+        rows[name] = {"present": F.count(column), "distinct": F.hll_sketch_agg(column.cast("string"))}
+        if name in numbers:
+            rows[name] |= {"low": F.min(numbers[name]), "high": F.max(numbers[name]), "total": F.sum(numbers[name])}
+    for start, end in date_pairs(df):
+        both = F.col(start).isNotNull() & F.col(end).isNotNull()
+        rows[f"{start} > {end}"] = {"present": F.count_if(both), "violations": F.count_if(F.col(start) > F.col(end))}
+    kinds = {"present": "long", "distinct": "binary", "low": "double", "high": "double", "total": "double", "violations": "long"}
+    aggregates = [c.alias(f"{kind}{i}") for i, row in enumerate(rows.values()) for kind, c in row.items()]
+    wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
+
+    def state(i: int, row: dict) -> list:
+        return [(F.col(f"{kind}{i}") if kind in row else F.lit(None)).cast(of).alias(kind) for kind, of in kinds.items()]
+
+    structs = [F.struct(F.lit(name).alias("column"), F.col("rows"), *state(i, row)) for i, (name, row) in enumerate(rows.items())]
+    return wide.select(*by, F.explode(F.array(*structs)).alias("r")).select(*by, "r.*")
+
+
+def merge_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """States of parts as those of the whole (or of each group ``by``)."""
+    sums = [F.sum(c).alias(c) for c in ("rows", "present", "total", "violations")]
+    return states.groupBy(*by, "column").agg(*sums, F.hll_union_agg("distinct").alias("distinct"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def integrity_profile(states: DataFrame) -> DataFrame:
+    """Missing values, distinct values (estimated), range, mean and date order of each column."""
+    rows, present = F.col("rows"), F.col("present")
+    return states.select(
+        "column",
+        "rows",
+        (rows - present).alias("missing_count"),
+        F.when(rows > 0, F.round(100.0 * (rows - present) / rows, 2)).alias("missing_percent"),
+        F.when(F.col("violations").isNull(), F.hll_sketch_estimate("distinct")).alias("n_distinct"),
+        F.col("low").alias("min"),
+        F.try_divide("total", "present").alias("mean"),
+        F.col("high").alias("max"),
+        "violations",
+    )
+
+
+def compare_profiles(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The profiles of a dataset before and after cleaning side by side; a column of one alone is
+    ``added`` or ``dropped``."""
+    sides = []
+    for df, suffix in ((before, "_before"), (after, "_after")):
+        sides.append(df.select("column", *[F.col(c).alias(c + suffix) for c in df.columns if c != "column"]))
+    status = F.when(F.col("rows_before").isNull(), "added").when(F.col("rows_after").isNull(), "dropped").otherwise("both")
+    return sides[0].join(sides[1], "column", "full").withColumn("status", status)

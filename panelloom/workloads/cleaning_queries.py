@@ -674,3 +674,149 @@ def clean_installed_base(t):
         F.struct("delivery_date", "equipment_type", "equipment_group", "customer_id").alias("_line"),
     )
     return cleaners.clean(t.stored("installed_base", raw), cleaners.INSTALLED_BASE, ["_line"])
+
+
+@query(
+    "integrity_profile",
+    "column:text status:text rows_before:long rows_after:long missing_count_before:long missing_count_after:long missing_percent_after:money"
+    " min_after:money mean_after:money max_after:money violations_after:long",
+    """WITH o AS (SELECT *, CASE WHEN to_id % 4 <> 0 THEN to_id % 900 + 0.5 END AS v,
+                         CASE WHEN to_id % 6 <> 0 THEN to_close_date END AS e FROM v_opportunities),
+            c AS (SELECT 'to_id' AS "column", 'both' AS status, 0 AS missing, 0 AS lost, NULL AS lo, NULL AS mean, NULL AS hi, NULL AS bad
+                  UNION ALL SELECT 'to_start_date', 'both', 0, 0, (SELECT min(to_start_date - DATE '1970-01-01') FROM o),
+                                   (SELECT avg(to_start_date - DATE '1970-01-01') FROM o), (SELECT max(to_start_date - DATE '1970-01-01') FROM o), NULL
+                  UNION ALL SELECT 'to_close_date', 'both', (SELECT count(*) - count(e) FROM o), (SELECT count(*) - count(e) FROM o),
+                                   (SELECT min(e - DATE '1970-01-01') FROM o), (SELECT avg(e - DATE '1970-01-01') FROM o), (SELECT max(e - DATE '1970-01-01') FROM o), NULL
+                  UNION ALL SELECT 'to_expected_value', 'both', 0, (SELECT count(*) - count(v) FROM o), (SELECT min(v) FROM o), (SELECT avg(v) FROM o), (SELECT max(v) FROM o), NULL
+                  UNION ALL SELECT 'empty', 'dropped', (SELECT count(*) FROM o), NULL, NULL, NULL, NULL, NULL
+                  UNION ALL SELECT 'to_start_date > to_close_date', 'added', NULL, (SELECT count(*) - count(e) FROM o), NULL, NULL, NULL,
+                                   (SELECT count(*) FILTER (to_start_date > e) FROM o))
+       SELECT "column", status, CASE WHEN status <> 'added' THEN 2 * n END AS rows_before, CASE WHEN status <> 'dropped' THEN n END AS rows_after,
+              2 * missing AS missing_count_before, lost AS missing_count_after, round(100.0 * lost / n, 2) AS missing_percent_after,
+              lo AS min_after, mean AS mean_after, hi AS max_after, bad AS violations_after
+       FROM c CROSS JOIN (SELECT count(*) AS n FROM o)""",
+)
+def integrity_profile(t):
+    """The profile of opportunities as extracted, merged from the stored states of seven parts, beside that of the cleaned ones."""
+    raw = t.view("v_opportunities").select(
+        F.col("to_id").cast("string").alias("to_id"),
+        F.date_format("to_start_date", "yyyy-MM-dd").alias("to_start_date"),
+        F.when(F.col("to_id") % 6 != 0, F.date_format("to_close_date", "yyyy-MM-dd")).alias("to_close_date"),
+        F.when(F.col("to_id") % 4 != 0, F.concat((F.col("to_id") % 900).cast("string"), F.lit(".5"))).otherwise("open").alias("to_expected_value"),
+        F.lit(None).cast("string").alias("empty"),
+        F.col("to_id").alias("_line"),
+    )
+    copies = t.stored("integrity", raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1))))
+    parts = copies.withColumn("_part", F.col("_line") % 7).drop("_line", "_block")
+    states = t.stored("integrity_states", Q.profile_states(parts, ["_part"]))
+    cleaned = cleaners.clean(copies, cleaners.OPPORTUNITIES, ["_line", "_block"])
+    before, after = Q.merge_states(states), Q.profile_states(cleaned)
+    report = Q.compare_profiles(Q.integrity_profile(before), Q.integrity_profile(after))
+    shown = ["to_id", "to_start_date", "to_close_date", "to_expected_value", "empty", "to_start_date > to_close_date"]
+    return report.where(F.col("column").isin(shown))
+
+
+@query(
+    "clean_software_sales",
+    "ts_customer_id:text ts_pur_date:date ts_year:long ts_generation:text ts_revenue:money",
+    """SELECT CAST(ts_customer_id AS VARCHAR) AS ts_customer_id, make_date(ts_year, 3, 15) AS ts_pur_date, ts_year, ts_generation,
+              CAST(floor(ts_revenue) AS BIGINT) + 0.5 AS ts_revenue FROM v_software_sales""",
+)
+def clean_software_sales(t):
+    """Software sales as a text extract with foreign headers, day-first dates and decimal commas; equal sales stay apart."""
+    raw = t.view("v_software_sales").select(
+        F.col("ts_customer_id").cast("string").alias("endkunde"),
+        F.concat(F.lit("15.03."), F.col("ts_year").cast("string")).alias("gultig_ab"),
+        F.concat(F.lit(" "), F.regexp_replace("ts_generation", " ", "  ")).alias("x5_generation"),
+        F.concat(F.floor("ts_revenue").cast("string"), F.lit(",5")).alias("umsatz"),
+    )
+    return cleaners.clean(t.stored("software_sales", raw), cleaners.SOFTWARE_SALES, ())
+
+
+@query(
+    "clean_meetings",
+    "id:text account_id:text start_date_time:ts end_date_time:ts meeting_duration_minutes:ratio meeting_starting_year:long"
+    " meeting_starting_month:long meeting_starting_day:long meeting_starting_time:text meeting_weekday:text",
+    """SELECT CAST(event_id AS VARCHAR) AS id, CAST(account_id AS VARCHAR) AS account_id, s AS start_date_time,
+              s + to_minutes(event_id % 700) AS end_date_time, event_id % 700 AS meeting_duration_minutes, year(s) AS meeting_starting_year,
+              month(s) AS meeting_starting_month, day(s) AS meeting_starting_day, strftime(s, '%H:%M:%S') AS meeting_starting_time,
+              dayname(s) AS meeting_weekday
+       FROM (SELECT *, date_trunc('second', ts) AS s FROM v_activities WHERE activity_type = 'Meeting')""",
+)
+def clean_meetings(t):
+    """Meetings as a text extract with every row twice."""
+    raw = _activity_extract(t.view("v_activities").where("activity_type = 'Meeting'"))
+    copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
+    return cleaners.clean(t.stored("meetings", copies), cleaners.MEETINGS, ["_line", "_block"])
+
+
+def _activity_extract(events):
+    start = F.date_trunc("second", F.col("ts"))
+    end = F.timestamp_add("MINUTE", (F.col("event_id") % 700).cast("int"), start)
+    return events.select(
+        F.col("event_id").cast("string").alias("ID"),
+        F.concat(F.lit(" "), F.col("account_id").cast("string")).alias("Account ID"),
+        F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("Start Date Time"),
+        F.date_format(end, "yyyy-MM-dd HH:mm:ss").alias("End Date Time"),
+        F.col("event_id").alias("_line"),
+    )
+
+
+@query(
+    "clean_other_activities",
+    "id:text account_id:text start_date_time:ts activity_duration_minutes:ratio activity_year:long activity_month:long activity_day:long"
+    " activity_weekday:text activity_hour:long is_business_hours:bool",
+    """SELECT CAST(event_id AS VARCHAR) AS id, CAST(account_id AS VARCHAR) AS account_id, s AS start_date_time,
+              event_id % 700 AS activity_duration_minutes, year(s) AS activity_year, month(s) AS activity_month, day(s) AS activity_day,
+              dayname(s) AS activity_weekday, hour(s) AS activity_hour, hour(s) BETWEEN 9 AND 17 AS is_business_hours
+       FROM (SELECT *, date_trunc('second', ts) AS s FROM v_activities WHERE activity_type NOT IN ('Meeting', 'E-Mail'))""",
+)
+def clean_other_activities(t):
+    raw = _activity_extract(t.view("v_activities").where("activity_type NOT IN ('Meeting', 'E-Mail')"))
+    return cleaners.clean(t.stored("other_activities", raw), cleaners.OTHER_ACTIVITIES, ["_line"])
+
+
+@query(
+    "clean_mails",
+    "id:text account_id:text sent_on:ts sent_year:long sent_month:long sent_day:long sent_time:text sent_weekday:text sent_hour:long"
+    " is_business_hours:bool subject_length:long has_attachment:bool is_reply:bool",
+    """SELECT CAST(event_id AS VARCHAR) AS id, CAST(account_id AS VARCHAR) AS account_id, s AS sent_on, year(s) AS sent_year, month(s) AS sent_month,
+              day(s) AS sent_day, strftime(s, '%H:%M:%S') AS sent_time, dayname(s) AS sent_weekday, hour(s) AS sent_hour,
+              hour(s) BETWEEN 8 AND 17 AS is_business_hours, length(subject) AS subject_length, event_id % 5 = 0 AS has_attachment, event_id % 3 = 0 AS is_reply
+       FROM (SELECT *, date_trunc('second', ts) AS s,
+                    concat(CASE WHEN event_id % 3 = 0 THEN 'RE: ' ELSE '' END, 'order ', event_id, CASE WHEN event_id % 5 = 0 THEN ' offer enclosed' ELSE '' END) AS subject
+             FROM v_activities WHERE activity_type = 'E-Mail')""",
+)
+def clean_mails(t):
+    """Mails as a text extract; subjects with doubled spaces."""
+    reply, offer = F.when(F.col("event_id") % 3 == 0, "RE: ").otherwise(""), F.when(F.col("event_id") % 5 == 0, "  offer enclosed ").otherwise("")
+    raw = t.view("v_activities").where("activity_type = 'E-Mail'").select(
+        F.col("event_id").cast("string").alias("ID"),
+        F.col("account_id").cast("string").alias("Account ID"),
+        F.date_format(F.date_trunc("second", F.col("ts")), "yyyy-MM-dd HH:mm:ss").alias("Sent On"),
+        F.concat(reply, F.lit("order  "), F.col("event_id").cast("string"), offer).alias("Subject"),
+        F.col("event_id").alias("_line"),
+    )
+    return cleaners.clean(t.stored("mails", raw), cleaners.MAILS, ["_line"])
+
+
+@query(
+    "clean_registered_products",
+    "id_reg_prod:text account_id_reg_prod:text completion_date_reg_prod:date completion_year:long completion_month:long completion_day:long"
+    " warranty_end_date_reg_prod:date warranty_status:text warranty_days_remaining:long",
+    """SELECT CAST(to_id AS VARCHAR) AS id_reg_prod, CAST(to_customer_id AS VARCHAR) AS account_id_reg_prod, to_start_date AS completion_date_reg_prod,
+              year(to_start_date) AS completion_year, month(to_start_date) AS completion_month, day(to_start_date) AS completion_day,
+              w AS warranty_end_date_reg_prod, CASE WHEN w IS NULL THEN 'unknown' WHEN w < DATE '1997-01-01' THEN 'expired' ELSE 'active' END AS warranty_status,
+              w - DATE '1997-01-01' AS warranty_days_remaining
+       FROM (SELECT *, CASE WHEN to_id % 7 <> 3 THEN to_close_date END AS w FROM v_opportunities)""",
+)
+def clean_registered_products(t):
+    """Registered products as a text extract; some without a warranty."""
+    raw = t.view("v_opportunities").select(
+        F.col("to_id").cast("string").alias("ID reg prod"),
+        F.col("to_customer_id").cast("string").alias("Account ID reg prod"),
+        F.date_format("to_start_date", "dd.MM.yyyy").alias("Completion date reg prod"),
+        F.when(F.col("to_id") % 7 != 3, F.date_format("to_close_date", "dd.MM.yyyy")).alias("Warranty end date reg prod"),
+        F.col("to_id").alias("_line"),
+    )
+    return cleaners.clean(t.stored("registered_products", raw), cleaners.registered_products("1997-01-01"), ["_line"])
