@@ -820,3 +820,67 @@ def clean_registered_products(t):
         F.col("to_id").alias("_line"),
     )
     return cleaners.clean(t.stored("registered_products", raw), cleaners.registered_products("1997-01-01"), ["_line"])
+
+
+@query(
+    "clean_quotes",
+    "tq_id:text tq_customer_id:text tq_status:text tq_total_value:money tq_date:date tq_year:long",
+    """SELECT CAST(to_id AS VARCHAR) AS tq_id, CAST(to_customer_id AS VARCHAR) AS tq_customer_id, to_opportunity_status AS tq_status,
+              CASE WHEN to_id % 8 <> 5 THEN to_id % 900 + 0.25 END AS tq_total_value, to_start_date AS tq_date, year(to_start_date) AS tq_year
+       FROM v_opportunities""",
+)
+def clean_quotes(t):
+    """Quotes as a text extract with every row twice; some totals are no number."""
+    total = F.concat(F.lit("$ "), (F.col("to_id") % 900).cast("string"), F.lit(".25"))
+    raw = t.view("v_opportunities").select(
+        F.col("to_id").cast("string").alias("ID"),
+        F.col("to_customer_id").cast("string").alias("Customer ID"),
+        F.concat(F.lit("  "), "to_opportunity_status").alias("Status"),
+        F.when(F.col("to_id") % 8 != 5, total).otherwise("on request").alias("Total"),
+        F.date_format("to_start_date", "dd.MM.yyyy").alias("Date"),
+        F.col("to_id").alias("_line"),
+    )
+    copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
+    return cleaners.clean(t.stored("quotes", copies), cleaners.QUOTES, ["_line", "_block"])
+
+
+@query(
+    "clean_missions",
+    "mission_id:text case_number:text mission_year:long mission_calendar_week:long waiting_time_days:money missions_delayed:bool priority:text",
+    """SELECT CAST(to_id AS VARCHAR) AS mission_id, CAST(to_customer_id AS VARCHAR) AS case_number, year(to_start_date) AS mission_year,
+              to_id % 52 + 1 AS mission_calendar_week, CASE WHEN to_id % 9 <> 2 THEN to_id % 30 + 0.5 END AS waiting_time_days,
+              to_id % 3 = 0 AS missions_delayed, CASE WHEN to_id % 4 = 0 THEN 'High' ELSE 'Default' END AS priority
+       FROM v_opportunities""",
+)
+def clean_missions(t):
+    """Missions as a text extract: calendar weeks, decimal commas, flags in words."""
+    raw = t.view("v_opportunities").select(
+        F.col("to_id").cast("string").alias("Mission ID"),
+        F.col("to_customer_id").cast("string").alias("Case Number"),
+        F.concat_ws("/", F.year("to_start_date"), F.col("to_id") % 52 + 1).alias("CW"),
+        F.when(F.col("to_id") % 9 != 2, F.concat((F.col("to_id") % 30).cast("string"), F.lit(",5"))).alias("Waiting time days"),
+        F.when(F.col("to_id") % 3 == 0, "Yes").otherwise("no").alias("Missions delayed"),
+        F.when(F.col("to_id") % 4 == 0, "High ").otherwise(" Default").alias("Priority"),
+        F.col("to_id").alias("_line"),
+    )
+    return cleaners.clean(t.stored("missions", raw), cleaners.MISSIONS, ["_line"])
+
+
+@query(
+    "clean_machine_orders",
+    "sm_equipment_number:text sm_purchase_date:date purchase_year:long purchase_month:long purchase_day:long sm_net_value:money sm_document_currency:text",
+    """SELECT CAST(to_id AS VARCHAR) AS sm_equipment_number, to_start_date AS sm_purchase_date, year(to_start_date) AS purchase_year,
+              month(to_start_date) AS purchase_month, day(to_start_date) AS purchase_day, to_id % 900 + 0.75 AS sm_net_value, 'EUR' AS sm_document_currency
+       FROM v_opportunities""",
+)
+def clean_machine_orders(t):
+    """Machine orders as a text extract with foreign headers and every row twice; purchase dates in two layouts."""
+    raw = t.view("v_opportunities").select(
+        F.col("to_id").cast("string").alias("Equipmentnummer"),
+        F.when(F.col("to_id") % 3 == 0, F.date_format("to_start_date", "yyyy-MM-dd")).otherwise(F.date_format("to_start_date", "dd.MM.yyyy")).alias("Anschaffungsdatum"),
+        F.concat((F.col("to_id") % 900).cast("string"), F.lit(",75")).alias("Nettowert"),
+        F.lit(" EUR").alias("Belegwahrung"),
+        F.col("to_id").alias("_line"),
+    )
+    copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
+    return cleaners.clean(t.stored("machine_orders", copies), cleaners.MACHINE_ORDERS, ["_line", "_block"])
