@@ -884,3 +884,23 @@ def clean_machine_orders(t):
     )
     copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
     return cleaners.clean(t.stored("machine_orders", copies), cleaners.MACHINE_ORDERS, ["_line", "_block"])
+
+
+@query(
+    "clean_contacts",
+    "id:text account_id:text function:text created_on:date data_quality_score:ratio",
+    """SELECT CAST(to_id AS VARCHAR) AS id, CAST(to_customer_id AS VARCHAR) AS account_id, CASE WHEN to_id % 3 <> 0 THEN 'Head of purchase' END AS function,
+              to_start_date AS created_on, CASE WHEN to_id % 3 <> 0 THEN 1.0 ELSE 0.75 END AS data_quality_score
+       FROM v_opportunities""",
+)
+def clean_contacts(t):
+    """Contacts as a text extract with every row twice; the share of filled columns is their quality."""
+    raw = t.view("v_opportunities").select(
+        F.col("to_id").cast("string").alias("ID"),
+        F.col("to_customer_id").cast("string").alias("Account ID"),
+        F.when(F.col("to_id") % 3 != 0, " Head  of purchase").alias("Function"),
+        F.date_format("to_start_date", "dd.MM.yyyy").alias("Created On"),
+        F.col("to_id").alias("_line"),
+    )
+    copies = raw.withColumn("_block", F.lit(0)).unionByName(raw.withColumn("_block", F.lit(1)))
+    return cleaners.clean(t.stored("contacts", copies), cleaners.CONTACTS, ["_line", "_block"])
