@@ -4,22 +4,28 @@
 a kind; finds that fail their check are dropped. The patterns are written so that the engine neither
 backtracks nor recurs over long runs: possessive repeats, and starts that can't lie within a run.
 
-**Revealing terms.** A protected entity is the value of a base span. From the words within
-``CONTEXT`` characters of its mentions, over the whole corpus, the disclosure of entity e by term t is
+**Revealing terms.** A protected entity is the value of a base span. A term is a word of at least
+three letters outside addresses, in lower case. From counts over all documents the disclosure of
+entity e by term t is
 
     log(N n_te / (n_t n_e)) / log(N / n_e)
 
-with N documents, n_e that mention e, n_t that hold t, and n_te where t stands near e. It is 1 for a
-term that never occurs without e, and about 0 for one that knows nothing of it. A term counts once it
-was seen near e in ``SUPPORT`` different contexts, so copies of one text are no evidence. From
-``GENERALISE`` on, its mentions near e are replaced by a general word, from ``REMOVE`` on removed.
-Documents without a base span are left alone.
+with N documents, n_e that mention e, n_t that hold t, and n_te that do both, anywhere in the text.
+It is 1 for a term that never occurs without e, and about 0 for one that knows nothing of it. A term
+counts once it stood in documents with ``SUPPORT`` different contexts of e (the ``CONTEXT`` characters
+around a mention; of several mentions in a document one counts), so copies of one text are no
+evidence. In documents that mention e all occurrences of t are replaced: from ``GENERALISE`` on by a
+general word, from ``REMOVE`` on by nothing. In a document that does not mention e the term alone tells
+of e with the share n_te / n_t; there it is replaced the same way if that share is ``SURE`` or more.
 
 Everything is built-in Spark functions. Counts are reduced in each task before they are shuffled, an
-entity of very many mentions included; texts without base spans are never shuffled.
+entity of very many mentions included. Entities with fewer contexts than ``SUPPORT`` can have no term
+and go before words are counted. A document's distinct words meet each of its other entities. Texts
+are shuffled once where terms were found (not if those places are few enough to be broadcast), else not at all.
 
 Defined results: NULL text counts as empty (and stays NULL when sanitised); rows that repeat a
-document give equal results; an empty table gives an empty result; further columns pass through.
+document give equal results, and each counts as a document; an empty table gives an empty result;
+further columns pass through.
 """
 
 from __future__ import annotations
@@ -32,9 +38,11 @@ from panelloom.llm import common as C
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 CONTEXT = 60
+BLOCK = 1024
 SUPPORT = 3
 GENERALISE = 0.5
 REMOVE = 0.8
+SURE = 0.5
 
 #: What a text must contain for a pattern to match.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
@@ -53,20 +61,65 @@ REPLACED = {"email": "<email>", "ip": "<ip>", "card": "<card>", "phone": "<phone
 SPANS = "array<struct<begin:int,finish:int,value:string>>"
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of ``value``, which is computed once: inside lambdas it would be for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, zero: Column, combine) -> Column:
+    """What ``combine`` makes of all ``values`` (a bound array) before each one. Runs of about the root of
+    their number are reduced first, as an array is copied for each slice and each value appended."""
+    run = F.ceil(F.sqrt(F.size(values))).cast("int")
+    last = F.ceil(F.size(values) / run).cast("int") - 1
+    # Of nothing there is no run: a sequence would count down.
+    runs = F.when(F.size(values) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+    def part(k: Column) -> Column:
+        return F.slice(values, k * run + 1, run)
+
+    def on(out: Column, value: Column) -> Column:
+        return F.array_append(out, combine(F.element_at(out, -1), value))
+
+    starts = F.aggregate(F.transform(runs, lambda k: F.aggregate(part(k), zero, combine)), F.array(zero), on)
+    # Each run ends with the start of the next, and the starts with the end of all.
+    within = F.zip_with(runs, starts, lambda k, start: F.when(k.isNotNull(), F.slice(F.aggregate(part(k), F.array(start), on), F.lit(1), F.size(part(k)))))
+    return F.flatten(F.filter(within, lambda out: out.isNotNull()))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """All matches with begin and finish in code points: what lies between them gives the places."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(between, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+    parts = F.zip_with(between, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), m.alias("value")))
+
+    def span(part: Column, before: Column) -> Column:
+        begin = before + part["gap"]
+        return F.struct(begin.alias("begin"), (begin + part["size"]).alias("finish"), part["value"].alias("value"))
+
+    def placed(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda p: p["gap"] + F.coalesce(p["size"], F.lit(0)))
+        ends = let(sizes, lambda bound: running(bound, F.lit(0), lambda x, y: x + y))
+        return F.filter(F.zip_with(parts, ends, span), lambda s: s["value"].isNotNull())
+
+    return let(parts, placed)
+
+
+def blocks(text: Column) -> Column:
+    """``text`` in blocks of ``BLOCK`` code points: a part of a text is sought from its beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
 
-    def step(state: Column, part: Column) -> Column:
-        begin = state["at"] + part["gap"]
-        finish = begin + F.coalesce(F.length(part["value"]), F.lit(0))
-        span = F.struct(begin.alias("begin"), finish.alias("finish"), part["value"].alias("value"))
-        return F.struct(finish.alias("at"), F.array_append(state["out"], span).alias("out"))
 
-    spans = F.aggregate(parts, start, step, lambda state: state["out"])
-    return F.filter(spans, lambda s: s["value"].isNotNull())
+def piece(blocks: Column, begin: Column, size: Column) -> Column:
+    """``size`` code points from ``begin`` on (fewer at the end) of the text in ``blocks``."""
+    first = F.floor(begin / BLOCK).cast("int")
+    held = F.slice(blocks, first + 1, F.floor((begin + size) / BLOCK).cast("int") - first + 1)
+    return F.substring(F.array_join(held, ""), begin - first * BLOCK + 1, size)
+
+
+def without_addresses(text: Column) -> Column:
+    """``text`` with a blank for each character of an address, the only base spans with letters."""
+    found = F.regexp_extract_all(text, F.lit(PATTERNS["email"]), F.lit(0))
+    blank = F.zip_with(F.split(text, PATTERNS["email"], -1), found, lambda g, m: F.concat(g, F.coalesce(F.lpad(F.lit(""), F.length(m), " "), F.lit(""))))
+    return F.when(F.contains(text, F.lit("@")), F.array_join(blank, "")).otherwise(text)
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -104,65 +157,85 @@ def _any(found: str) -> Column:
     return count > 0
 
 
-def _contexts(marked: DataFrame) -> DataFrame:
-    """doc_key, entity, context and its words, for each base span of (doc_key, text, base)."""
+def _named(text: Column, base: Column) -> Column:
+    """The entities that a text names, each once, with the least hash of their contexts."""
 
-    def tagged(kind: str) -> Column:
-        return F.transform(F.col("base")[kind], lambda s: F.struct(F.lit(kind).alias("kind"), s["begin"].alias("begin"), s["finish"].alias("finish"), s["value"].alias("value")))
+    def of(kind: str, parts: Column) -> Column:
+        def one(s: Column) -> Column:
+            left = F.greatest(F.lit(0), s["begin"] - CONTEXT)
+            around = piece(parts, left, s["finish"] - left + CONTEXT)
+            return F.struct(entity(F.lit(kind), s["value"]).alias("entity"), F.xxhash64(around).alias("context"))
 
-    spans = marked.select("doc_key", "text", "base", F.explode(F.concat(*map(tagged, KINDS))).alias("s"))
-    left = F.greatest(F.lit(0), F.col("s.begin") - CONTEXT)
-    around = F.substring("text", left + 1, F.col("s.finish") - left + CONTEXT)
-    spans = spans.select("doc_key", "base", entity(F.col("s.kind"), F.col("s.value")).alias("entity"), left.alias("left"), around.alias("around"))
+        return F.transform(base[kind], one)
 
-    def clear(word: Column) -> Column:
-        hits = F.lit(False)
-        for k in KINDS:
-            hits = hits | F.exists(F.col("base")[k], lambda s: (s["begin"] < word["finish"]) & (s["finish"] > word["begin"]))
-        return ~hits
+    def first_of_each(named: Column) -> Column:
+        return F.filter(named, lambda x, i: (i == 0) | (x["entity"] != F.element_at(named, F.greatest(i, F.lit(1)))["entity"]))
 
-    words = F.transform(matches(F.col("around"), WORD), lambda w: F.struct((w["begin"] + F.col("left")).alias("begin"), (w["finish"] + F.col("left")).alias("finish"), F.lower(w["value"]).alias("term")))
-    return spans.select("doc_key", "entity", F.xxhash64("around").alias("context"), F.filter(words, clear).alias("words"))
+    return let(let(blocks(text), lambda parts: F.array_sort(F.concat(*[of(k, parts) for k in KINDS]))), first_of_each)
 
 
-def revealing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFrame:
-    """(entity, term, disclosure) of terms that reveal an entity, from counts over all documents."""
-    seen = contexts.select("doc_key", "entity", "context", F.explode("words.term").alias("term")).distinct()
-    pairs = seen.groupBy("entity", "term", "context").agg(F.count_distinct("doc_key").alias("docs"))
-    pairs = C.checkpointed(
-        pairs.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("n_te")).where(F.col("contexts") >= SUPPORT)
-    )
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text}`")), F.lit(WORD), F.lit(0)))).alias("term"))
+def revealing_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """(entity, term, disclosure, share) of the terms of ``docs`` (doc_key, text) that reveal an
+    entity, and (doc_key, entity) of the documents that mention one of these; None without any."""
+    words = F.array_distinct(F.transform(F.regexp_extract_all(without_addresses(F.col("text")), F.lit(WORD), F.lit(0)), F.lower))
+    held = with_base(docs, "text", "base").where(_any("base"))
+    held = C.checkpointed(held.select("doc_key", words.alias("words"), _named(F.col("text"), F.col("base")).alias("named")))
+    mentions = held.select("doc_key", F.explode("named").alias("e")).select("doc_key", "e.entity", "e.context")
+    known = mentions.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_distinct("context").alias("contexts"))
+    known = C.checkpointed(known.where(F.col("contexts") >= SUPPORT).select("entity", "n_e"))
+    if C.is_empty(known):
+        return None
+    beside = held.select("words", F.explode("named").alias("e")).select("words", "e.entity", "e.context").join(known.select("entity"), "entity")
+    seen = beside.select("entity", "context", F.explode("words").alias("term")).groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
+    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("n_te"))
+    pairs = C.checkpointed(pairs.where(F.col("contexts") >= SUPPORT).select("entity", "term", "n_te"))
     # Stored, as a join right above the count would be moved below it, to every word of every text.
-    held = C.checkpointed(words.groupBy("term").agg(F.count("*").alias("n_t")))
+    counts = C.checkpointed(docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t")))
     total = docs.count()
-    mentions = contexts.groupBy("entity").agg(F.count_distinct("doc_key").alias("n_e"))
-    counted = pairs.join(held, "term").join(mentions, "entity")
+    counted = pairs.join(counts, "term").join(known.where(F.col("n_e") < total), "entity")
     near = F.log(F.lit(total) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     whole = F.log(F.lit(total) / F.col("n_e"))
-    scored = counted.where(F.col("n_e") < total).select("entity", "term", F.least(F.lit(1.0), near / whole).alias("disclosure"))
-    return scored.where(F.col("disclosure") >= GENERALISE)
+    scored = counted.select("entity", "term", F.least(F.lit(1.0), near / whole).alias("disclosure"), (F.col("n_te") / F.col("n_t")).alias("share"))
+    terms = C.checkpointed(scored.where(F.col("disclosure") >= GENERALISE))
+    if C.is_empty(terms):
+        return None
+    return terms, mentions.join(terms.select("entity").distinct(), "entity", "left_semi").select("doc_key", "entity").distinct()
+
+
+def term_spans(docs: DataFrame) -> DataFrame | None:
+    """doc_key and the places (begin, finish, action) of revealing terms in ``docs`` (doc_key, text)."""
+    found = revealing_terms(docs)
+    if found is None:
+        return None
+    terms, mentions = found
+    alone = F.max(F.when(F.col("share") >= SURE, F.col("disclosure"))).alias("alone")
+    wanted = C.checkpointed(terms.groupBy("term").agg(alone))
+    words = docs.select("doc_key", F.explode(matches(without_addresses(F.col("text")), WORD)).alias("w"))
+    words = words.select("doc_key", F.lower("w.value").alias("term"), "w.begin", "w.finish")
+    hits = C.checkpointed(words.join(wanted, "term").distinct())
+    beside = hits.join(mentions, "doc_key").join(terms, ["entity", "term"]).select("doc_key", "begin", "finish", "disclosure")
+    spans = beside.union(hits.where("alone IS NOT NULL").select("doc_key", "begin", "finish", "alone"))
+    action = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise")
+    spans = spans.groupBy("doc_key", "begin", "finish").agg(action.alias("action"))
+    return C.checkpointed(spans.groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("begin", "finish", "action"))).alias("terms")))
 
 
 def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", found: str = "personal") -> DataFrame:
     """``docs`` and ``found``: a struct of the base spans by kind and the revealing terms (begin,
     finish and action: generalise or remove)."""
-    key, found_key, terms_found = C.free_name(docs, "doc_key", "found_key", "terms_found")
-    named = F.struct(F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`")))
-    marked = with_base(docs, text, found)
+    # A struct of both, not NULL where a part is, so that keys are simply equal.
+    body = F.col(f"`{text}`")
+    named = F.struct(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).alias("id"), F.col(f"`{doc_id}`").isNull().alias("no_id"), F.xxhash64(body).alias("mark"))
     none = F.array().cast("array<struct<begin:int,finish:int,action:string>>")
-    bare = marked.where(~_any(found)).withColumn(found, F.col(found).withField(TERM, none))
-    held = marked.where(_any(found)).withColumn(key, named)
-    contexts = C.checkpointed(_contexts(held.select(F.col(key).alias("doc_key"), F.col(f"`{text}`").alias("text"), F.col(found).alias("base"))))
-    terms = revealing_terms(docs, contexts, text)
-    words = contexts.select("doc_key", "entity", F.explode("words").alias("w")).select("doc_key", "entity", "w.begin", "w.finish", "w.term")
-    action = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    spans = words.join(terms, ["entity", "term"]).groupBy("doc_key", "begin", "finish").agg(action.alias("action"))
-    by_doc = spans.groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("begin", "finish", "action"))).alias(terms_found))
-    by_doc = by_doc.select(F.col("doc_key").alias(found_key), terms_found)
-    joined = held.join(by_doc, held[key].eqNullSafe(by_doc[found_key]), "left")
+    spans = term_spans(docs.select(named.alias("doc_key"), F.coalesce(body, F.lit("")).alias("text")))
+    if spans is None:
+        return with_base(docs, text, found).withColumn(found, F.col(found).withField(TERM, none))
+    key, found_key, terms_found = C.free_name(docs, "doc_key", "found_key", "terms_found")
+    places = spans.select(F.col("doc_key").alias(found_key), F.col("terms").alias(terms_found))
+    keyed = docs.withColumn(key, named)
+    joined = with_base(keyed.join(places, F.col(key) == F.col(found_key), "left"), text, found)
     full = joined.withColumn(found, F.col(found).withField(TERM, F.coalesce(F.col(terms_found), none)))
-    return bare.unionByName(full.select(bare.columns))
+    return full.drop(key, found_key, terms_found)
 
 
 def _written(found: str, kinds: tuple[str, ...]) -> Column:
@@ -196,19 +269,23 @@ def sanitised(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lengt
 
         return F.transform(F.col(found)[kind], lambda s: F.struct(s["begin"].alias("begin"), s["finish"].alias("finish"), by(s).alias("by")))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,begin:int,finish:int,by:string>>").alias("out"))
+    body = F.col(f"`{text}`")
+
+    # Spans of different kinds may overlap: what lies within an earlier one goes with it.
+    def cut(s: Column, at: Column) -> Column:
+        return F.struct(at.alias("at"), F.greatest(s["begin"], at).alias("begin"), s["finish"].alias("finish"), F.when(s["begin"] < at, F.lit("")).otherwise(s["by"]).alias("by"))
 
-    def step(state: Column, s: Column) -> Column:
-        # Spans of different kinds may overlap: what lies within an earlier one goes with it.
-        part = F.struct(state["at"].alias("at"), F.greatest(s["begin"], state["at"]).alias("begin"), s["finish"].alias("finish"), F.when(s["begin"] < state["at"], F.lit("")).otherwise(s["by"]).alias("by"))
-        after = F.struct(s["finish"].alias("at"), F.array_append(state["out"], part).alias("out"))
-        return F.when(s["finish"] <= state["at"], state).otherwise(after)
+    def cuts(every: Column) -> Column:
+        reach = let(F.transform(every, lambda s: s["finish"]), lambda ends: running(ends, F.lit(0), lambda x, y: F.greatest(x, y)))
+        return F.filter(F.zip_with(every, reach, cut), lambda c: c["finish"] > c["at"])
 
-    body = F.col(f"`{text}`")
-    cuts = F.aggregate(F.array_sort(F.concat(*map(replaced, (*KINDS, TERM)))), start, step, lambda state: state["out"])
-    pieces = F.transform(cuts, lambda c: F.concat(F.substring(body, c["at"] + 1, c["begin"] - c["at"]), c["by"]))
-    tail = F.substring(body, F.coalesce(F.element_at(cuts, -1)["finish"], F.lit(0)) + 1, F.length(body))
-    clean = F.when(_any(found), F.concat(F.array_join(pieces, ""), tail)).otherwise(body)
+    def written(cuts: Column) -> Column:
+        pieces = let(blocks(body), lambda parts: F.transform(cuts, lambda c: F.concat(piece(parts, c["at"], c["begin"] - c["at"]), c["by"])))
+        tail = F.substring(body, F.coalesce(F.try_element_at(cuts, F.lit(-1))["finish"], F.lit(0)) + 1, F.length(body))
+        return F.when(F.size(cuts) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(body)
+
+    every = F.array_sort(F.concat(*map(replaced, (*KINDS, TERM))))
+    clean = F.when(body.isNotNull(), let(let(every, cuts), written))
     changed = {text: clean}
     out = out.withColumns(changed).drop(found)
     if length in docs.columns:

@@ -1,8 +1,13 @@
 """Personal data: base spans equal those of the plain patterns; revealing terms; sanitised texts."""
 
+import collections
 import hashlib
+import math
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from panelloom.llm import sanitise
 
@@ -79,7 +84,105 @@ def test_terms_that_reveal_an_entity(spark):
     shown = {rows[0][1][s.begin : s.finish].lower(): s.action for s in out[0].personal.term}
     assert shown.get("waldemar") == "remove"
     assert not {"today", "wrote"} & set(shown)
-    assert all(not out[d].personal.term for d in (100, 500))
+    assert not out[100].personal.term
+    # Named without a mention, the term still tells of the entity.
+    assert [(s.begin, s.finish, s.action) for s in out[500].personal.term] == [(0, 8, "remove")]
+
+
+def plain_terms(rows):
+    """Places of revealing terms by document, counted in plain loops over all documents."""
+
+    def words(text):
+        masked = re.sub(PLAIN["email"], lambda m: " " * len(m[0]), text)
+        return [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", masked)]
+
+    held, beside, around = collections.Counter(), collections.Counter(), collections.defaultdict(set)
+    naming, entities = collections.Counter(), []
+    for _, text in rows:
+        text, mentions = text or "", collections.defaultdict(list)
+        for kind, a, b in brute(text):
+            value = text[a:b].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", text[a:b])
+            mentions[kind, value].append(text[max(0, a - sanitise.CONTEXT) : b + sanitise.CONTEXT])
+        entities.append(set(mentions))
+        terms = {w[0] for w in words(text)}
+        held.update(terms)
+        naming.update(mentions.keys())
+        for e, contexts in mentions.items():
+            # One context stands for a document; rows of these tests hold one mention of each entity.
+            assert len(set(contexts)) == 1
+            for t in terms:
+                beside[e, t] += 1
+                around[e, t].add(contexts[0])
+    n, scores = len(rows), {}
+    for (e, t), both in beside.items():
+        if len(around[e, t]) >= sanitise.SUPPORT and naming[e] < n:
+            score = math.log(n * both / (held[t] * naming[e])) / math.log(n / naming[e])
+            if score >= sanitise.GENERALISE:
+                scores[e, t] = (min(1.0, score), both / held[t])
+    out = []
+    for (d, text), named in zip(rows, entities):
+        spans = []
+        for t, a, b in words(text or ""):
+            best = [s for (e, u), (s, share) in scores.items() if u == t and (e in named or share >= sanitise.SURE)]
+            if best:
+                spans.append((a, b, "remove" if max(best) >= sanitise.REMOVE else "generalise"))
+        out.append((d, spans))
+    return out
+
+
+def found_terms(df):
+    return sorted(((r.doc_id, [(s.begin, s.finish, s.action) for s in r.personal.term]) for r in sanitise.find_personal(df).collect()), key=repr)
+
+
+def test_disclosure_equals_plain_counts(spark):
+    rnd = random.Random(11)
+    names = ["Waldemar", "Ångström", "Kościuszko", "Émile", "Renée", "Ulrike"]
+    addresses = ["jw@corp.com", "a.b@x.org", "10.1.2.3", "+1 (555) 123-4567", "4111 1111 1111 1111", "zoë@y.net"]
+    common = [f"{a}{b}" for a in ("lorem", "dolor", "amet", "sed") for b in ("um", "is", "or", "ex", "ad")]
+    rows = []
+    for k in range(400):
+        words = rnd.choices(common, k=rnd.randint(5, 60))
+        for i in rnd.sample(range(6), rnd.choice([0, 0, 1, 2])):
+            words.insert(rnd.randint(0, len(words)), addresses[i] + ",")
+            if rnd.random() < 0.8:
+                words.insert(rnd.randint(0, len(words)), names[i])
+        if rnd.random() < 0.03:
+            words.append(rnd.choice(names))
+        # Known in more texts than those of its address.
+        if rnd.random() < 0.15:
+            words.append("Émile")
+        rows.append((k, " ".join(words)))
+    rows += [rows[3], rows[7], (None, "Waldemar once more"), (None, None), (900, None), (901, ""), (902, "x" * 50_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(plain_terms(rows), key=repr)
+    assert found_terms(df) == want
+    actions = {s[2] for _, spans in want for s in spans}
+    assert actions == {"remove", "generalise"}
+
+
+def test_terms_planted_in_the_documents(spark):
+    """Among the given documents: the planted name goes, all others stay without terms."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    planted = [(10**9 + k, f"{'lorem ipsum dolor sit amet '[k:]} Quirinius {k} wrote " + "and so on " * 40 + f"from qq@corp.com number {k}") for k in range(20)]
+    planted.append((10**9 + 50, "only Quirinius is named"))
+    out = sanitise.find_personal(docs.union(spark.createDataFrame(planted, docs.schema)))
+    shown = {r.doc_id: [r.text[s.begin : s.finish] for s in r.personal.term] for r in out.where("size(personal.term) > 0").collect()}
+    assert set(shown) == {p[0] for p in planted}
+    assert all("Quirinius" in found for found in shown.values())
+
+
+def test_many_finds_in_one_text(spark):
+    """Time grows with the finds, not with their square."""
+    df = spark.createDataFrame([(0, "a@b.c 1.2.3.4 " * 16_000)], "doc_id long, text string")
+    begin = time.time()
+    (row,) = sanitise.personal_report(df).select("n_email", "n_ip", "base_sha256").collect()
+    assert (row.n_email, row.n_ip) == (16_000, 16_000) and time.time() - begin < 60
+
+
+def test_running_totals(spark):
+    for n in (0, 1, 63, 64, 65, 128, 1000):
+        got = spark.range(1).select(F.expr(f"slice(sequence(0, {n}), 2, {n})").alias("x")).select(sanitise.running(F.col("x").cast("array<int>"), F.lit(0), lambda x, y: x + y).alias("s")).first().s
+        assert got == [k * (k + 1) // 2 for k in range(n)]
 
 
 def test_copies_are_no_evidence(spark):
@@ -89,12 +192,13 @@ def test_copies_are_no_evidence(spark):
 
 
 def test_sanitised(spark):
-    rows = crowd() + [(500, None), (501, ""), (502, "call +1 (555) 123-4567 or 4111 1111 1111 1111"), (100, crowd()[12][1]), (503, "clean text stays")]
+    rows = crowd() + [(500, None), (501, ""), (502, "call +1 (555) 123-4567 or 4111 1111 1111 1111"), (100, crowd()[12][1]), (503, "clean text stays"), (504, "😀é 1.2.3.4 " * 700 + "x" * 3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "length(text) AS n_chars", "'p' AS personal")
     out = sanitise.sanitised(df)
     assert out.columns == df.columns and out.count() == len(rows)
     text = {r.doc_id: r for r in out.collect()}
     assert text[500].text is None and text[501].text == "" and text[503].text == "clean text stays"
+    assert text[504].text == "😀é <ip> " * 700 + "x" * 3000
     assert text[502].text == "call <phone> or <card>"
     assert "<email>" in text[0].text and "Waldemar" not in text[0].text
     assert text[100].text == crowd()[12][1]
@@ -111,6 +215,8 @@ def test_no_join_lies_below_the_count_of_words(spark, monkeypatch):
         return store(df)
 
     monkeypatch.setattr(sanitise.C, "checkpointed", noted)
-    sanitise.personal_report(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    # Without an entity of several contexts no words are counted.
+    sanitise.personal_report(docs.union(spark.createDataFrame(crowd(), docs.schema)))
     (counts,) = [p for p in plans if "n_t#" in p]
     assert "Join" not in counts and "Aggregate" in counts
