@@ -15,13 +15,20 @@ on ``SHARE`` of its distinct pages with words outside articles, two at least. Th
 or blocks in a row, of ``REPEAT`` words or more; and a run of ``LONG`` words or more within a text,
 found by a suffix array with the common lengths of neighbouring suffixes over the words outside the
 articles of a host's pages, furniture included. A phrase that pages share within their sentences
-stays, and so does what is unique. Text within an article element is the page's own, even if another
-page carries the same article, and is not judged by repetition; unique adverts and menus are known
-by their markup alone.
+stays, and so does what is unique; unique adverts and menus are known by their markup alone.
 
-A host of more than ``HOST_PAGES`` such pages is not gathered: a word lies in a repeated run of at
-least LONG words exactly if it lies in one of LONG words, so there blocks and runs of LONG words are
-counted by host, reduced in each task before the shuffle, and joined back with a salt.
+Within articles the same suffix array looks for runs of ``LONG`` words, with more evidence asked: a
+share ``INSIDE_SHARE`` of the host's different articles, ``INSIDE_LEAST`` at least. Articles of equal
+text count once, and a page keeps all of an article of which such runs make up ``CONTENT`` or more: it is
+a copy of an article then, with little of its own, and the run is its content. Not all words of all
+articles are gathered for that. Every run of LONG words has a seed, the least hash of its runs of
+``SEED`` words. Seeds are counted by host; only stretches around those that enough articles hold (they
+hold every run asked for) go to the suffix array.
+
+A host of more than ``HOST_PAGES`` such pages, or ``HOST_WORDS`` words in them, is not gathered: a word
+lies in a repeated run of at least LONG words exactly if it lies in one of LONG words, so there blocks
+and runs of LONG words are counted by host, reduced in each task before the shuffle, and joined back
+with a salt.
 
 Defined results: NULL or empty html gives an empty text; a page without article and without
 repeated runs keeps all its unfurnished blocks; rows that repeat a page are pages of their own, but
@@ -48,9 +55,19 @@ REPEAT = 4
 LONG = 24
 #: Share of a host's distinct pages that must hold what counts as repeated.
 SHARE = 0.1
-#: Pages of a host with text outside articles that one task works on.
+#: The same within articles: share and least number of a host's different articles, and the share of an
+#: article's words from which repeated runs are its content.
+INSIDE_SHARE = 0.25
+INSIDE_LEAST = 5
+CONTENT = 0.5
+SEED = 8
+#: Pages of a host, and words in them, that one task works on.
 HOST_PAGES = 2000
+HOST_WORDS = 1 << 20
 SALTS = 16
+#: Hosts and seeds within their articles that are broadcast at most.
+BROADCAST_HOSTS = 20_000
+BROADCAST_SEEDS = 1 << 20
 #: Pages with repeated words whose marks are broadcast at most.
 BROADCAST_PAGES = 20_000
 
@@ -278,9 +295,11 @@ def repeated_words(pages: list[list[str]], names: list, least: int = REPEAT, nee
     return [covered[begin[k] : begin[k + 1] - 1] for k in range(len(pages))]
 
 
-LOOSE = "page_id long, mark long, name long, host string, words array<string>, judged array<boolean>, units array<struct<at:int,size:int,key:long>>"
+LOOSE = "page_id long, mark long, name long, host string, words array<string>, judged array<boolean>, units array<struct<at:int,size:int,key:long>>, article long, seeds array<long>"
 UNITS = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32()), ("key", pa.int64())]))
-MARKS = "page_id long, mark long, positions array<int>"
+#: ``at`` is -1 outside articles, and within them the place of the stretch in the article.
+STRETCH = "page_id long, mark long, name long, host string, words array<string>, judged array<boolean>, units array<struct<at:int,size:int,key:long>>, at int, need long"
+MARKS = "page_id long, mark long, at int, positions array<int>"
 
 
 def host_of(url: Column) -> Column:
@@ -288,23 +307,42 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(rest, r"^[^/?#]*", 0)), F.lit(""))
 
 
-def _outside(html: str) -> tuple[list[str], list[bool], list[tuple[int, int, int]]]:
+def _zones(html: str) -> tuple[list[str], list[bool], list[tuple[int, int, int]], str]:
     """The words of a page outside its article, whether each is judged by repetition (those in
     furniture go anyway, but tell what the host repeats), and its units: from each block as many
-    blocks as make REPEAT words (place, number of words, hash)."""
-    words, judged, ends, units = [], [], [0], []
+    blocks as make REPEAT words (place, number of words, hash); and the text of its article."""
+    words, judged, ends, units, inside = [], [], [0], [], []
     for text, furniture, article in page_blocks(html):
-        if not article or furniture:
-            found = text.split(" ")
-            words += found
-            judged += [not furniture] * len(found)
-            ends.append(len(words))
+        if article and not furniture:
+            inside.append(text)
+            continue
+        found = text.split(" ")
+        words += found
+        judged += [not furniture] * len(found)
+        ends.append(len(words))
     for k, at in enumerate(ends[:-1], 1):
         end = next((e for e in ends[k:] if e - at >= REPEAT), None)
         if end is not None:
-            key = blake2b("\n".join(words[at:end]).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            units.append((at, end - at, int.from_bytes(key, "big", signed=True)))
-    return words, judged, units
+            units.append((at, end - at, _key("\n".join(words[at:end]))))
+    return words, judged, units, " ".join(inside)
+
+
+def _key(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def run_seeds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seed of each run of LONG words of the texts, the row it lies in, and the place of its first
+    word in that row."""
+    raw, offsets = C.text_bytes(texts)
+    starts, ends, first = C.find_words(raw, offsets, C.SPACED)
+    if len(starts) < LONG:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes = C.window_hashes(C.hash_spans(raw, starts, ends), SEED)
+    least = np.lib.stride_tricks.sliding_window_view(hashes, LONG - SEED + 1).min(axis=1)
+    row = C.rows_of(first)
+    at = np.flatnonzero(row[: len(least)] == row[LONG - 1 :])
+    return C.signed(least[at]), row[at], at - first[row[at]]
 
 
 def pages_needed(pages: int) -> int:
@@ -326,36 +364,91 @@ def repeated_units(units: list[list[tuple[int, int, int]]], names: list, sizes:
     return out
 
 
-def main_text(html: str, repeated: set[int]) -> str:
-    """The text of a page without furniture and without the repeated words outside the article
-    (by their place among the words outside)."""
-    out, at = [], 0
-    for text, furniture, article in page_blocks(html):
-        if article and not furniture:
-            out.append(text)
-            continue
-        words = text.split(" ")
+def main_text(html: str, repeated: set[int], inside: set[int] = frozenset()) -> str:
+    """The text of a page without furniture and without the repeated words outside the article and
+    within it (by their place among the words outside, and among the article's)."""
+    blocks, out, places = page_blocks(html), [], [0, 0]
+    if inside:
+        size = sum(text.count(" ") + 1 for text, furniture, article in blocks if article and not furniture)
+        inside = inside if len(inside) < CONTENT * size else ()
+    for text, furniture, article in blocks:
+        zone = int(article and not furniture)
+        gone, at, words = (repeated, inside)[zone], places[zone], text.split(" ")
         if not furniture:
-            kept = [w for k, w in enumerate(words, at) if k not in repeated] if repeated else words
+            kept = [w for k, w in enumerate(words, at) if k not in gone] if gone else words
             if kept:
                 out.append(" ".join(kept))
-        at += len(words)
+        places[zone] += len(words)
     return " ".join(out)
 
 
 def _loose(pages: DataFrame) -> DataFrame:
-    """The words outside articles of (page_id, mark, name, host, html)."""
+    """The words outside articles of (page_id, mark, name, host, html), a hash of the article and the
+    different seeds of its runs."""
+    names = [c.split()[0] for c in LOOSE.split(", ")]
 
     def run(batches):
         for batch in batches:
             column = batch.column(4)
             for i, j in C.row_slices(C.text_bytes(column)[1]):
-                found = [_outside(x.as_py() or "") for x in column[i:j]]
+                found = [_zones(x.as_py() or "") for x in column[i:j]]
                 units = [[dict(zip(("at", "size", "key"), u)) for u in f[2]] for f in found]
                 lists = [pa.array([f[0] for f in found], pa.list_(pa.string())), pa.array([f[1] for f in found], pa.list_(pa.bool_())), pa.array(units, UNITS)]
-                yield pa.RecordBatch.from_arrays([*[c[i:j] for c in batch.columns[:4]], *lists], ["page_id", "mark", "name", "host", "words", "judged", "units"])
+                seeds, row, _ = run_seeds(pa.array([f[3] for f in found], pa.string()))
+                each = np.unique(np.stack([row, seeds], axis=1), axis=0)
+                own = C.list_array(pa.array(each[:, 1]), np.bincount(each[:, 0], minlength=j - i))
+                articles = pa.array([_key(f[3]) for f in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([*[c[i:j] for c in batch.columns[:4]], *lists, articles, own], names)
+
+    return C.with_workers(pages).mapInArrow(run, LOOSE).where((F.size("words") >= REPEAT) | (F.size("seeds") > 0))
+
+
+def _host_seeds(loose: DataFrame) -> DataFrame:
+    """(host, need, seeds): the seeds that enough of the host's different articles hold. They are no
+    more than 1 / INSIDE_SHARE articles of the host have on average."""
+    articles = C.checkpointed(loose.where(F.size("seeds") > 0).select("host", "article", "seeds").dropDuplicates(["host", "article"]))
+    number = articles.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= INSIDE_LEAST)
+    need = number.select("host", F.greatest(F.lit(INSIDE_LEAST), F.ceil(F.lit(INSIDE_SHARE) * F.col("n"))).cast("long").alias("need"))
+    held = articles.select("host", F.explode("seeds").alias("seed")).groupBy("host", "seed").agg(F.count("*").alias("n")).where(F.col("n") >= INSIDE_LEAST)
+    enough = C.checkpointed(held).join(need, "host").where("n >= need")
+    return C.checkpointed(enough.groupBy("host").agg(F.max("need").alias("need"), F.collect_list("seed").alias("seeds")))
+
+
+def _stretches(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The stretches of articles (page_id, mark, name, host, html) around the seeds of their hosts, each
+    as a page of its own; ``name`` tells articles apart."""
+    size = wanted.agg(F.count("*").alias("hosts"), F.sum(F.size("seeds")).alias("seeds")).head()
+    if size["hosts"] <= BROADCAST_HOSTS and size["seeds"] <= BROADCAST_SEEDS:
+        asked = source.join(F.broadcast(wanted), "host")
+    else:
+        salted = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        asked = source.withColumn("salt", F.pmod("mark", F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"])
+    names = [c.split()[0] for c in STRETCH.split(", ")]
 
-    return C.with_workers(pages).mapInArrow(run, LOOSE).where(F.size("words") >= REPEAT)
+    def run(batches):
+        for batch in batches:
+            column, known = batch.column(3), batch.column(5)
+            for i, j in C.row_slices(C.text_bytes(column)[1]):
+                texts = [_zones(x.as_py() or "")[3] for x in column[i:j]]
+                seeds, row, place = run_seeds(pa.array(texts, pa.string()))
+                rows, begins, parts = [], [], []
+                for k in range(j - i):
+                    a, b = np.searchsorted(row, (k, k + 1))
+                    at = place[a:b][np.isin(seeds[a:b], known[i + k].values.to_numpy())]
+                    if len(at):
+                        words = texts[k].split(" ")
+                        cut = np.flatnonzero(np.diff(at) > LONG) + 1
+                        for run in np.split(at, cut):
+                            rows.append(i + k)
+                            begins.append(int(run[0]))
+                            parts.append(words[run[0] : run[-1] + LONG])
+                taken = pa.array(rows, pa.int64())
+                articles = pa.array([_key(texts[k - i]) for k in rows], pa.int64())
+                lists = [pa.array(parts, pa.list_(pa.string())), pa.array([[True] * len(p) for p in parts], pa.list_(pa.bool_())), pa.array([[]] * len(rows), UNITS)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(taken) for c in (0, 1)], articles, batch.column(2).take(taken), *lists, pa.array(begins, pa.int32()), batch.column(4).take(taken)], names)
+
+    # No host has this name, so stretches are only compared with each other.
+    return C.with_workers(asked).select("page_id", "mark", F.concat("host", F.lit("#article")).alias("host"), "html", "need", "seeds").mapInArrow(run, STRETCH)
 
 
 def _by_host(loose: DataFrame) -> DataFrame:
@@ -365,21 +458,22 @@ def _by_host(loose: DataFrame) -> DataFrame:
         hosts = table["host"].to_pylist()
         words, judged, names = (table[c].to_pylist() for c in ("words", "judged", "name"))
         units = [[(u["at"], u["size"], u["key"]) for u in page] for page in table["units"].to_pylist()]
+        needed, begins = table["need"].to_pylist(), table["at"].to_pylist()
         rows, places, first = [], [], 0
         while first < len(hosts):
             last = first
             while last < len(hosts) and hosts[last] == hosts[first]:
                 last += 1
-            own, need = names[first:last], pages_needed(len(set(names[first:last])))
+            own, need = names[first:last], needed[first]
             runs = repeated_words(words[first:last], own, LONG, need)
             blocks = repeated_units(units[first:last], own, [len(w) for w in words[first:last]], need)
             for k, (run, block) in enumerate(zip(runs, blocks), first):
                 if len(at := np.flatnonzero((run | block) & np.array(judged[k], bool))):
                     rows.append(k)
-                    places.append(at.astype(np.int32))
+                    places.append((at + max(0, begins[k])).astype(np.int32))
             first = last
         taken = table.take(pa.array(rows, pa.int64()))
-        return pa.RecordBatch.from_arrays([taken["page_id"].combine_chunks(), taken["mark"].combine_chunks(), pa.array(places, pa.list_(pa.int32()))], ["page_id", "mark", "positions"])
+        return pa.RecordBatch.from_arrays([*[taken[c].combine_chunks() for c in ("page_id", "mark", "at")], pa.array(places, pa.list_(pa.int32()))], ["page_id", "mark", "at", "positions"])
 
     def run(batches):
         held = None
@@ -399,46 +493,53 @@ def _by_host(loose: DataFrame) -> DataFrame:
 
 
 def _by_count(loose: DataFrame) -> DataFrame:
-    """The same for hosts of very many pages (with ``need``): units and runs of LONG words are
-    counted, not gathered."""
+    """The same for hosts of very many pages or words: units and runs of LONG words are counted, not
+    gathered."""
     last = F.size("words") - LONG + 1
     grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct((i - 1).alias("at"), F.lit(LONG).alias("size"), F.xxhash64(F.slice("words", i, LONG)).alias("key")))
     parts = F.concat(F.transform("units", lambda u: F.struct(F.lit(0).alias("kind"), u["at"].alias("at"), u["size"].alias("size"), u["key"].alias("key"))), F.transform(F.when(last > 0, grams).otherwise(F.array().cast("array<struct<at:int,size:int,key:bigint>>")), lambda g: F.struct(F.lit(1).alias("kind"), g["at"].alias("at"), g["size"].alias("size"), g["key"].alias("key"))))
-    runs = loose.select("page_id", "mark", "name", "host", "judged", "need", F.explode(parts).alias("g")).select("page_id", "mark", "name", "host", "judged", "need", "g.*")
+    runs = loose.select("page_id", "mark", "name", "host", "judged", "need", F.col("at").alias("from"), F.explode(parts).alias("g")).select("page_id", "mark", "name", "host", "judged", "need", "from", "g.*")
     repeated = runs.groupBy("host", "kind", "key").agg(F.count_distinct("name").alias("pages"), F.max("need").alias("need")).where("pages >= need").select("host", "kind", "key")
     salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = runs.where(F.exists(F.slice("judged", F.col("at") + 1, F.col("size")), lambda j: j)).withColumn("salt", F.pmod(F.xxhash64("mark", "at"), F.lit(SALTS)).cast("int"))
+    own = runs.where(F.exists(F.slice("judged", F.col("at") + 1, F.col("size")), lambda j: j)).withColumn("salt", F.pmod(F.xxhash64("mark", "from", "at"), F.lit(SALTS)).cast("int"))
     hit = own.join(salted, ["host", "kind", "key", "salt"], "left_semi")
-    places = hit.select("page_id", "mark", "judged", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("place")).where(F.element_at("judged", F.col("place") + 1))
-    return places.groupBy("page_id", "mark").agg(F.collect_set("place").alias("positions"))
+    places = hit.select("page_id", "mark", "from", "judged", F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("place")).where(F.element_at("judged", F.col("place") + 1))
+    within = (F.col("place") + F.greatest(F.lit(0), F.col("from"))).cast("int")
+    return places.groupBy("page_id", "mark", F.col("from").alias("at")).agg(F.collect_set(within).alias("positions"))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", carry: list[str] | None = None, out: str = "main_text") -> DataFrame:
     """The columns ``carry`` of ``pages`` (default: all) and the main text in ``out``."""
     carry = pages.columns if carry is None else carry
-    ident, mark, found_id, found_mark, positions = C.free_name(pages, "page_key", "mark", "found_id", "found_mark", "positions")
+    ident, mark, found_id, found_mark, outside, inside = C.free_name(pages, "page_key", "mark", "found_id", "found_mark", "outside", "inside")
     number = F.col(f"`{page_id}`").cast("long")
     keyed = pages.select(number.alias(ident), F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")).alias(mark), *[F.col(f"`{c}`") for c in dict.fromkeys([*carry, html])])
     name = F.xxhash64(number, F.col(f"`{url}`"))
     source = pages.select(number.alias("page_id"), F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")).alias("mark"), name.alias("name"), host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{html}`").alias("html"))
-    loose = C.checkpointed(_loose(source))
-    sizes = C.checkpointed(loose.groupBy("host").agg(F.count("*").alias("n"), F.count_distinct("name").alias("pages"), F.max(F.exists("judged", lambda j: j)).alias("asks")).where("asks"))
-    few = loose.join(sizes.where(F.col("n") <= HOST_PAGES), "host", "left_semi")
-    need = F.greatest(F.lit(2), F.ceil(F.lit(SHARE) * F.col("pages"))).alias("need")
-    many = loose.join(sizes.where(F.col("n") > HOST_PAGES).select("host", need), "host")
-    marks = _by_host(few).unionByName(_by_count(many)).groupBy("page_id", "mark").agg(F.flatten(F.collect_list("positions")).alias("positions"))
-    marks = C.checkpointed(marks.select(F.col("page_id").alias(found_id), F.col("mark").alias(found_mark), F.col("positions").alias(positions)))
+    every = C.checkpointed(_loose(source))
+    loose = every.where(F.size("words") >= REPEAT).drop("article", "seeds").withColumns({"at": F.lit(-1), "need": F.lit(None).cast("long")})
+    wanted = _host_seeds(every)
+    if not C.is_empty(wanted):
+        loose = loose.unionByName(C.checkpointed(_stretches(source, wanted)))
+    pages_of = F.greatest(F.lit(2), F.ceil(F.lit(SHARE) * F.count_distinct("name"))).cast("long")
+    sizes = loose.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.size("words")).alias("all_words"), F.coalesce(F.max("need"), pages_of).alias("need"), F.max(F.exists("judged", lambda j: j)).alias("asks"))
+    sizes = C.checkpointed(sizes.where("asks"))
+    small = (F.col("n") <= HOST_PAGES) & (F.col("all_words") <= HOST_WORDS)
+    few, many = (loose.drop("need").join(sizes.where(s).select("host", "need"), "host") for s in (small, ~small))
+    at = [F.flatten(F.collect_list(F.when(zone, F.col("positions")))) for zone in (F.col("at") < 0, F.col("at") >= 0)]
+    marks = _by_host(few).unionByName(_by_count(many)).groupBy("page_id", "mark").agg(at[0].alias(outside), at[1].alias(inside))
+    marks = C.checkpointed(marks.select(F.col("page_id").alias(found_id), F.col("mark").alias(found_mark), outside, inside))
     # Few pages have words to lose; more than can be broadcast safely are joined by a shuffle.
     sized = F.broadcast(marks) if marks.count() <= BROADCAST_PAGES else marks
     joined = keyed.join(sized, keyed[ident].eqNullSafe(marks[found_id]) & (keyed[mark] == marks[found_mark]), "left")
-    joined = joined.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carry, html])], positions)
+    joined = joined.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carry, html])], outside, inside)
     names = joined.columns
 
     def run(batches):
         for batch in batches:
-            column, places = batch.column(names.index(html)), batch.column(len(names) - 1)
+            column, gone = batch.column(names.index(html)), [batch.column(len(names) - k) for k in (2, 1)]
             for i, j in C.row_slices(C.text_bytes(column)[1]):
-                texts = [main_text(x.as_py() or "", set(p.as_py() or ())) for x, p in zip(column[i:j], places[i:j])]
+                texts = [main_text(x.as_py() or "", *(set(p.as_py() or ()) for p in places)) for x, *places in zip(column[i:j], *(g[i:j] for g in gone))]
                 yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c))[i:j] for c in carry], pa.array(texts, pa.string())], [*carry, out])
 
     return C.with_workers(joined).mapInArrow(run, T.StructType([*[pages.schema[c] for c in carry], T.StructField(out, T.StringType())]))

@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 
 from panelloom.llm import mainhtml
@@ -110,6 +111,45 @@ def test_unmarked_prose_keeps_its_phrases(spark, monkeypatch, most):
     assert {r.page_id: r.text for r in mainhtml.page_texts(df).collect()} == want
 
 
+@pytest.mark.parametrize(("most", "words", "broadcast"), [(2000, 1 << 20, 20_000), (5, 1 << 20, 0), (2000, 100, 20_000)])
+def test_boilerplate_within_articles(spark, monkeypatch, most, words, broadcast):
+    monkeypatch.setattr(mainhtml, "HOST_PAGES", most)
+    monkeypatch.setattr(mainhtml, "HOST_WORDS", words)
+    monkeypatch.setattr(mainhtml, "BROADCAST_HOSTS", broadcast)
+    letter = " ".join(f"newsletter{k}" for k in range(26))
+    quote = " ".join(f"quoted{k}" for k in range(30))
+    own = {k: " ".join(f"own{k}x{i}" for i in range(40)) for k in range(60)}
+    rows, want = [], {}
+
+    def page(k, body, text, host="a.com"):
+        rows.append((k, f"http://{host}/{k}", f"<nav>Home</nav><article>{body}</article>"))
+        want[k] = text
+
+    for k in range(40):
+        page(k, f"<h1>Title {k}</h1><p>{own[k]}</p><p>{letter}</p><p>end{k}</p>", f"Title {k} {own[k]} end{k}")
+    # Four articles of many quote the same passage; one article stands on ten pages, and one is the letter.
+    for k in range(40, 44):
+        page(k, f"<p>{own[k]}</p><p>{quote}</p>", f"{own[k]} {quote}")
+    for k in range(44, 54):
+        page(k, f"<p>{own[44]}</p>", own[44])
+    page(54, f"<p>{letter}</p>", letter)
+    # Too few articles to know what their host repeats.
+    for k in range(55, 59):
+        page(k, f"<p>{own[k]}</p><p>{letter}</p>", f"{own[k]} {letter}", "b.com")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in mainhtml.page_texts(df).collect()} == want
+
+
+def test_every_run_has_its_seed():
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice("ab") for _ in range(n)) for n in (0, 5, 23, 24, 25, 90)]
+    seeds, row, place = mainhtml.run_seeds(pa.array([*texts, None]))
+    assert list(zip(row, place)) == [(k, i) for k, t in enumerate(texts) for i in range(len(t.split()) - 23)]
+    of = {}
+    for s, r, i in zip(seeds, row, place):
+        assert of.setdefault(tuple(texts[r].split()[i : i + 24]), s) == s
+
+
 HOSTILE = {
     "open tags": "<a " * 300_000,
     "open quotes": "<a b=\"" * 200_000,
