@@ -11,17 +11,26 @@ entity e by term t is
     log(N n_te / (n_t n_e)) / log(N / n_e)
 
 with N documents, n_e that mention e, n_t that hold t, and n_te that do both, anywhere in the text.
-It is 1 for a term that never occurs without e, and about 0 for one that knows nothing of it. A term
-counts once it stood in documents with ``SUPPORT`` different contexts of e (the ``CONTEXT`` characters
-around a mention; of several mentions in a document one counts), so copies of one text are no
-evidence. In documents that mention e all occurrences of t are replaced: from ``GENERALISE`` on by a
+It is 1 for a term that never occurs without e, and about 0 for one that knows nothing of it.
+
+Copies are no evidence. The support of a term is the number of different contexts of e (the ``CONTEXT``
+characters around a mention; of several mentions in a document one counts) in the documents that hold
+both, or the number of independent texts among these, whichever is less. Texts that have ``SHARED`` or
+more of their five-word runs in common are not independent, nor is what such links join; they are found
+in shared bands of minima and compared with the least document of the band. A term counts if its
+support is ``SUPPORT`` or more, and support times log(N n_te / (n_t n_e)) is ``CERTAINTY`` times log N or
+more: of the words of a corpus hardly one would meet e that often by chance, however common e is.
+
+In documents that mention e all occurrences of t are replaced: from ``GENERALISE`` on by a
 general word, from ``REMOVE`` on by nothing. In a document that does not mention e the term alone tells
 of e with the share n_te / n_t; there it is replaced the same way if that share is ``SURE`` or more.
 
 Everything is built-in Spark functions. Counts are reduced in each task before they are shuffled, an
-entity of very many mentions included. Entities with fewer contexts than ``SUPPORT`` can have no term
-and go before words are counted. A document's distinct words meet each of its other entities. Texts
-are shuffled once where terms were found (not if those places are few enough to be broadcast), else not at all.
+entity of very many mentions included. Entities with fewer contexts or texts than ``SUPPORT`` can have
+no term and go before words are counted. A document's distinct words meet each of its other entities.
+Words with their places meet terms by document, or terms that tell alone, of which at most one in
+``SURE`` stands outside such documents: never all places of all terms. Texts are shuffled once where
+terms were found (not if those places are few enough to be broadcast), else not at all.
 
 Defined results: NULL text counts as empty (and stays NULL when sanitised); rows that repeat a
 document give equal results, and each counts as a document; an empty table gives an empty result;
@@ -40,6 +49,13 @@ TERM = "term"
 CONTEXT = 60
 BLOCK = 1024
 SUPPORT = 3
+CERTAINTY = 2
+#: Texts that depend on each other: words of a run, share of the runs of two texts that both have, and
+#: bands of so many minima each.
+SHINGLE = 5
+SHARED = 0.5
+BANDS = 12
+ROWS = 2
 GENERALISE = 0.5
 REMOVE = 0.8
 SURE = 0.5
@@ -174,6 +190,34 @@ def _named(text: Column, base: Column) -> Column:
     return let(let(blocks(text), lambda parts: F.array_sort(F.concat(*[of(k, parts) for k in KINDS]))), first_of_each)
 
 
+def _word_runs(text: Column) -> Column:
+    """The hashes of the different runs of ``SHINGLE`` words of a text; of fewer words that of all."""
+
+    def runs(words: Column) -> Column:
+        last = F.greatest(F.size(words) - SHINGLE, F.lit(0))
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, F.lit(SHINGLE)), " "))))
+
+    return let(F.split(F.trim(F.lower(text)), r"\s+"), runs)
+
+
+def same_texts(docs: DataFrame) -> DataFrame:
+    """(doc_key, same): of ``docs`` (doc_key, text), those that depend on each other with the same number."""
+    sets = C.checkpointed(docs.select("doc_key", F.xxhash64("doc_key").alias("id"), _word_runs(F.col("text")).alias("runs")).dropDuplicates(["doc_key"]))
+
+    def band(b: int) -> Column:
+        return F.xxhash64(F.lit(b), *[F.array_min(F.transform("runs", lambda r, k=k: F.xxhash64(r, F.lit(b * ROWS + k)))) for k in range(ROWS)])
+
+    cells = C.checkpointed(sets.select("id", F.explode(F.array(*[band(b) for b in range(BANDS)])).alias("cell")))
+    leaders = cells.groupBy("cell").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1")
+    pairs = cells.join(leaders, "cell").where("id > b").select(F.col("id").alias("a"), "b").distinct()
+    left, right = (sets.select(F.col("id").alias(c), F.col("runs").alias(f"runs_{c}")) for c in ("a", "b"))
+    both = F.size(F.array_intersect("runs_a", "runs_b"))
+    alike = both >= SHARED * (F.size("runs_a") + F.size("runs_b") - both)
+    links = C.checkpointed(pairs.join(left, "a").join(right, "b").where(alike).select("a", "b"))
+    same = C.components(links)
+    return C.checkpointed(sets.join(same, F.col("id") == F.col("node"), "left").select("doc_key", F.coalesce("component", "id").alias("same")))
+
+
 def revealing_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """(entity, term, disclosure, share) of the terms of ``docs`` (doc_key, text) that reveal an
     entity, and (doc_key, entity) of the documents that mention one of these; None without any."""
@@ -185,17 +229,27 @@ def revealing_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     known = C.checkpointed(known.where(F.col("contexts") >= SUPPORT).select("entity", "n_e"))
     if C.is_empty(known):
         return None
-    beside = held.select("words", F.explode("named").alias("e")).select("words", "e.entity", "e.context").join(known.select("entity"), "entity")
-    seen = beside.select("entity", "context", F.explode("words").alias("term")).groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
-    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("n_te"))
-    pairs = C.checkpointed(pairs.where(F.col("contexts") >= SUPPORT).select("entity", "term", "n_te"))
+    asked = C.checkpointed(mentions.join(known.select("entity"), "entity", "left_semi").select("doc_key").distinct())
+    texts = same_texts(docs.join(asked, "doc_key", "left_semi"))
+    # Rows that repeat a document have one key and one text.
+    several = mentions.join(known, "entity").join(texts, "doc_key").groupBy("entity").agg(F.max("n_e").alias("n_e"), F.count_distinct("same").alias("texts"))
+    known = C.checkpointed(several.where(F.col("texts") >= SUPPORT).select("entity", "n_e"))
+    if C.is_empty(known):
+        return None
+    own = held.join(texts, "doc_key").select("same", "words", F.explode("named").alias("e")).select("same", "words", "e.entity", "e.context")
+    beside = own.join(known.select("entity"), "entity")
+    seen = beside.select("entity", "context", "same", F.explode("words").alias("term")).groupBy("entity", "term", "context", "same").agg(F.count("*").alias("docs"))
+    support = F.least(F.count_distinct("context"), F.count_distinct("same")).alias("support")
+    pairs = seen.groupBy("entity", "term").agg(support, F.sum("docs").alias("n_te"))
+    pairs = C.checkpointed(pairs.where(F.col("support") >= SUPPORT))
     # Stored, as a join right above the count would be moved below it, to every word of every text.
     counts = C.checkpointed(docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t")))
     total = docs.count()
     counted = pairs.join(counts, "term").join(known.where(F.col("n_e") < total), "entity")
     near = F.log(F.lit(total) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     whole = F.log(F.lit(total) / F.col("n_e"))
-    scored = counted.select("entity", "term", F.least(F.lit(1.0), near / whole).alias("disclosure"), (F.col("n_te") / F.col("n_t")).alias("share"))
+    sure = counted.where(F.col("support") * near >= CERTAINTY * F.log(F.lit(total)))
+    scored = sure.select("entity", "term", F.least(F.lit(1.0), near / whole).alias("disclosure"), (F.col("n_te") / F.col("n_t")).alias("share"))
     terms = C.checkpointed(scored.where(F.col("disclosure") >= GENERALISE))
     if C.is_empty(terms):
         return None
@@ -208,13 +262,16 @@ def term_spans(docs: DataFrame) -> DataFrame | None:
     if found is None:
         return None
     terms, mentions = found
-    alone = F.max(F.when(F.col("share") >= SURE, F.col("disclosure"))).alias("alone")
-    wanted = C.checkpointed(terms.groupBy("term").agg(alone))
-    words = docs.select("doc_key", F.explode(matches(without_addresses(F.col("text")), WORD)).alias("w"))
-    words = words.select("doc_key", F.lower("w.value").alias("term"), "w.begin", "w.finish")
-    hits = C.checkpointed(words.join(wanted, "term").distinct())
-    beside = hits.join(mentions, "doc_key").join(terms, ["entity", "term"]).select("doc_key", "begin", "finish", "disclosure")
-    spans = beside.union(hits.where("alone IS NOT NULL").select("doc_key", "begin", "finish", "alone"))
+    beside = C.checkpointed(mentions.join(terms, "entity").groupBy("doc_key", "term").agg(F.max("disclosure").alias("disclosure")))
+    alone = C.checkpointed(terms.where(F.col("share") >= SURE).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+
+    def places(texts: DataFrame) -> DataFrame:
+        words = texts.select("doc_key", F.explode(matches(without_addresses(F.col("text")), WORD)).alias("w"))
+        return words.select("doc_key", F.lower("w.value").alias("term"), "w.begin", "w.finish")
+
+    # Only texts of documents that mention an entity meet its terms.
+    naming = docs.join(beside.select("doc_key").distinct(), "doc_key", "left_semi")
+    spans = places(naming).join(beside, ["doc_key", "term"]).unionByName(places(docs).join(alone, "term"))
     action = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise")
     spans = spans.groupBy("doc_key", "begin", "finish").agg(action.alias("action"))
     return C.checkpointed(spans.groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("begin", "finish", "action"))).alias("terms")))

@@ -116,8 +116,9 @@ def plain_terms(rows):
     n, scores = len(rows), {}
     for (e, t), both in beside.items():
         if len(around[e, t]) >= sanitise.SUPPORT and naming[e] < n:
-            score = math.log(n * both / (held[t] * naming[e])) / math.log(n / naming[e])
-            if score >= sanitise.GENERALISE:
+            near = math.log(n * both / (held[t] * naming[e]))
+            score = near / math.log(n / naming[e])
+            if score >= sanitise.GENERALISE and len(around[e, t]) * near >= sanitise.CERTAINTY * math.log(n):
                 scores[e, t] = (min(1.0, score), both / held[t])
     out = []
     for (d, text), named in zip(rows, entities):
@@ -191,6 +192,35 @@ def test_copies_are_no_evidence(spark):
     assert all(not r.personal.term for r in sanitise.find_personal(df).collect())
 
 
+def test_near_copies_are_one_text(spark):
+    """Edited copies of a text with an address tell nothing, however many; texts that differ do."""
+    rnd = random.Random(8)
+    base = [f"rare{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(120)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        words[rnd.randint(0, 119)] = f"edit{chr(97 + k % 26)}"
+        words.insert(60 + rnd.randint(-4, 4), "copied@corp.com")
+        rows.append((k, " ".join(words)))
+    for k in range(40, 400):
+        rows.append((k, " ".join(rnd.choice(["lorem", "ipsum", "dolor", "amet", "sed"]) + rnd.choice(["um", "is", "or"]) for _ in range(30))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same = sanitise.same_texts(df.selectExpr("doc_id AS doc_key", "text")).collect()
+    assert len({r.same for r in same if r.doc_key < 40}) == 1 and len({r.same for r in same}) == 361
+    assert all(not spans for _, spans in found_terms(df))
+    other = spark.createDataFrame([(1000 + k, rows[100 + k][1] + f" Quirinius {rows[200 + k][1]} copied@corp.com") for k in range(6)], df.schema)
+    found = dict(found_terms(df.union(other)))
+    assert all(len(found[1000 + k]) == 1 for k in range(6)) and all(not found[k] for k in range(400))
+
+
+def test_chance_is_no_evidence(spark):
+    """Rare words in texts of an address that a third of all texts name."""
+    rows = [(k, f"{chr(97 + k % 26) * 3}{chr(97 + k // 26) * 2} common words of text {k % 7} here" + (" all@corp.com" if k % 3 == 0 else "") + (f" rare{'abcdefgh'[k // 9 % 8]}" if k % 9 == 0 and k < 216 else "")) for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(plain_terms(rows), key=repr)
+    assert found_terms(df) == want and not any(spans for _, spans in want)
+
+
 def test_sanitised(spark):
     rows = crowd() + [(500, None), (501, ""), (502, "call +1 (555) 123-4567 or 4111 1111 1111 1111"), (100, crowd()[12][1]), (503, "clean text stays"), (504, "😀é 1.2.3.4 " * 700 + "x" * 3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "length(text) AS n_chars", "'p' AS personal")
