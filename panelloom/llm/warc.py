@@ -13,14 +13,22 @@ a URL of very many captures spreads over its hours.
 Defined results: a revisit without URL, or without an earlier full response, is ``missing``; with a
 validator that differs ``changed``; without a common validator ``unverified``; only ``resolved``
 ones are merged. Further columns are left out. A response of the same instant is not earlier; of responses of one instant the
-greatest record_id counts. NULL times are never earlier than anything. Repeated rows are kept.
+greatest record_id counts. NULL times are never earlier than anything. Repeated rows are kept. A NULL
+record_id is allowed on both sides: what a revisit stands for depends on its URL and time alone. Ids
+may be of any type that can be ordered.
+
+Files are cut at record boundaries while they are read, and pieces are put together again where the
+length that a record states says that a boundary was part of its content.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelloom.llm import common as C
+
 # Headers of a not-modified answer that update the stored ones.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that only track visitors.
@@ -48,44 +56,54 @@ def _tag(headers: Column) -> Column:
     return F.regexp_replace(F.try_element_at(headers, F.lit("etag")), r"^W/", "")
 
 
+def _instant(captured_at: Column) -> Column:
+    return F.unix_micros(captured_at.cast("timestamp"))
+
+
+def _full() -> Column:
+    return (F.col("kind") == "response") & (F.col("status") == 200)
+
+
 def latest_earlier(records: DataFrame) -> DataFrame:
-    """(record_id, response_id) of all revisits: the latest earlier full response of their URL."""
+    """(key, at, response_at, response_id) for the URL and instant of each revisit: its URL's latest
+    earlier full response."""
+    mark = f"struct<at:bigint,record_id:{records.schema['record_id'].dataType.simpleString()}>"
     key = canonical_url(F.col("url"))
-    full = (F.col("kind") == "response") & (F.col("status") == 200)
-    at = F.unix_micros(F.col("captured_at").cast("timestamp"))
-    rows = records.where(full | (F.col("kind") == "revisit")).select(
-        key.alias("key"), at.alias("at"), F.floor(at / (BUCKET_SECONDS * 1_000_000)).alias("bucket"), full.alias("full"), "record_id"
+    at = _instant(F.col("captured_at"))
+    rows = records.where(_full() | (F.col("kind") == "revisit")).select(
+        key.alias("key"), at.alias("at"), F.floor(at / (BUCKET_SECONDS * 1_000_000)).alias("bucket"), _full().alias("full"), "record_id"
     )
     rows = rows.where(F.col("key").isNotNull() & F.col("at").isNotNull())
     last = rows.where("full").groupBy("key", "bucket").agg(F.max(F.struct("at", "record_id")).alias("last"))
-    marks = last.unionByName(rows.where("NOT full").select("key", "bucket").distinct().withColumn("last", F.lit(None).cast("struct<at:bigint,record_id:bigint>")))
+    marks = last.unionByName(rows.where("NOT full").select("key", "bucket").distinct().withColumn("last", F.lit(None).cast(mark)))
     marks = marks.groupBy("key", "bucket").agg(F.max("last").alias("last"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = marks.select("key", "bucket", F.last("last", ignorenulls=True).over(before).alias("carried")).where("carried IS NOT NULL")
     # A row per bucket starts it; a revisit sees what stands strictly before its instant.
-    seen = rows.select("key", "bucket", "at", "full", "record_id", F.when(F.col("full"), F.struct("at", "record_id")).alias("response"))
-    start = carried.select("key", "bucket", F.col("carried.at").alias("at"), F.lit(True).alias("full"), F.lit(None).cast("long").alias("record_id"), F.col("carried").alias("response"))
+    seen = rows.select("key", "bucket", "at", "full", F.when(F.col("full"), F.struct("at", "record_id")).alias("response"))
+    start = carried.select("key", "bucket", F.col("carried.at").alias("at"), F.lit(True).alias("full"), F.col("carried").alias("response"))
     within = Window.partitionBy("key", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    found = seen.unionByName(start).withColumn("target", F.max("response").over(within))
-    return found.where("NOT full AND target IS NOT NULL").select("record_id", F.col("target.record_id").alias("response_id"))
+    found = seen.unionByName(start).withColumn("target", F.max("response").over(within)).where("NOT full AND target IS NOT NULL")
+    return found.select("key", "at", F.col("target.at").alias("response_at"), F.col("target.record_id").alias("response_id")).distinct()
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Each revisit of ``records`` (columns RECORD; headers is a map with lower-case names) with
     outcome, response_id, merged headers and the payload it stands for."""
     records = records.select(*RECORD)
-    revisits = records.where("kind = 'revisit'")
-    pairs = latest_earlier(records).distinct()
-    stored = records.where("kind = 'response'").select(
-        F.col("record_id").alias("response_id"), F.col("headers").alias("stored_headers"), F.col("digest").alias("stored_digest"), F.col("payload").alias("stored_payload")
-    ).dropDuplicates(["response_id"])
-    joined = revisits.drop("payload").join(pairs, "record_id", "left").join(stored, "response_id", "left")
+    placed = records.withColumns({"key": canonical_url(F.col("url")), "at": _instant(F.col("captured_at"))})
+    stored = placed.where(_full()).select(
+        F.col("key").alias("of_key"), F.col("at").alias("of_at"), F.col("record_id").alias("of_id"),
+        F.col("headers").alias("stored_headers"), F.col("digest").alias("stored_digest"), F.col("payload").alias("stored_payload"),
+    ).dropDuplicates(["of_key", "of_at", "of_id"])
+    meant = (F.col("key") == F.col("of_key")) & (F.col("response_at") == F.col("of_at")) & F.col("response_id").eqNullSafe(F.col("of_id"))
+    joined = placed.where("kind = 'revisit'").drop("payload").join(latest_earlier(records), ["key", "at"], "left").join(stored, meant, "left")
     modified = [F.try_element_at(F.col(h), F.lit("last-modified")) for h in ("headers", "stored_headers")]
     checks = [(_tag(F.col("headers")), _tag(F.col("stored_headers"))), tuple(modified), (F.col("digest"), F.col("stored_digest"))]
     outcome = F.lit("unverified")
     for own, other in reversed(checks):
         outcome = F.when(own.isNotNull() & other.isNotNull(), F.when(own == other, "resolved").otherwise("changed")).otherwise(outcome)
-    outcome = F.when(F.col("response_id").isNull(), "missing").otherwise(outcome)
+    outcome = F.when(F.col("response_at").isNull(), "missing").otherwise(outcome)
     news = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
     old = F.map_filter("stored_headers", lambda k, v: ~F.map_contains_key(news, k))
     done = F.col("outcome") == "resolved"
@@ -101,62 +119,158 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     )
 
 
-#: What separates two records of a file. A payload that holds it is read as a broken record.
+#: What separates two records of a file.
 BOUNDARY = "\r\n\r\nWARC/1."
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """``records`` as WARC files. The block of a record is its HTTP head and its payload."""
-    head = F.concat(F.lit("HTTP/1.1 "), F.col("status").cast("string"), F.lit("\r\n"), F.array_join(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\r\n"))), ""), F.lit("\r\n"))
-    block = F.concat(head, F.coalesce("payload", F.lit("")))
-    lines = [
-        F.lit("0\r\nWARC-Type: "), F.col("kind"),
-        F.lit("\r\nWARC-Record-ID: <urn:record:"), F.col("record_id").cast("string"),
-        F.lit(">\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
-        F.lit("\r\nWARC-Date: "), F.date_format("captured_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        F.when(F.col("digest").isNotNull(), F.concat(F.lit("\r\nWARC-Payload-Digest: "), F.col("digest"))).otherwise(""),
+    """``records`` as WARC files. The block of a record is its HTTP head and its payload, of which
+    ``payload_bytes`` is taken first if there is such a column. Times are written in UTC, with their
+    fraction if they have one. Fields that are NULL are left out."""
+    pairs = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\r\n")))
+    head = F.concat(F.lit("HTTP/1.1 "), F.coalesce(F.col("status").cast("string"), F.lit("000")), F.lit("\r\n"), F.coalesce(F.array_join(pairs, ""), F.lit("")), F.lit("\r\n"))
+    payloads = [F.col("payload").cast("binary"), F.lit("").cast("binary")]
+    if "payload_bytes" in records.columns:
+        payloads.insert(0, F.col("payload_bytes"))
+    block = F.concat(head.cast("binary"), F.coalesce(*payloads))
+    named = F.col("record_id").cast("string")
+    uri = F.when(named.contains(":"), named).otherwise(F.concat(F.lit("urn:record:"), named))
+    if "record_uri" in records.columns:
+        uri = F.coalesce(F.col("record_uri"), uri)
+    utc = F.to_utc_timestamp(F.col("captured_at").cast("timestamp"), F.current_timezone())
+    split = F.pmod(_instant(F.col("captured_at")), F.lit(1_000_000)) != 0
+    date = F.when(split, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).otherwise(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+    def field(name: str, value: Column) -> Column:
+        return F.when(value.isNotNull(), F.concat(F.lit(f"\r\n{name}: "), value)).otherwise("")
+
+    lines = F.concat(
+        F.when(split, "1").otherwise("0"),
+        field("WARC-Type", F.col("kind")),
+        field("WARC-Record-ID", F.concat(F.lit("<"), uri, F.lit(">"))),
+        field("WARC-Target-URI", F.col("url")),
+        field("WARC-Date", date),
+        field("WARC-Payload-Digest", F.col("digest")),
         F.lit("\r\nContent-Type: application/http\r\nContent-Length: "), F.octet_length(block).cast("string"),
-        F.lit("\r\n\r\n"), block,
-    ]
-    records.select(F.concat(*lines).alias("value")).write.option("lineSep", BOUNDARY).text(path)
+        F.lit("\r\n\r\n"),
+    )
+    records.select(F.concat(lines.cast("binary"), block).cast("string").alias("value")).write.option("lineSep", BOUNDARY).text(path)
+
+
+def _claimed() -> Column:
+    """The bytes of a piece's head and of the content that it states, NULL without a length."""
+    size = F.expr(r"try_cast(regexp_extract(substring_index(value, '\r\n\r\n', 1), '(?i)\r\nContent-Length:[ \t]*([0-9]+)', 1) AS BIGINT)")
+    return F.octet_length(F.substring_index("value", "\r\n\r\n", 1)) + 4 + size
+
+
+def _whole_records(pieces: DataFrame) -> DataFrame:
+    """(value) from the pieces (value, file, block, nth, part) between boundaries.
+
+    A piece that is shorter than its record states goes on to the boundary at which the stated length
+    ends, if there is one (or the file ends there); all pieces up to there are its content. Only files with
+    a short piece are looked at, by their pieces' sizes: these are added up within the split of each piece,
+    and over the splits. The places of pieces hold for each reading, as files are split the same way.
+    """
+    sized = pieces.select("file", "block", "nth", "part", F.octet_length("value").cast("long").alias("size"), _claimed().alias("claimed"))
+    files = C.checkpointed(sized.where("claimed > size").select("file").distinct())
+    if C.is_empty(files):
+        return pieces.select("value")
+    step = F.col("size") + len(BOUNDARY)
+    own = C.checkpointed(sized.join(files, "file", "left_semi"))
+    blocks = own.groupBy("file", "block").agg(F.sum(step).alias("total"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = C.checkpointed(blocks.withColumn("base", F.coalesce(F.sum("total").over(earlier), F.lit(0))))
+    within = Window.partitionBy("file", "block").orderBy("nth", "part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("base") + F.coalesce(F.sum(step).over(within), F.lit(0))
+    placed = C.checkpointed(own.join(blocks, ["file", "block"]).withColumn("start", start).select("file", "nth", "part", "start", "size", "claimed"))
+    # The last record's content ends with its file, or with the blank line behind it.
+    ends = blocks.groupBy("file").agg(F.sum("total").alias("end")).select("file", F.explode(F.array(F.col("end"), F.col("end") - 4)).alias("next"))
+    starts = placed.select("file", F.col("start").alias("next")).union(ends)
+    claims = placed.where("claimed > size").select("file", "nth", "part", (F.col("start") + F.col("claimed") + len(BOUNDARY)).alias("next"))
+    kept = claims.join(starts.distinct(), ["file", "next"]).select("file", "nth", "part", "next")
+    ordered = placed.join(kept, ["file", "nth", "part"], "left").select("file", "nth", "part", "start", "next")
+    columns = ["file", "nth", "part", "start", "owner"]
+
+    def members(batches):
+        file, until, owner = None, 0, 0
+        for batch in batches:
+            rows = []
+            for name, nth, part, begin, end in zip(*(batch[c] for c in ("file", "nth", "part", "start", "next"))):
+                if name != file:
+                    file, until = name, 0
+                if begin >= until and end == end:
+                    until, owner = int(end), begin
+                if begin < until:
+                    rows.append((name, nth, part, begin, owner))
+            yield pd.DataFrame(rows, columns=columns)
+
+    found = C.with_workers(ordered).repartition("file").sortWithinPartitions("file", "start").mapInPandas(members, "file string, nth long, part int, start long, owner long")
+    joined = pieces.join(C.checkpointed(found), ["file", "nth", "part"], "left")
+    parts = F.array_sort(F.collect_list(F.struct("start", "value")))
+    whole = joined.where("owner IS NOT NULL").groupBy("file", "owner").agg(F.array_join(F.transform(parts, lambda p: p["value"]), BOUNDARY).alias("value"))
+    return joined.where("owner IS NULL").select("value").union(whole.select("value"))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of WARC files (plain or gzip), with ``broken``: NULL or what is wrong with one.
 
     Files are cut at record boundaries while they are read, so plain files are split over tasks and
-    no file is held whole.
+    no file is held whole. ``payload_bytes`` is what follows the HTTP head (of other records the whole
+    content), as it was stored; ``payload`` is the same as text, NULL if it is no UTF-8. ``record_uri`` is the
+    id as written, ``record_id`` the number of ids that ``write_warc`` makes. Times are of any precision and
+    in UTC; one that cannot be read is NULL.
     """
-    raw = spark.read.option("lineSep", BOUNDARY).text(path).where(F.length(F.trim("value")) > 0)
-    cut = raw.select(F.regexp_replace("value", r"^WARC/1\.", "").alias("value"))
+    raw = spark.read.option("lineSep", BOUNDARY).text(path)
+    pieces = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"))
+    # A boundary that lies on the edge of a split may be read over.
+    inside = ((F.octet_length("value") - F.octet_length(F.replace("value", F.lit(BOUNDARY), F.lit("")))) / len(BOUNDARY)).cast("int")
+
+    def piece(i: Column) -> Column:
+        upto, before = (F.call_function("substring_index", F.col("value"), F.lit(BOUNDARY), n) for n in (i + 1, i))
+        begin = F.when(i > 0, F.octet_length(before) + len(BOUNDARY)).otherwise(0)
+        # As bytes: splitting a text would change those that are no UTF-8.
+        return F.call_function("substring", upto.cast("binary"), begin + 1, F.octet_length(upto)).cast("string")
+
+    each = F.transform(F.sequence(F.lit(0), inside), lambda i: F.struct(i.alias("part"), piece(i).alias("value")))
+    pieces = pieces.select("file", "block", "nth", F.explode(each).alias("p")).select("file", "block", "nth", "p.part", "p.value")
+    cut = _whole_records(pieces).where(F.length(F.trim("value")) > 0)
     head = F.substring_index("value", "\r\n\r\n", 1)
-    body = F.expr("substring(CAST(value AS BINARY), octet_length(substring_index(value, '\\r\\n\\r\\n', 1)) + 5)")
-    parts = cut.select(head.alias("head"), body.alias("body"))
+    body = F.expr(r"substring(CAST(value AS BINARY), octet_length(substring_index(value, '\r\n\r\n', 1)) + 5)")
+    # The first record of a file still has its version.
+    parts = cut.select(F.regexp_replace(head, r"^WARC/1\.", "").alias("head"), body.alias("body"))
 
     def field(name: str) -> Column:
         found = F.regexp_extract("head", rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1)
         return F.when(found != "", found)
 
-    size = F.expr("try_cast(size AS BIGINT)")
-    parts = parts.select("*", field("Content-Length").alias("size")).withColumn("size", size)
-    block = F.expr("CAST(substring(body, 1, CAST(size AS INT)) AS STRING)")
-    http = F.substring_index("block", "\r\n\r\n", 1)
-    lines = F.filter(F.split(http, "\r\n"), lambda x: x.contains(":"))
+    parts = parts.withColumn("size", field("Content-Length").try_cast("bigint"))
+    parts = parts.withColumn("block", F.expr("substring(body, 1, CAST(least(size, 2147483647) AS INT))"))
+    block = F.col("block").cast("string")
+    is_http = F.startswith(block, F.lit("HTTP/")) | F.coalesce(F.contains(F.lower(field("Content-Type")), F.lit("application/http")), F.lit(False))
+    parts = parts.withColumn("http", F.when(is_http, F.substring_index(block, "\r\n\r\n", 1)))
+    content = F.when(F.col("http").isNotNull(), F.expr("substring(block, octet_length(http) + 5)")).otherwise(F.col("block"))
+    lines = F.filter(F.split(F.coalesce("http", F.lit("")), "\r\n"), lambda x: x.contains(":"))
     pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("name"), F.trim(F.regexp_replace(x, r"^[^:]*:", "")).alias("value")))
     # Of a header that repeats, the values are joined as HTTP allows.
     names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
     values = F.transform(names, lambda n: F.array_join(F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]), ", "))
     broken = F.when(F.col("size").isNull(), "no length").when(F.octet_length("body") < F.col("size"), "shorter than its length")
-    return parts.select("*", block.alias("block")).select(
-        F.expr("try_cast(regexp_extract(head, '(?i)WARC-Record-ID: *<urn:record:([0-9]+)>', 1) AS BIGINT)").alias("record_id"),
+    uri = F.regexp_extract("head", r"(?i)\r\nWARC-Record-ID:[ \t]*<?([^>\r\n]*)", 1)
+    date = field("WARC-Date")
+    zoned = F.when(date.rlike(r"T.*(?:Z|[+-][0-9:]+)$"), date).when(date.contains("T"), F.concat(date, F.lit("Z"))).otherwise(F.concat(date, F.lit("T00:00:00Z")))
+    text = F.col("payload_bytes").cast("string")
+    return parts.select("*", content.alias("payload_bytes")).select(
+        F.regexp_extract(uri, "^urn:record:([0-9]+)$", 1).try_cast("bigint").alias("record_id"),
         F.lower(field("WARC-Type")).alias("kind"),
         field("WARC-Target-URI").alias("url"),
-        F.to_timestamp(field("WARC-Date"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured_at"),
-        F.expr("try_cast(regexp_extract(block, '^HTTP/[0-9.]+ ([0-9]+)', 1) AS INT)").alias("status"),
+        zoned.try_cast("timestamp").alias("captured_at"),
+        F.regexp_extract("http", "^HTTP/[0-9.]+ ([0-9]+)", 1).try_cast("int").alias("status"),
         F.map_from_arrays(names, values).alias("headers"),
         field("WARC-Payload-Digest").alias("digest"),
-        F.expr("substring(block, length(substring_index(block, '\\r\\n\\r\\n', 1)) + 5)").alias("payload"),
+        F.when(F.is_valid_utf8(text), text).alias("payload"),
         broken.alias("broken"),
+        F.when(uri != "", uri).alias("record_uri"),
+        "payload_bytes",
     )
 
 

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import duckdb
+import pytest
 
 from panelloom.llm import warc
 
@@ -73,3 +74,74 @@ def test_broken_records_are_named(spark, tmp_path):
     rows = sorted(warc.read_warc(spark, str(tmp_path)).collect(), key=lambda r: r.broken or "")
     assert (rows[0].payload, rows[0].headers, rows[0].status) == ("hé", {"a": "1, 2"}, 200)
     assert rows[1].broken == "shorter than its length"
+
+
+def record(uri, block, date="2020-01-01T00:00:00Z", more="", length=None):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{uri}>\r\nWARC-Date: {date}\r\n{more}Content-Length: {len(block) if length is None else length}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nA: 1\r\n\r\n"
+
+
+@pytest.mark.parametrize("split", [1 << 27, 700])
+def test_content_ends_where_its_length_says(spark, tmp_path, split):
+    """Archives within archives, bytes that are no text, and a length that points nowhere."""
+    inner = record("urn:uuid:in-1", HTTP + b"one") + record("urn:uuid:in-2", HTTP + bytes(range(256)))
+    blocks = [HTTP + bytes(range(256)) * 3, HTTP + inner, HTTP, inner, HTTP + "h\u00e9".encode()] * 3
+    whole = b"".join(record(f"urn:uuid:{k}", b) for k, b in enumerate(blocks))
+    wrong = record("urn:uuid:long", HTTP + b"x", length=5000)
+    (tmp_path / "a.warc").write_bytes(whole + wrong + record("urn:uuid:last", HTTP + inner)[:-4])
+    (tmp_path / "b.warc").write_bytes(record("urn:uuid:b", HTTP + b"plain"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = {r.record_uri: r for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for k, block in enumerate(blocks):
+        r = rows.pop(f"urn:uuid:{k}")
+        content = block[len(HTTP) :] if block.startswith(HTTP) else block
+        assert (bytes(r.payload_bytes), r.broken, r.record_id) == (content, None, None)
+        assert r.headers == ({"a": "1"} if block.startswith(HTTP) else {}) and (r.payload is None) == (bytes([255]) in content)
+    assert rows.pop("urn:uuid:long").broken == "shorter than its length"
+    assert bytes(rows.pop("urn:uuid:last").payload_bytes) == inner and rows.pop("urn:uuid:b").payload == "plain"
+    assert not rows
+
+
+def test_dates(spark, tmp_path):
+    dates = ["2020-01-01T00:00:00.123Z", "2020-01-01T00:00:00.123456789Z", "2020-01-01T02:00:00+02:00", "2020-01-01", "2020-01-01T00:00:00", "soon"]
+    (tmp_path / "a.warc").write_bytes(b"".join(record(d, HTTP, d) for d in dates))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        found = warc.read_warc(spark, str(tmp_path))
+        micros = {r.record_uri: r.at for r in found.selectExpr("record_uri", "unix_micros(captured_at) AS at").collect()}
+        warc.write_warc(found, str(tmp_path / "w"))
+        again = warc.read_warc(spark, str(tmp_path / "w"))
+        assert {r.record_uri: r.at for r in again.selectExpr("record_uri", "unix_micros(captured_at) AS at").collect()} == micros
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    first = 1_577_836_800_000_000
+    assert list(map(micros.get, dates)) == [first + 123_000, first + 123_456, first, first, first, None]
+
+
+def test_revisits_by_other_ids(spark):
+    """Ids that are texts or NULL; rows of one id with different URLs."""
+    at = lambda h: datetime(2024, 1, 1, h)
+    rows = [
+        ("urn:a", "response", "http://a.com/", at(1), 200, {"etag": "x"}, None, "a"),
+        (None, "response", "http://b.com/", at(1), 200, {"etag": "y"}, None, "b"),
+        (None, "revisit", "http://a.com/", at(2), 304, {"etag": "x"}, None, None),
+        (None, "revisit", "http://b.com/", at(2), 304, {"etag": "y"}, None, None),
+        ("urn:c", "revisit", "http://c.com/", at(2), 304, {"etag": "x"}, None, None),
+        ("urn:c", "revisit", "http://a.com/", at(3), 304, {"etag": "x"}, None, None),
+    ]
+    df = spark.createDataFrame(rows, KIND.replace("record_id long", "record_id string"))
+    out = sorted(((r.url, r.record_id or "", r.outcome, r.response_id, r.payload) for r in warc.resolve_revisits(df).collect()))
+    assert out == [
+        ("http://a.com/", "", "resolved", "urn:a", "a"),
+        ("http://a.com/", "urn:c", "resolved", "urn:a", "a"),
+        ("http://b.com/", "", "resolved", None, "b"),
+        ("http://c.com/", "urn:c", "missing", None, None),
+    ]
