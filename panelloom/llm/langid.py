@@ -32,6 +32,8 @@ DIMENSIONS = 16
 ORDERS = (2, 3, 4)
 #: At most so many labelled rows are learned from, spread evenly over the languages.
 SAMPLE_ROWS = 4000
+#: Hashes of doc_ids are counted in 2 ** BUCKET_BITS ranges.
+BUCKET_BITS = 12
 EPOCHS = 5
 RATE = 0.2
 #: One in so many sampled rows calibrates instead of training.
@@ -127,8 +129,14 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     all; only their ids and then their bags of buckets reach the driver.
     """
     labelled = docs.where((remainder("doc_id") != 2) & F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("at"))
+    # Only hashes of the least buckets that hold enough rows of a language are put in order.
+    bucket = F.shiftright("at", 64 - BUCKET_BITS)
+    counts = labelled.groupBy("lang", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < sample_rows)
+    first = labelled.join(counts.groupBy("lang").agg(F.max("bucket").alias("upto")), "lang").where(bucket <= F.col("upto"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id"))
-    chosen = labelled.withColumn("turn", turn).where(F.col("turn") <= sample_rows).orderBy("turn", "at", "lang").limit(sample_rows)
+    chosen = first.drop("upto").withColumn("turn", turn).where(F.col("turn") <= sample_rows).orderBy("turn", "at", "lang").limit(sample_rows)
     ids = docs.sparkSession.createDataFrame(chosen.select("doc_id").distinct().collect(), "sample_id long")
     sample = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull()).join(F.broadcast(ids), F.col("doc_id") == F.col("sample_id"))
     held = F.pmod(F.xxhash64("doc_id", F.lit("held back")), F.lit(HELD_BACK)) == 0
