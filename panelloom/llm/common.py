@@ -167,13 +167,20 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+#: Settings of Python workers, unless the session has its own: workers outlive their tasks, and what
+#: they keep of one operator's memory is missing in the next.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+
+
 def with_workers(df: DataFrame) -> DataFrame:
     """``df``, after making sure that Python workers look for this package where the driver found it
-    (they also do where it is installed or was shipped with the job)."""
+    (they also do where it is installed or was shipped with the job), and give back memory they freed."""
     env, here = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if here not in paths:
         env["PYTHONPATH"] = ":".join([*paths, here])
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     return df
 
 
