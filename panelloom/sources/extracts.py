@@ -16,13 +16,13 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions.names import numbered
 from panelloom.operators.quality import ingest_warnings
 from panelloom.operators.schema import clean_names, suffix_names
-from panelloom.sources.records import line_maps, records, text_lines
+from panelloom.sources.records import line_maps, records, split_starts, text_lines
 
 POSITION = ("_file", "_block", "_line")
 CORRUPT = "_corrupt"
@@ -80,8 +80,9 @@ def _present(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 def _layouts(spark: SparkSession, paths: Sequence[str], preamble: int, delimiter: str) -> dict[str, _Layout]:
     """Layouts by path, from one query over all files; a file without a header is reported.
 
-    Only lines of first splits are numbered, by file, and each task passes on no more than the asked
-    first lines of a file. Headers with line breaks in quotes that are longer than these ask again.
+    Lines are told by their distance from the file's first line, so none are sorted, and no more than the
+    asked first lines of a file come here. Headers with line breaks in quotes that are longer than these
+    ask again.
     """
     try:
         lines = text_lines(spark, paths)
@@ -97,8 +98,9 @@ def _layouts(spark: SparkSession, paths: Sequence[str], preamble: int, delimiter
     found: dict[str, _Layout] = {}
     asked, ahead = {_located(path): path for path in paths}, _HEADER_LINES
     while asked:
-        order = Window.partitionBy("_file").orderBy("_seq")
-        first = lines.where(F.col("_block") == 0).select("_file", F.row_number().over(order).alias("n"), "value")
+        starts = F.broadcast(split_starts(lines).where(F.col("_block") == 0).drop("_block"))
+        first = lines.where(F.col("_block") == 0).join(starts, "_file")
+        first = first.select("_file", (F.col("_seq") - F.col("_split") + 1).alias("n"), "value")
         first = first.where(F.col("n") <= preamble + ahead).withColumn("spans", F.lit(None).cast("boolean"))
         for row in sorted((first if spans else first.union(flags)).collect(), key=lambda r: r.n):
             if row.n == 0:
@@ -131,15 +133,16 @@ def _header_names(line: str, delimiter: str) -> list[str]:
 def _body(spark: SparkSession, paths: Sequence[str], skip: int) -> DataFrame:
     """Lines after the first ``skip`` of every file, with their position.
 
-    Files stay splittable. Only the first block of a file can hold the lines to skip, so
-    only first blocks are numbered (one block per window group); the other blocks pass
-    through unshuffled.
+    Files stay splittable. Only the first block of a file can hold the lines to skip, so only
+    there lines are numbered, from the first one's place (a row per file); no line is shuffled.
     """
     lines = text_lines(spark, paths)
-    order = Window.partitionBy("_file").orderBy("_seq")
-    first = lines.filter(F.col("_block") == 0).withColumn("_line", F.row_number().over(order).cast("long"))
-    rest = lines.filter(F.col("_block") > 0).withColumn("_line", F.col("_seq"))
-    return first.filter(F.col("_line") > skip).unionByName(rest).drop("_seq")
+    starts = split_starts(lines).where(F.col("_block") == 0)
+    placed = lines.join(F.broadcast(starts), ["_file", "_block"], "left")
+    number = F.when(F.col("_block") == 0, F.col("_seq") - F.col("_split") + 1).otherwise(F.col("_seq"))
+    # Later filters may be moved before the one here, so lines to skip have no text to be read.
+    value = F.when((F.col("_block") > 0) | (number > skip), F.col("value"))
+    return placed.select("_file", "_block", number.alias("_line"), value.alias("value")).where("value IS NOT NULL")
 
 
 def _located(path: str) -> str:

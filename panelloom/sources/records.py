@@ -6,10 +6,14 @@ each line maps the state at its start to the state at its end, and such maps com
 splittable:
 
 1. each line's map is computed alone (``line_maps``);
-2. within a split the maps are composed by running totals, and the split's own map is one small row;
-3. the splits' maps are composed along each file, which gives the state at the start of every split;
-4. with it every split knows its record starts. Lines of one record are joined within the split;
-   only a record that crosses a split's end meets its other part by a shuffle.
+2. splits are cut into chunks of a fixed number of lines; within a chunk the maps are composed by
+   running totals, and the chunk's own map is one small row;
+3. the chunks' maps are composed along each file, which gives the state at the start of every chunk;
+4. with it every chunk knows its record starts. Lines of one record are joined within the chunk;
+   only a record that crosses a chunk's end meets its other parts by a shuffle.
+
+Chunks are dealt to several times as many tasks as there are splits, so what a task holds depends
+neither on the size of a split nor on that of the input.
 
 A quote opens a cell only at the cell's start; inside, two of them stand for one. Elsewhere quotes
 are ordinary characters, as the CSV reader takes them. The records equal those of a reader that goes
@@ -28,6 +32,10 @@ from pyspark.sql import functions as F
 _TEXT, _START, _INSIDE, _QUOTE = range(4)
 _AT_QUOTE = {_TEXT: _TEXT, _START: _INSIDE, _INSIDE: _QUOTE, _QUOTE: _INSIDE}
 
+#: Lines of a chunk, and the tasks that a split's chunks are dealt to.
+CHUNK_LINES = 1 << 14
+TASKS_PER_SPLIT = 16
+
 
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All lines with their file, split and order: ``_file, _block, _seq, value``."""
@@ -39,6 +47,11 @@ def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def split_starts(lines: DataFrame) -> DataFrame:
+    """One row per split: ``_file, _block`` and the ``_seq`` of its first line, which names the split as well."""
+    return lines.groupBy("_file", "_block").agg(F.min("_seq").alias("_split"))
+
+
 def _ends_inside(value: Column, delimiter: str, inside: bool) -> Column:
     """Whether a line ends inside a quoted cell, when it begins so or not."""
     parts = F.split(value, '"')
@@ -63,10 +76,10 @@ def line_maps(lines: DataFrame, delimiter: str) -> DataFrame:
     )
 
 
-def _composed(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def _composed(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
     """Adds the composition of all maps before a row: ``_set`` (the state that some earlier map
     set whatever came before it, or NULL) and ``_flips`` (how often it was turned since)."""
-    until = Window.partitionBy(*keys).orderBy(order)
+    until = Window.partitionBy(*keys).orderBy(*order)
     flip = (F.col("_opens") & ~F.col("_stays")).cast("int")
     df = df.withColumn("_turns", F.sum(flip).over(until.rowsBetween(Window.unboundedPreceding, 0)))
     sets = F.when(F.col("_opens") == F.col("_stays"), F.struct(F.col("_opens").alias("state"), F.col("_turns").alias("turns")))
@@ -81,21 +94,26 @@ def _state(start: Column) -> Column:
     return F.coalesce(F.col("_set"), start) != (F.col("_flips") % 2 == 1)
 
 
-def _split_states(lines: DataFrame) -> DataFrame:
-    """One row per split: the state at its start and at its end."""
+def _chunk_states(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """One row per chunk: its file and split, its number along the file (``_at``), and the state at its start and end."""
     turned = F.sum((F.col("_opens") & ~F.col("_stays")).cast("int"))
-    last = F.max(F.when(F.col("_opens") == F.col("_stays"), F.struct("_seq", F.col("_opens").alias("state"), F.col("_turns").alias("turns"))))
-    splits = lines.groupBy("_file", "_block").agg(last.alias("last"), turned.alias("turned"))
+    last = F.max(F.when(F.col("_opens") == F.col("_stays"), F.struct("_line", F.col("_opens").alias("state"), F.col("_turns").alias("turns"))))
+    chunks = lines.groupBy("_split", "_chunk").agg(last.alias("last"), turned.alias("turned"))
     odd = (F.col("turned") - F.coalesce(F.col("last.turns"), F.lit(0))) % 2 == 1
-    maps = splits.select(
+    maps = chunks.join(splits, "_split").select(
         "_file",
         "_block",
+        "_split",
+        "_chunk",
         (F.coalesce(F.col("last.state"), F.lit(False)) != odd).alias("_opens"),
         (F.coalesce(F.col("last.state"), F.lit(True)) != odd).alias("_stays"),
     )
-    before = _composed(maps, ["_file"], "_block").withColumn("_starts_inside", _state(F.lit(False)))
+    along = Window.partitionBy("_file").orderBy("_block", "_chunk")
+    before = _composed(maps, ["_file"], "_block", "_chunk").withColumns(
+        {"_at": F.row_number().over(along), "_starts_inside": _state(F.lit(False))}
+    )
     ends = F.when(F.col("_starts_inside"), F.col("_stays")).otherwise(F.col("_opens"))
-    return before.select("_file", "_block", "_starts_inside", ends.alias("_ends_inside"))
+    return before.select("_file", "_block", "_split", "_chunk", "_at", "_starts_inside", ends.alias("_ends_inside"))
 
 
 def _glued(pieces: Column) -> Column:
@@ -105,32 +123,38 @@ def _glued(pieces: Column) -> Column:
 def records(spark: SparkSession, paths: Sequence[str], delimiter: str, skip: int = 0) -> DataFrame:
     """``_file, _block, _line, value``: one row per record, which stands where its first line does.
 
-    The first ``skip`` lines of each file are none. Every split is worked through by itself.
+    The first ``skip`` lines of each file are none. Every chunk of a split is worked through by itself.
     """
-    order = Window.partitionBy("_file", "_block").orderBy("_seq")
-    lines = line_maps(text_lines(spark, paths), delimiter).withColumn("_line", F.row_number().over(order).cast("long"))
-    lines = lines.where((F.col("_block") > 0) | (F.col("_line") > skip))
-    lines = _composed(lines, ["_file", "_block"], "_seq")
-    states = _split_states(lines)
-
-    known = lines.join(states, ["_file", "_block"]).withColumn("_begins", ~_state(F.col("_starts_inside")))
+    read = text_lines(spark, paths)
+    splits, tasks = split_starts(read), TASKS_PER_SPLIT * read.rdd.getNumPartitions()
+    chunk = ["_split", "_chunk"]
+    # A row per split is sent to the tasks that read it; the file's name does not travel with each line.
+    lines = line_maps(read, delimiter).join(F.broadcast(splits), ["_file", "_block"])
+    lines = lines.withColumn("_line", F.col("_seq") - F.col("_split") + 1).where((F.col("_block") > 0) | (F.col("_line") > skip))
+    lines = lines.select("_split", F.floor((F.col("_line") - 1) / CHUNK_LINES).alias("_chunk"), "_line", "value", "_opens", "_stays")
+    lines = _composed(lines.repartition(tasks, *chunk), chunk, "_line")
+    states = _chunk_states(lines, splits)
+
+    order = Window.partitionBy(*chunk).orderBy("_line")
+    known = lines.join(states.select(*chunk, "_starts_inside"), chunk).withColumn("_begins", ~_state(F.col("_starts_inside")))
     number = F.sum(F.col("_begins").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     pieces = (
         known.withColumn("_record", number)
-        .groupBy("_file", "_block", "_record", "_ends_inside")
+        .groupBy(*chunk, "_record")
         .agg(F.min("_line").alias("_line"), _glued(F.collect_list(F.struct("_line", "value"))).alias("value"))
+        .join(states, chunk)
     )
-    # The last piece of a split that ends inside a cell goes on; piece 0 goes on from an earlier split.
-    last = F.max("_record").over(Window.partitionBy("_file", "_block"))
+    # The last piece of a chunk that ends inside a cell goes on; piece 0 goes on from an earlier chunk.
+    last = F.max("_record").over(Window.partitionBy(*chunk))
     pieces = pieces.withColumn("_open", F.col("_ends_inside") & (F.col("_record") == last))
     whole = pieces.where("NOT _open AND _record > 0").select("_file", "_block", "_line", "value")
     parts = pieces.where("_open OR _record = 0")
-    along = Window.partitionBy("_file").orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
-    owner = F.max(F.when(F.col("_record") > 0, F.col("_block"))).over(along)
-    # One or two rows per split: a tail, which belongs to the last head before its split, and a head.
-    parts = parts.withColumn("_owner", F.when(F.col("_record") > 0, F.col("_block")).otherwise(owner))
+    along = Window.partitionBy("_file").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    owner = F.max(F.when(F.col("_record") > 0, F.col("_at"))).over(along)
+    # One or two rows per chunk: a tail, which belongs to the last head before its chunk, and a head.
+    parts = parts.withColumn("_owner", F.when(F.col("_record") > 0, F.col("_at")).otherwise(owner))
+    head = F.max(F.when(F.col("_record") > 0, F.struct("_block", "_line")))
     joined = parts.groupBy("_file", "_owner").agg(
-        F.max(F.when(F.col("_record") > 0, F.col("_line"))).alias("_line"),
-        _glued(F.collect_list(F.struct("_block", "_line", "value"))).alias("value"),
+        head.alias("_head"), _glued(F.collect_list(F.struct("_at", "_line", "value"))).alias("value")
     )
-    return whole.unionByName(joined.select("_file", F.col("_owner").alias("_block"), "_line", "value"))
+    return whole.unionByName(joined.select("_file", "_head._block", "_head._line", "value"))

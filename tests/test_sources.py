@@ -181,6 +181,23 @@ def test_records_of_splits_equal_reading_whole_files(spark, tmp_path, split):
     assert placed == [str(i) for i in range(300)]
 
 
+def test_lines_of_one_split_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK_LINES", 5, raising=False)
+    rnd = random.Random(3)
+    body = [",".join([str(i), *rnd.choices(CELLS, k=3)]) for i in range(400)]
+    write(tmp_path, "a.csv", ["head", "er", *body, '400,"' + "long\n" * 40 + '",x,y'])
+    schema, options = "a string, b string, c string, d string", {"sep": ",", "escape": '"'}
+    write(tmp_path, "b.csv", [*body, '400,"' + "long\n" * 40 + '",x,y'])
+    want = spark.read.schema(schema).options(**options, multiLine=True).csv(str(tmp_path / "b.csv")).collect()
+    found = R.records(spark, [str(tmp_path / "a.csv")], ",", skip=2).withColumn("task", F.spark_partition_id()).collect()
+    parsed = spark.createDataFrame([(r.value,) for r in found], "value string").select(F.from_csv("value", schema, options).alias("r")).select("r.*")
+    text = lambda row: tuple(x and x.rstrip("\n") for x in row)
+    assert sorted(map(text, parsed.collect()), key=repr) == sorted(map(text, want), key=repr)
+    assert {r._block for r in found} == {0} and min(r._line for r in found) == 3
+    # Nothing gathers the lines of a split in one task.
+    assert len({r.task for r in found}) > 4
+
+
 def test_preambles_with_quotes_and_long_headers(spark, tmp_path):
     header = 'id,"' + "\n".join(f"line {i}" for i in range(20)) + '",n'
     write(tmp_path / "in", "a.csv", ['by "x', "----", header, '1,"a', 'b",2', "3,c,4"])
