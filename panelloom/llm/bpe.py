@@ -28,6 +28,7 @@ import codecs
 import hashlib
 import heapq
 import json
+import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
@@ -50,7 +51,9 @@ STEP = 2048
 MEMO = 400_000
 #: Pieces of at most so many characters go through the memo; those of at most WHOLE bytes merge at once.
 SHORT = 64
-WHOLE = 20
+WHOLE = 64
+#: Ranks behind all rules.
+_NEVER = (math.inf, -1)
 
 
 def byte_letters() -> dict[str, int]:
@@ -112,14 +115,18 @@ class Vocabulary:
         self.memo = _Memo(self)
 
     def merged_short(self, piece: bytes) -> list[int]:
-        """As ``merged``, by looking at all pairs again for each merge: faster for a short piece."""
-        ids, rules = [self.first[b] for b in piece], self.rules
-        while len(ids) > 1:
-            found = [(*rule, k) for k, pair in enumerate(zip(ids, ids[1:])) if (rule := rules.get(pair))]
-            if not found:
-                break
-            _, made, k = min(found)
-            ids[k : k + 2] = [made]
+        """As ``merged``, with the rules of all pairs in a list whose least is sought for each merge: faster
+        for a short piece. A merge changes the rules of its two neighbours only."""
+        ids, rule = [self.first[b] for b in piece], self.rules.get
+        found = [rule(pair, _NEVER) for pair in zip(ids, ids[1:])]
+        while found and (least := min(found)) is not _NEVER:
+            k = found.index(least)
+            ids[k : k + 2] = [least[1]]
+            del found[k]
+            if k:
+                found[k - 1] = rule((ids[k - 1], ids[k]), _NEVER)
+            if k < len(found):
+                found[k] = rule((ids[k], ids[k + 1]), _NEVER)
         return ids
 
     def merged(self, piece: bytes) -> list[int]:

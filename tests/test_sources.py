@@ -189,7 +189,15 @@ def test_lines_of_one_split_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch
     schema, options = "a string, b string, c string, d string", {"sep": ",", "escape": '"'}
     write(tmp_path, "b.csv", [*body, '400,"' + "long\n" * 40 + '",x,y'])
     want = spark.read.schema(schema).options(**options, multiLine=True).csv(str(tmp_path / "b.csv")).collect()
-    found = R.records(spark, [str(tmp_path / "a.csv")], ",", skip=2).withColumn("task", F.spark_partition_id()).collect()
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")  # small tables would be put together
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("false", "-1")):
+            spark.conf.set(k, v)
+        found = R.records(spark, [str(tmp_path / "a.csv")], ",", skip=2).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     parsed = spark.createDataFrame([(r.value,) for r in found], "value string").select(F.from_csv("value", schema, options).alias("r")).select("r.*")
     text = lambda row: tuple(x and x.rstrip("\n") for x in row)
     assert sorted(map(text, parsed.collect()), key=repr) == sorted(map(text, want), key=repr)
