@@ -389,15 +389,20 @@ def installed_base_measures(installed: DataFrame, keys: PanelKeys = YEARLY) -> D
     """Units, distinct types and groups, and a running total over the observed periods."""
     roles = resolve_roles(installed, "installed_base", ["entity", "period"])
 
-    # First rows per combination, reduced in each task; the distinct counts then see those only.
+    # Sets of types and groups, reduced in each task: one shuffle, and a hot entity sends a set per task.
     kinds = {r: F.col(roles[r]) if r in roles else F.lit(1) for r in ("equipment_type", "equipment_group")}
-    known = _known(installed, roles["period"])
-    combined = known.groupBy(
-        F.col(roles["entity"]).alias(keys.entity), F.col(roles["period"]).alias(keys.period), *[c.alias(f"_{r}") for r, c in kinds.items()]
-    ).agg(count_rows().alias("_n"))
-    table = combined.groupBy(keys.entity, keys.period).agg(
-        F.sum("_n").alias("installed_hw_power_bi"),
-        *[F.size(F.collect_set(f"_{r}")).cast("long").alias(name) for r, name in (("equipment_type", "n_equipment_types"), ("equipment_group", "n_equipment_groups"))],
+    table = aggregate_by_period(
+        _known(installed, roles["period"]),
+        F.col(roles["entity"]),
+        F.col(roles["period"]),
+        {
+            "installed_hw_power_bi": count_rows(),
+            **{
+                name: F.size(F.collect_set(kinds[r])).cast("long")
+                for r, name in (("equipment_type", "n_equipment_types"), ("equipment_group", "n_equipment_groups"))
+            },
+        },
+        keys,
     )
     return table.withColumn("installed_hw_cum", F.sum("installed_hw_power_bi").over(keys.history()))
 

@@ -10,6 +10,7 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelloom.sources.layers import read_layer, remove_at_exit, shared_folder, write_layer
 
@@ -148,16 +149,25 @@ VIEWS = {
 }
 
 
+LINES = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
 def _uses(sql: str, name: str) -> bool:
     return re.search(rf"\b{name}\b", sql) is not None
 
 
+def _on_lines(sql: str) -> str:
+    """A view of lines, over the stored join in place of the tables."""
+    return sql.replace(LINES, "FROM lines")
+
+
 class Tables:
     """The test tables of one scale factor and the views over them, as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         self._known: dict[str, DataFrame] = {}
+        self._share_lines = False
 
     def table(self, name: str) -> DataFrame:
         if name not in self._known:
@@ -167,13 +177,35 @@ class Tables:
     def view(self, name: str) -> DataFrame:
         if name not in self._known:
             sql = VIEWS[name]
+            if self._share_lines:
+                sql = _on_lines(sql)
             inputs = {t: self.table(t) for t in BASE_TABLES if _uses(sql, t)}
             inputs |= {v: self.view(v) for v in VIEWS if v != name and _uses(sql, v)}
+            if _uses(sql, "lines"):
+                inputs["lines"] = self._lines()
             for source in inputs:
                 sql = re.sub(rf"(FROM|JOIN) {source}\b", rf"\1 {{{source}}}", sql)
             self._known[name] = self.spark.sql(sql, **inputs)
         return self._known[name]
 
+    def share_lines(self) -> Tables:
+        """These tables with one stored join of lines and orders behind all views of lines.
+
+        For queries that take several of these views: each would join the lines anew, as each reads
+        other columns of them. Views asked for before are not kept.
+        """
+        shared = Tables(self.spark, self.sf_dir)
+        shared._share_lines = True
+        return shared
+
+    def _lines(self) -> DataFrame:
+        """The stored join of lines and orders, with the columns that views of lines read."""
+        if "lines" not in self._known:
+            sql = " ".join(_on_lines(v) for v in VIEWS.values() if LINES in v)
+            lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            self._known["lines"] = self.stored("lines", lines.select(*[c for c in lines.columns if _uses(sql, c)]))
+        return self._known["lines"]
+
     def scratch(self, name: str) -> str:
         """A fresh folder in the cluster's shared directory, removed when the program ends."""
         path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"

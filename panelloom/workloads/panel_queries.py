@@ -704,6 +704,7 @@ SPEC = PanelSpec(
 
 
 def inputs(t: Tables) -> panels.PanelInputs:
+    t = t.share_lines()
     customers = t.view("v_customers")
     return panels.PanelInputs(
         opportunities=t.view("v_opportunities"),

@@ -69,3 +69,14 @@ def test_only_needed_columns_are_read(spark):
 def test_measures_aggregate_before_the_shuffle(spark):
     text = plan(M.case_measures(Tables(spark, DATA).view("v_cases")))
     assert re.search(r"HashAggregate.*\n.*Exchange hashpartitioning\(.*\n.*HashAggregate.*partial_", text)
+
+
+def test_panel_joins_lines_and_orders_once(spark):
+    text = plan(q.features(Tables(spark, DATA)))
+    assert "lineitem.parquet" not in text  # the join is stored; five inputs read it
+
+
+def test_installed_base_is_shuffled_once(spark):
+    installed = Tables(spark, DATA).view("v_installed_base")
+    text = plan(M.installed_base_measures(installed).drop("installed_hw_cum"))
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_id", text)) == 1
