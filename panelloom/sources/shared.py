@@ -16,6 +16,13 @@ def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     return folder
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Have an intermediate table removed when the program ends."""
     context = spark.sparkContext

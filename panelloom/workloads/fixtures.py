@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.sources.layers import read_layer, remove_at_exit, shared_folder, write_layer
+from panelloom.sources.shared import size_of
 
 BASE_TABLES = (
     "region",
@@ -151,6 +152,9 @@ VIEWS = {
 
 LINES = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 
+#: Bytes of line files that one task of a join by order should hold.
+LINES_PER_TASK = 8 << 20
+
 
 def _uses(sql: str, name: str) -> bool:
     return re.search(rf"\b{name}\b", sql) is not None
@@ -181,6 +185,8 @@ class Tables:
                 sql = _on_lines(sql)
             inputs = {t: self.table(t) for t in BASE_TABLES if _uses(sql, t)}
             inputs |= {v: self.view(v) for v in VIEWS if v != name and _uses(sql, v)}
+            if LINES in sql:
+                inputs["lineitem"] = self._lines_by_order()
             if _uses(sql, "lines"):
                 inputs["lines"] = self._lines()
             for source in inputs:
@@ -198,11 +204,18 @@ class Tables:
         shared._share_lines = True
         return shared
 
+    def _lines_by_order(self) -> DataFrame:
+        """The lines, dealt by order into tasks whose number grows with the files, so that the memory of
+        a task that joins and counts them does not. Few lines are left to the join."""
+        lines = self.table("lineitem")
+        tasks = -(-size_of(self.spark, f"{self.sf_dir}/lineitem.parquet") // LINES_PER_TASK)
+        return lines.repartition(tasks, "l_orderkey") if tasks > self.spark.sparkContext.defaultParallelism else lines
+
     def _lines(self) -> DataFrame:
         """The stored join of lines and orders, with the columns that views of lines read."""
         if "lines" not in self._known:
             sql = " ".join(_on_lines(v) for v in VIEWS.values() if LINES in v)
-            lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            lines = self._lines_by_order().join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             self._known["lines"] = self.stored("lines", lines.select(*[c for c in lines.columns if _uses(sql, c)]))
         return self._known["lines"]
 

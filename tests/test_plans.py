@@ -8,6 +8,7 @@ import __spark_entry__ as contract
 from panelloom.operators import measures as M
 from panelloom.operators import panel as P
 from panelloom.operators import windows as G
+from panelloom.workloads import fixtures
 from panelloom.workloads import panel_queries as q
 from panelloom.workloads.fixtures import Tables
 from panelloom.workloads.registry import QUERIES
@@ -80,3 +81,10 @@ def test_installed_base_is_shuffled_once(spark):
     installed = Tables(spark, DATA).view("v_installed_base")
     text = plan(M.installed_base_measures(installed).drop("installed_hw_cum"))
     assert len(re.findall(r"Exchange hashpartitioning\(customer_id", text)) == 1
+
+
+def test_tasks_that_join_lines_grow_with_the_files(no_broadcast, monkeypatch):
+    monkeypatch.setattr(fixtures, "LINES_PER_TASK", 1000)
+    text = plan(QUERIES["service_counts"].build(Tables(no_broadcast, DATA)))
+    tasks = [int(n) for n in re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L, (\d+)\), REPARTITION_BY_NUM", text)]
+    assert tasks and min(tasks) > 8
