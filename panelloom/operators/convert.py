@@ -98,8 +98,8 @@ def _reading(column: str, reading: str) -> Column:
         return _BY_NAME[reading].timestamp(fields)
     return {
         "text": lambda: text,
-        "mixed_dates": lambda: F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS]),
-        "any_date": lambda: F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS], F.when(_plausible_serial(P.serial_date(text)), P.serial_date(text))),
+        "mixed_dates": lambda: _in_any_layout(fields),
+        "any_date": lambda: F.coalesce(_in_any_layout(fields), F.when(_plausible_serial(P.serial_date(text)), P.serial_date(text))),
         "serial_date": lambda: P.serial_date(text),
         "number": lambda: P.number(text),
         "boolean": lambda: P.boolean(text),
@@ -107,6 +107,16 @@ def _reading(column: str, reading: str) -> Column:
     }[reading]()
 
 
+def _in_any_layout(fields: Column) -> Column:
+    """The date by the first layout that reads it.
+
+    Only texts with a part that is not empty are tried, which loses none. The test is a function over an
+    array: Spark keeps those, and what is read beside them, out of the one method per stage that would
+    hold all layouts of all columns here and be too long (8,000 bytes) for the JVM to compile.
+    """
+    return F.when(F.exists(fields["parts"], lambda part: part != ""), F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS]))
+
+
 def _plausible_serial(value: Column) -> Column:
     return (value > F.lit(EARLIEST_DATE).cast("date")) & (value < F.lit(LATEST_SERIAL_DATE).cast("date"))
 

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from panelloom.operators import convert as V
 from panelloom.operators import measures as M
 from panelloom.operators import panel as P
 from panelloom.operators import windows as G
@@ -88,3 +89,12 @@ def test_tasks_that_join_lines_grow_with_the_files(no_broadcast, monkeypatch):
     text = plan(QUERIES["service_counts"].build(Tables(no_broadcast, DATA)))
     tasks = [int(n) for n in re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L, (\d+)\), REPARTITION_BY_NUM", text)]
     assert tasks and min(tasks) > 8
+
+
+def test_date_layouts_stay_out_of_methods_too_long_to_compile(spark):
+    names = ["a", "b", "c"]
+    texts = spark.createDataFrame([("05.03.2020", "2020-03-05", "43895")], names)
+    typed = V.convert_types(texts, V.ConversionSpec(mixed_dates=tuple(names)))
+    assert [str(v) for v in typed.first()] == ["2020-03-05"] * 3
+    methods = typed._jdf.queryExecution().debug().codegenToSeq()
+    assert all(methods.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(methods.size()))
