@@ -114,7 +114,11 @@ def _in_any_layout(fields: Column) -> Column:
     array: Spark keeps those, and what is read beside them, out of the one method per stage that would
     hold all layouts of all columns here and be too long (8,000 bytes) for the JVM to compile.
     """
-    return F.when(F.exists(fields["parts"], lambda part: part != ""), F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS]))
+    return F.when(_has_part(fields), F.coalesce(*[x.date(fields) for x in P.DATE_LAYOUTS]))
+
+
+def _has_part(fields: Column) -> Column:
+    return F.exists(fields["parts"], lambda part: part != "")
 
 
 def _plausible_serial(value: Column) -> Column:
@@ -131,8 +135,8 @@ def _candidates(kind: str) -> list[str]:
     return {"numeric": ["number"], "logical": ["boolean"], "category": ["category"]}[kind]
 
 
-def _success(column: str, reading: str, spec: ConversionSpec) -> Column:
-    value = _reading(column, reading)
+def _success(column: str, reading: str, spec: ConversionSpec, value: Column | None = None) -> Column:
+    value = _reading(column, reading) if value is None else value
     if reading.startswith("date:") or reading == "any_date":
         low, high = F.lit(EARLIEST_DATE).cast("date"), F.lit(spec.latest_date).cast("date")
         return (value > low) & (value < high)
@@ -156,10 +160,22 @@ def plan_conversion(df: DataFrame, spec: ConversionSpec) -> ConversionPlan:
 
     pairs = [(c, reading) for c, kind in kinds.items() for reading in _candidates(kind)]
     split = _split(df.select(*kinds), {c: _candidates(kind)[0] for c, kind in kinds.items()})
+    # Each layout reads a text once; "in any layout" is then whether one of them did.
+    laid_out = {(c, reading): f"_date{i}" for i, (c, reading) in enumerate(pairs) if reading.startswith("date:")}
+    if laid_out:
+        split = split.withColumns(
+            {name: F.when(_has_part(F.col(f"_fields_{c}")), _reading(c, reading)) for (c, reading), name in laid_out.items()}
+        )
+    values = {pair: F.col(name) for pair, name in laid_out.items()}
+    values |= {
+        (c, "mixed_dates"): F.coalesce(*[F.col(name) for (of, _), name in laid_out.items() if of == c])
+        for c, kind in kinds.items()
+        if kind == "dates"
+    }
     measured = split.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(kinds)],
-        *[F.count_if(_success(c, reading, spec)).alias(f"s{i}") for i, (c, reading) in enumerate(pairs)],
+        *[F.count_if(_success(c, reading, spec, values.get((c, reading)))).alias(f"s{i}") for i, (c, reading) in enumerate(pairs)],
     ).first()
     rows = measured["rows"]
     non_null = {c: measured[f"n{i}"] for i, c in enumerate(kinds)}

@@ -98,3 +98,13 @@ def test_date_layouts_stay_out_of_methods_too_long_to_compile(spark):
     assert [str(v) for v in typed.first()] == ["2020-03-05"] * 3
     methods = typed._jdf.queryExecution().debug().codegenToSeq()
     assert all(methods.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(methods.size()))
+
+
+def test_measured_layouts_read_a_text_once(spark, monkeypatch):
+    read = []
+    date = V.P.Layout.date
+    monkeypatch.setattr(V.P.Layout, "date", lambda self, fields: read.append(self.name) or date(self, fields))
+    texts = spark.createDataFrame([("05.03.2020",), ("06.03.2020",), ("2020-03-07",), ("none",), (None,)], ["a"])
+    plan = V.plan_conversion(texts, V.ConversionSpec(dates=("a",)))
+    assert sorted(read) == sorted(x.name for x in V.P.DATE_LAYOUTS)
+    assert plan.successes["a", "mixed_dates"] == 3 and plan.successes["a", "date:dmy"] == 2
