@@ -108,3 +108,11 @@ def test_measured_layouts_read_a_text_once(spark, monkeypatch):
     plan = V.plan_conversion(texts, V.ConversionSpec(dates=("a",)))
     assert sorted(read) == sorted(x.name for x in V.P.DATE_LAYOUTS)
     assert plan.successes["a", "mixed_dates"] == 3 and plan.successes["a", "date:dmy"] == 2
+
+
+def test_group_summary_reads_the_stored_join(spark, monkeypatch):
+    stored = []
+    keep = fixtures.Tables.stored
+    monkeypatch.setattr(fixtures.Tables, "stored", lambda self, name, df: stored.append((name, plan(df))) or keep(self, name, df))
+    QUERIES["group_summary"].build(Tables(spark, DATA))
+    assert [name for name, text in stored if "lineitem.parquet" in text] == ["lines"]
