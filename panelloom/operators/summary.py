@@ -22,13 +22,16 @@ def group_summary(
     functions = {"mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max}
     if approximate:
         functions["median"] = lambda c: F.percentile_approx(c, 0.5)
-    out = panel.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_observations"),
-        (F.count_distinct(entity) + F.max(F.col(entity).isNull().cast("int"))).alias("n_customers"),
-        *[fn(m).alias(f"{m}_{name}") for m in metrics for name, fn in functions.items()],
-    )
+    statistics = {f"{m}_{name}": fn(m) for m in metrics for name, fn in functions.items()}
+    counts = {"n_observations": F.count(F.lit(1))}
     if approximate:
-        return out
+        counts["n_customers"] = F.count_distinct(entity) + F.max(F.col(entity).isNull().cast("int"))
+        return panel.groupBy(*by).agg(*[value.alias(name) for name, value in (counts | statistics).items()])
+    # Entities are counted on their own: beside the statistics, each would carry all of these to the shuffle.
+    entities = panel.select(*by, F.col(entity).alias("_entity")).distinct()
+    n_customers = entities.groupBy(*by).agg(F.count(F.lit(1)).alias("n_customers"))
+    out = panel.groupBy(*by).agg(*[value.alias(name) for name, value in (counts | statistics).items()])
+    out = join_on_keys(out, n_customers, by).select(*by, *counts, "n_customers", *statistics)
     medians = quantiles(panel, metrics, {"median": 0.5}, by)
     wide = medians.groupBy(*by).agg(
         *[F.max(F.when(F.col("column") == m, F.col("median"))).alias(f"{m}_median") for m in metrics]

@@ -114,7 +114,9 @@ def entity_grid(inputs: PanelInputs, spec: PanelSpec) -> tuple[DataFrame, DataFr
 def measure_tables(inputs: PanelInputs, attributes: DataFrame, spec: PanelSpec) -> list[DataFrame]:
     """All measure tables, keyed by (entity, period).
 
-    Sources keyed by the secondary id or by name are moved to the entity key here.
+    Sources keyed by the secondary id or by name are moved to the entity key here. Every period of
+    the grid is known, so rows without one are left out; tables that count the same source then differ
+    in their aggregates only, and where these are not asked for Spark shuffles such tables once.
     """
     keys = spec.keys
     by_sap_id = "customer_sap_id" in attributes.columns
@@ -141,7 +143,7 @@ def measure_tables(inputs: PanelInputs, attributes: DataFrame, spec: PanelSpec)
         tables.append(rekeyed(M.installed_base_measures(inputs.installed_base, keys), "customer_sap_id", by_sap_id))
     if inputs.registered_products is not None:
         tables.append(M.registered_product_measures(inputs.registered_products, spec.registered_product_cap, keys))
-    return tables
+    return [t.filter(F.col(keys.period).isNotNull()) for t in tables]
 
 
 def software_features(panel: DataFrame, keys: PanelKeys = PanelKeys()) -> DataFrame:

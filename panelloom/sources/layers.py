@@ -15,9 +15,9 @@ from panelloom.operators.summary import key_variable_summary, panel_metadata
 from panelloom.sources.shared import remove_at_exit, shared_folder, stored
 
 
-def write_layer(df: DataFrame, root: str, layer: str, name: str) -> str:
+def write_layer(df: DataFrame, root: str, layer: str, name: str, compression: str | None = None) -> str:
     path = f"{root}/{layer}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return path
 
 

@@ -228,5 +228,5 @@ class Tables:
     def stored(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written as a layer and read back, for steps that pass over it several times."""
         root = self.scratch(name)
-        write_layer(df, root, "interim", name)
+        write_layer(df, root, "interim", name, compression="zstd")
         return read_layer(self.spark, root, "interim", name)

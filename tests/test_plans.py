@@ -8,6 +8,7 @@ import __spark_entry__ as contract
 from panelloom.operators import convert as V
 from panelloom.operators import measures as M
 from panelloom.operators import panel as P
+from panelloom.operators import summary as I
 from panelloom.operators import windows as G
 from panelloom.workloads import fixtures
 from panelloom.workloads import panel_queries as q
@@ -116,3 +117,27 @@ def test_group_summary_reads_the_stored_join(spark, monkeypatch):
     monkeypatch.setattr(fixtures.Tables, "stored", lambda self, name, df: stored.append((name, plan(df))) or keep(self, name, df))
     QUERIES["group_summary"].build(Tables(spark, DATA))
     assert [name for name, text in stored if "lineitem.parquet" in text] == ["lines"]
+
+
+def test_entities_are_counted_without_their_statistics(spark):
+    rows = [("a", 1, 1.0), ("a", 1, 3.0), ("a", None, 5.0), (None, 2, 7.0)]
+    out = I.group_summary(spark.createDataFrame(rows, "type string, entity long, m double"), ["type"], ["m"], entity="entity")
+    found = {r["type"]: (r["n_observations"], r["n_customers"], r["m_mean"], r["m_median"]) for r in out.collect()}
+    assert found == {"a": (3, 2, 3.0, 3.0), None: (1, 1, 7.0, 7.0)}
+    by_entity = re.findall(r"HashAggregate\(keys=\[type#\d+, \w*entity#\d+L\], functions=\[([^\]]*)\]", plan(out))
+    assert by_entity and not any(by_entity)
+
+
+def test_tables_whose_measures_are_not_asked_for_share_a_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else exchanges are reused at run time only
+    try:
+        text = plan(q.features(Tables(spark, DATA)).select("customer_id", "year", "to_number_of_opps"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    counted = re.findall(r"[-+] (\w+) [^\n]*hashpartitioning\(\w+#\d+L, (?:mission|completion)_year#", text)
+    assert sorted(counted) == ["Exchange", "ReusedExchange"]
+
+
+def test_stored_tables_are_packed(spark):
+    files = Tables(spark, DATA).stored("few", spark.range(10)).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
